@@ -72,28 +72,24 @@ def score_series(series: DataFrame, regressors: Sequence[str] = S.SEQUENCE_REGRE
     One group of the grouped map is one series: a row a day.
     """
     features = ["total_sales", *S.present(series.columns, ("online_popularity", *regressors))]
-    fit_rows = None
+    fit_rows = "true"
     kept = eligible(series, sequence_gate(series))
     if fit_on == "train":
         kept = kept.withColumns({"_no": F.row_number().over(by_date()),
                                  "_all": F.count("*").over(by_brand())})
-        fit_rows = F.expr(f"_no <= {S.WINDOW_DAYS} + (_all - {S.WINDOW_DAYS}) * 4 DIV 5")
+        fit_rows = f"_no <= {S.WINDOW_DAYS} + (_all - {S.WINDOW_DAYS}) * 4 DIV 5"
     scaled = minmax_scale(kept, features, fit_where=fit_rows)
-    rows = scaled.select(
-        "brand", "sale_date",
-        F.array(*[F.col(f"{c}_scaled") for c in features]).alias("features"),
-        F.col("total_sales_low").alias("low"), F.col("total_sales_high").alias("high"))
+    rows = scaled.selectExpr(
+        "brand", "sale_date", f"array({', '.join(f'{c}_scaled' for c in features)}) AS features",
+        "total_sales_low AS low", "total_sales_high AS high")
     scored = rows.groupBy("brand").applyInPandas(_brand_scorer(fit, horizon), _SCORED)
-    low, high = F.col("low"), F.col("high")
-    actual = F.nanvl("actual_scaled", F.lit(None).cast("double"))
-    return scored.select(
-        "brand",
-        F.when(F.col("kind") == "future", F.date_add("sale_date", F.col("step")))
-        .otherwise(F.col("sale_date")).alias("sale_date"),
-        "kind",
-        minmax_inverse(actual, low, high).alias("actual"),
-        minmax_inverse(F.col("predicted_scaled"), low, high).alias("predicted"),
-        actual.alias("actual_scaled"), "predicted_scaled")
+    return (
+        scored.withColumn("actual_scaled", F.expr("nanvl(actual_scaled, null)"))
+        .selectExpr(
+            "brand", "CASE WHEN kind = 'future' THEN date_add(sale_date, step) ELSE sale_date END AS sale_date",
+            "kind", f"{minmax_inverse('actual_scaled', 'low', 'high')} AS actual",
+            f"{minmax_inverse('predicted_scaled', 'low', 'high')} AS predicted",
+            "actual_scaled", "predicted_scaled"))
 
 
 def forecast_rows(scored: DataFrame) -> DataFrame:

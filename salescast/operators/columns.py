@@ -1,10 +1,13 @@
-"""Column-statistic operators: filling, encoding and scaling."""
+"""Column-statistic operators: filling, encoding and scaling.
+
+Lists of like expressions are stated as SQL text, which the session parses in one call each.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescast import schema as S
@@ -12,15 +15,33 @@ from salescast.operators.quantiles import exact_quantiles, quantile_name
 from salescast.staging import broadcast_if_small
 
 
-def median_fill(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Replace nulls by the exact median of the whole column; columns become doubles."""
+def replace_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    """``df`` with SQL expressions in the place of some columns; new names go last."""
+    kept = [f"{expressions[c]} AS `{c}`" if c in expressions else f"`{c}`" for c in df.columns]
+    return df.selectExpr(*kept, *[f"{e} AS `{c}`" for c, e in expressions.items() if c not in df.columns])
+
+
+def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact median of each column, one small row brought to the driver."""
+    row = exact_quantiles(df, columns).first()
+    return {c: row[quantile_name(c, 0.5)] for c in columns}
+
+
+def literal(x: float | None) -> str:
+    """A double as SQL text that reads back as the same double."""
+    return "double(null)" if x is None else f"double('{x!r}')"
+
+
+def median_fill(df: DataFrame, columns: Sequence[str] | None = None,
+                medians: dict[str, float | None] | None = None) -> DataFrame:
+    """Replace nulls by the exact median of the whole column; columns become doubles.
+
+    The medians enter the plan as literals, so branches of the result do not compute them again.
+    """
     columns = columns or S.present(df.columns, S.MEDIAN_FILLED + S.MEDIAN_FILLED_OPTIONAL)
-    medians = exact_quantiles(df, columns)
-    filled = {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)),
-                            F.col(quantile_name(c, 0.5))) for c in columns}
-    return (df.crossJoin(F.broadcast(medians))
-            .withColumns(filled)
-            .drop(*[quantile_name(c, 0.5) for c in columns]))
+    medians = column_medians(df, columns) if medians is None else medians
+    return replace_columns(df, {
+        c: f"coalesce(nanvl(double(`{c}`), null), {literal(medians[c])})" for c in columns})
 
 
 def constant_fill(df: DataFrame, values: dict[str, int | float]) -> DataFrame:
@@ -43,42 +64,33 @@ def label_encode(df: DataFrame, columns: Sequence[str] = S.ENCODED) -> DataFrame
     return df
 
 
-def zscore_of(x: Column, mean: Column, std: Column) -> Column:
-    return (x - mean) / (std + S.ZSCORE_EPSILON)
-
-
 def zscore(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Standardise by the mean and sample deviation of the whole column."""
     columns = columns or S.present(df.columns, S.ZSCORED)
-    stats = df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns],
-                   *[F.stddev_samp(c).alias(f"_std_{c}") for c in columns])
-    return (df.crossJoin(F.broadcast(stats))
-            .withColumns({c: zscore_of(F.col(c), F.col(f"_mean_{c}"), F.col(f"_std_{c}"))
-                          for c in columns})
-            .drop(*stats.columns))
+    stats = df.agg(*[F.expr(f"{f}(`{c}`) AS `_{f}_{c}`") for c in columns for f in ("avg", "stddev_samp")])
+    return replace_columns(df.crossJoin(F.broadcast(stats)), {
+        c: f"(`{c}` - `_avg_{c}`) / (`_stddev_samp_{c}` + double('{S.ZSCORE_EPSILON!r}'))" for c in columns
+    }).drop(*stats.columns)
 
 
 def minmax_scale(df: DataFrame, columns: Sequence[str], group: str = "brand",
-                 fit_where: Column | None = None) -> DataFrame:
+                 fit_where: str = "true") -> DataFrame:
     """Scale into [0, 1] within each series; a column without range becomes 0.
 
-    Adds ``<c>_scaled``, ``<c>_low`` and ``<c>_high``. ``fit_where`` limits the rows the bounds
-    are taken from, for instance to the training part; by default it is the whole series.
+    Adds ``<c>_scaled``, ``<c>_low`` and ``<c>_high``. The condition ``fit_where`` limits the rows
+    the bounds are taken from, for instance to the training part; by default it is the whole series.
     """
-    series = Window.partitionBy(group)
-    fit = F.lit(True) if fit_where is None else fit_where
-    df = df.withColumns({
-        **{f"{c}_low": F.min(F.when(fit, F.col(c))).over(series) for c in columns},
-        **{f"{c}_high": F.max(F.when(fit, F.col(c))).over(series) for c in columns},
-    })
-    return df.withColumns({f"{c}_scaled": _scaled(c) for c in columns})
+    bounds = [f"{f}(CASE WHEN {fit_where} THEN `{c}` END) OVER (PARTITION BY `{group}`) AS `{c}_{name}`"
+              for c in columns for f, name in (("min", "low"), ("max", "high"))]
+    # Without range every value equals the bound, so the difference is already 0.
+    return df.selectExpr("*", *bounds).selectExpr("*", *[
+        f"(`{c}` - `{c}_low`) / {_span(f'`{c}_low`', f'`{c}_high`')} AS `{c}_scaled`" for c in columns])
 
 
-def _scaled(c: str) -> Column:
-    x, low, high = F.col(c), F.col(f"{c}_low"), F.col(f"{c}_high")
-    # Without range every value equals the bound, so the difference is already 0.
-    return (x - low) / F.when(high == low, 1.0).otherwise(high - low)
+def _span(low: str, high: str) -> str:
+    return f"CASE WHEN {high} = {low} THEN 1D ELSE {high} - {low} END"
 
 
-def minmax_inverse(scaled: Column, low: Column, high: Column) -> Column:
-    return scaled * F.when(high == low, 1.0).otherwise(high - low) + low
+def minmax_inverse(scaled: str, low: str, high: str) -> str:
+    """SQL text that takes a scaled value back to its unit."""
+    return f"{scaled} * {_span(low, high)} + {low}"

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescast import schema as S
-from salescast.operators.columns import constant_fill, label_codes, median_fill, zscore_of
+from salescast.operators.columns import (
+    column_medians,
+    constant_fill,
+    label_codes,
+    literal,
+    median_fill,
+    replace_columns,
+)
 from salescast.operators.history import HOT_DAY_ROWS, add_sales_history
 from salescast.staging import broadcast_if_small, materialize
 
@@ -23,46 +31,48 @@ def daily_brand_summary(
     In order: median fill, holiday fill, label codes, lag and trailing mean over the sale
     rows, global z-scores, and the daily sums, means and first codes.
 
-    A z-score is linear in its input, so daily sums and means are taken of the raw values
-    and standardised afterwards. The global moments come from the daily counts, means and
-    variances. The sale rows are thus read once after filling instead of twice.
+    A z-score is linear in its input, so the daily sums and means are standardised after
+    the aggregation. The global moments come from daily counts, sums and sums of squares, taken as
+    distances from the median to stay exact for columns far from zero. The sale rows are
+    thus read once after filling instead of twice.
     """
     region_codes = broadcast_if_small(label_codes(raw, "region"))
-    filled = constant_fill(median_fill(raw), {"is_holiday": 0})
+    medians = column_medians(raw, S.present(raw.columns, S.MEDIAN_FILLED + S.MEDIAN_FILLED_OPTIONAL))
+    filled = constant_fill(median_fill(raw, list(medians), medians), {"is_holiday": 0})
     rows = add_sales_history(filled, tie_break=tie_break, hot_day_rows=hot_day_rows, keep_order=True)
     rows = rows.join(region_codes, "region", "left")
 
     scored = S.present(rows.columns, S.ZSCORED)
     plain = S.present(rows.columns, S.PLAIN_MEANS)
+
+    def distance(c: str) -> str:
+        return f"({c} - {literal(medians.get(c, medians['total_sales']))})"
+
     daily = materialize(
-        rows.groupBy(*KEYS).agg(
-            F.coalesce(F.sum("total_sales"), F.lit(0.0)).alias("total_sales"),
-            *[F.avg(c).alias(c) for c in plain],
-            F.min_by("region_encoded", "_position").alias("region_encoded"),
-            *[F.count(c).alias(f"_n_{c}") for c in scored],
-            *[F.avg(c).alias(f"_avg_{c}") for c in scored],
-            *[F.var_pop(c).alias(f"_var_{c}") for c in scored],
-        ),
+        rows.groupBy(*KEYS).agg(*map(F.expr, (
+            "coalesce(sum(total_sales), 0D) AS total_sales",
+            *[f"avg({c}) AS {c}" for c in plain],
+            "min_by(region_encoded, _position) AS region_encoded",
+            *[f"count({c}) AS _n_{c}" for c in scored],
+            *[f"sum({distance(c)}) AS _d_{c}" for c in scored],
+            *[f"sum({distance(c)} * {distance(c)}) AS _dd_{c}" for c in scored],
+        ))),
         "daily",
     )
 
-    means = daily.agg(*[
-        F.try_divide(F.sum(F.col(f"_n_{c}") * F.col(f"_avg_{c}")), F.sum(f"_n_{c}")).alias(f"_mean_{c}")
-        for c in scored])
-    deviations = daily.crossJoin(F.broadcast(means)).agg(*[
-        F.sqrt(F.try_divide(
-            F.sum(F.col(f"_n_{c}") * (F.col(f"_var_{c}") + F.pow(F.col(f"_avg_{c}") - F.col(f"_mean_{c}"), 2))),
-            F.sum(f"_n_{c}") - 1)).alias(f"_std_{c}")
-        for c in scored])
+    sums = daily.selectExpr(*[f"sum({k}{c}) AS {k}{c}" for c in scored for k in ("_n_", "_d_", "_dd_")]).first()
 
-    def z(c: str):
-        return zscore_of(F.col(f"_avg_{c}"), F.col(f"_mean_{c}"), F.col(f"_std_{c}"))
+    def z_sum(c: str) -> str:
+        """Sum of the day's z-scores; null if the column has no deviation."""
+        n, d, dd = (sums[f"{k}{c}"] for k in ("_n_", "_d_", "_dd_"))
+        if not n or n < 2:
+            return "double(null)"
+        std = math.sqrt(max(dd - d * d / n, 0.0) / (n - 1))
+        return f"((_d_{c} - _n_{c} * {literal(d / n)}) / {literal(std + S.ZSCORE_EPSILON)})"
 
-    # quantity_sold is a sum over the day: the sum of n z-scores is n times their mean
-    summed = F.coalesce(z("quantity_sold") * F.col("_n_quantity_sold"), F.lit(0.0))
-    means_out = {c: z(c) for c in scored if c != "quantity_sold"}
-    complete = daily.crossJoin(F.broadcast(means)).crossJoin(F.broadcast(deviations)).withColumns(
-        {"quantity_sold": summed, **means_out})
+    complete = replace_columns(daily, {
+        "quantity_sold": f"coalesce({z_sum('quantity_sold')}, 0D)",
+        **{c: f"try_divide({z_sum(c)}, _n_{c})" for c in scored if c != "quantity_sold"}})
     # The codes number the values of all raw rows, also of those without a valid date.
     for key in ("category", "brand"):
         complete = complete.join(label_codes(daily, key), key, "left")

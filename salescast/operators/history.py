@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescast.staging import materialize
+
 HOT_DAY_ROWS = 2_000_000
 _EDGES = 32
 
@@ -28,22 +30,25 @@ def add_day_slice(df: DataFrame, brand: str, date: str, leading_key: str,
     day, key = [brand, "_day"], F.col(leading_key).cast("double")
     hot = (df.groupBy(*day).agg(F.count("*").alias("_rows"))
            .where(F.col("_rows") > hot_day_rows))
+    if hot.isEmpty():
+        return df.withColumn("_slice", F.lit(0))
     fractions = [i / _EDGES for i in range(_EDGES + 1)]
-    edges = (
+    # Materialized: the edges are approximate, and every branch must cut at the same ones.
+    edges = materialize(
         df.join(F.broadcast(hot), day)
         .groupBy(*day)
         .agg(F.percentile_approx(key, fractions).alias("_edges"),
-             F.ceil(F.count("*") / hot_day_rows / _EDGES).alias("_steps"))
-    )
+             F.ceil(F.count("*") / hot_day_rows / _EDGES).alias("_steps")),
+        "day-edges")
     inner = F.slice("_edges", 2, _EDGES - 1)
     part = F.size(F.filter(inner, lambda e: e <= key))
     low, high = F.element_at("_edges", part + 1), F.element_at("_edges", part + 2)
     share = F.coalesce(F.try_divide(key - low, high - low), F.lit(0.0))
     # Keys beyond the outer edges, which are approximate, belong to the outermost steps.
     step = F.least(F.greatest(F.floor(share * F.col("_steps")), F.lit(0)), F.col("_steps") - 1)
+    # Null keys sort first, and so do the rows of slice 0.
     sliced = F.when(F.col("_edges").isNotNull() & key.isNotNull(),
                     (part * F.col("_steps") + step).cast("int")).otherwise(0)
-    # Null keys sort first, and so do the rows of slice 0.
     return (df.join(F.broadcast(edges), day, "left")
             .withColumn("_slice", sliced)
             .drop("_edges", "_steps"))
@@ -70,51 +75,44 @@ def add_sales_history(
     bucket come from a small table with the last two values of every bucket.
     With ``keep_order`` the position of a row in its brand-day stays as ``_position``.
     """
+    columns = df.columns
     df = add_day_slice(df, brand, date, tie_break[0], hot_day_rows)
-    bucket = [brand, "_day", "_slice"]
-    ascending = Window.partitionBy(*bucket).orderBy(*[F.asc_nulls_first(c) for c in tie_break])
-    descending = Window.partitionBy(*bucket).orderBy(*[F.desc_nulls_last(c) for c in tie_break])
-    v = F.col(value)
+    keys = f"{brand}, _day, _slice"
+    ascending = f"(PARTITION BY {keys} ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in tie_break)})"
+    descending = f"(PARTITION BY {keys} ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in tie_break)})"
+    along = f"(PARTITION BY {brand} ORDER BY _day, _slice)"
 
     tails = (
-        df.select(*bucket, *tie_break, v.alias("_v"))
-        .withColumn("_from_end", F.row_number().over(descending))
+        df.selectExpr(brand, "_day", "_slice", f"{value} AS _v", f"row_number() OVER {descending} AS _from_end")
         .where("_from_end <= 2")
-        .groupBy(*bucket)
-        .agg(F.max(F.when(F.col("_from_end") == 1, F.col("_v"))).alias("_last"),
-             F.max(F.when(F.col("_from_end") == 2, F.col("_v"))).alias("_second"),
-             F.count("*").alias("_n"))
-    )
-    along = Window.partitionBy(brand).orderBy("_day", "_slice")
-    carry = tails.select(
-        *bucket,
-        F.lag("_last").over(along).alias("_carry_1"),
-        F.when(F.lag("_n").over(along) == 2, F.lag("_second").over(along))
-        .otherwise(F.lag("_last", 2).over(along)).alias("_carry_2"),
-        F.lag("_n").over(along).isNull().alias("_opens_brand"),
-        (F.sum("_n").over(Window.partitionBy(brand)) >= 2).alias("_has_more"),
+        .groupBy(brand, "_day", "_slice")
+        .agg(F.expr("max(CASE WHEN _from_end = 1 THEN _v END) AS _last"),
+             F.expr("max(CASE WHEN _from_end = 2 THEN _v END) AS _second"),
+             F.expr("count(*) AS _n"))
     )
+    carry = tails.selectExpr(
+        brand, "_day", "_slice",
+        f"lag(_last) OVER {along} AS _carry_1",
+        f"CASE WHEN lag(_n) OVER {along} = 2 THEN lag(_second) OVER {along}"
+        f" ELSE lag(_last, 2) OVER {along} END AS _carry_2",
+        f"lag(_n) OVER {along} IS NULL AS _opens_brand",
+        f"sum(_n) OVER (PARTITION BY {brand}) >= 2 AS _has_more")
 
-    rows = df.withColumns({
-        "_rn": F.row_number().over(ascending),
-        "_prev_1": F.lag(value, 1).over(ascending),
-        "_prev_2": F.lag(value, 2).over(ascending),
-    }).join(carry, bucket, "left")
-    first, second = F.col("_rn") == 1, F.col("_rn") == 2
-    prev_1 = F.when(first, F.col("_carry_1")).otherwise(F.col("_prev_1"))
-    prev_2 = (F.when(first, F.col("_carry_2")).when(second, F.col("_carry_1"))
-              .otherwise(F.col("_prev_2")))
-    trio = [v, prev_1, prev_2]
-    total = sum((F.coalesce(x, F.lit(0.0)) for x in trio[1:]), F.coalesce(v, F.lit(0.0)))
-    known = sum((x.isNotNull().cast("int") for x in trio[1:]), v.isNotNull().cast("int"))
-    out = rows.withColumns({
-        # A row without a brand belongs to no series: no lag, and its own value as the mean.
-        "sales_lag_1": F.when(F.col(brand).isNull(), None)
-        .when(first & F.col("_opens_brand"), F.when(F.col("_has_more"), v))
-        .otherwise(prev_1),
-        "sales_ma_3": F.when(F.col(brand).isNull(), v).otherwise(F.try_divide(total, known)),
-        **({"_position": F.col("_slice").cast("long") * F.lit(1 << 40) + F.col("_rn")}
-           if keep_order else {}),
-    })
-    return out.drop("_day", "_slice", "_rn", "_prev_1", "_prev_2", "_carry_1", "_carry_2",
-                    "_opens_brand", "_has_more")
+    before = (
+        df.selectExpr("*", f"row_number() OVER {ascending} AS _rn",
+                      f"lag({value}, 1) OVER {ascending} AS _prev_1",
+                      f"lag({value}, 2) OVER {ascending} AS _prev_2")
+        .join(carry, [brand, "_day", "_slice"], "left")
+        .selectExpr(*columns, "_slice", "_rn", "_opens_brand", "_has_more",
+                    "CASE WHEN _rn = 1 THEN _carry_1 ELSE _prev_1 END AS _p1",
+                    "CASE _rn WHEN 1 THEN _carry_2 WHEN 2 THEN _carry_1 ELSE _prev_2 END AS _p2")
+    )
+    known = " + ".join(f"int({x} IS NOT NULL)" for x in (value, "_p1", "_p2"))
+    total = " + ".join(f"coalesce({x}, 0D)" for x in (value, "_p1", "_p2"))
+    # A row without a brand belongs to no series: no lag, and its own value as the mean.
+    return before.selectExpr(
+        *columns,
+        f"CASE WHEN {brand} IS NULL THEN NULL WHEN _rn = 1 AND _opens_brand"
+        f" THEN CASE WHEN _has_more THEN {value} END ELSE _p1 END AS sales_lag_1",
+        f"CASE WHEN {brand} IS NULL THEN {value} ELSE try_divide({total}, {known}) END AS sales_ma_3",
+        *([f"bigint(_slice) * {1 << 40} + _rn AS _position"] if keep_order else []))

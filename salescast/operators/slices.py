@@ -83,7 +83,7 @@ def mean_by_brand(df: DataFrame, value: str, name: str) -> DataFrame:
     return df.groupBy("brand").agg(F.avg(value).alias(name))
 
 
-def profile(df: DataFrame, columns: Sequence[str], accuracy: int = 50_000) -> DataFrame:
+def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per numeric column: rows, nulls, mean, deviation, minimum, exact quartiles, maximum."""
     quarters = (0.25, 0.5, 0.75)
     basics = df.agg(*[
@@ -96,7 +96,7 @@ def profile(df: DataFrame, columns: Sequence[str], accuracy: int = 50_000) -> Da
             F.min(c).cast("double").alias("min"),
             F.max(c).cast("double").alias("max"),
         ).alias(c) for c in columns])
-    quantiles = exact_quantiles(df, columns, quarters, accuracy)
+    quantiles = exact_quantiles(df, columns, quarters)
     lines = F.array(*[
         F.struct(
             F.lit(c).alias("column_name"), F.col(c).alias("b"),

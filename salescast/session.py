@@ -12,6 +12,8 @@ def local_session(cores: str | None = None, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("salescast")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")

@@ -15,6 +15,7 @@ from salescast.operators import columns, daily, evaluate, history, series, slice
 from salescast.plans import full_run, marts
 from salescast.sources import star
 from salescast.sources.tables import append_batch
+from salescast.staging import materialize
 from salescast.workloads.second_model import score_weekday_means, weekday_forecast
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +35,7 @@ def query(f: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, digits) + 0.0 for n in names})
+    return columns.replace_columns(df, {n: f"round({n}, {digits}) + 0D" for n in names})
 
 
 def _daily_sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,8 +49,13 @@ def _series(spark: SparkSession, sf: str) -> DataFrame:
     return series.brand_series(star.sales(spark, sf, ("brand", "sale_date", "total_sales")))
 
 
+def _stored_sales(spark: SparkSession, sf: str, names: tuple[str, ...] = star.COLUMNS) -> DataFrame:
+    """The raw table as a stored one, for operators that pass over it several times."""
+    return materialize(star.sales(spark, sf, names), "raw-sales")
+
+
 def _processed(spark: SparkSession, sf: str) -> DataFrame:
-    return daily.daily_brand_summary(star.sales(spark, sf), star.TIE_BREAK)
+    return daily.daily_brand_summary(_stored_sales(spark, sf), star.TIE_BREAK)
 
 
 def _processed_series(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,7 +80,7 @@ def _both(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 @query
 def median_impute(spark, sf):
     filled = columns.constant_fill(
-        columns.median_fill(star.sales(spark, sf, (*IDS, *FILLED, "is_holiday"))), {"is_holiday": 0})
+        columns.median_fill(_stored_sales(spark, sf, (*IDS, *FILLED, "is_holiday"))), {"is_holiday": 0})
     return rounded(filled.select(*IDS, *FILLED, "is_holiday"), 6, "online_popularity")
 
 
@@ -93,9 +99,8 @@ def zscore(spark, sf):
 @query
 def minmax_scale(spark, sf):
     scaled = columns.minmax_scale(_series(spark, sf), ["total_sales"])
-    back = columns.minmax_inverse(
-        F.col("total_sales_scaled"), F.col("total_sales_low"), F.col("total_sales_high"))
-    return rounded(scaled.select("brand", "sale_date", "total_sales_scaled", back.alias("restored")),
+    back = columns.minmax_inverse("total_sales_scaled", "total_sales_low", "total_sales_high")
+    return rounded(scaled.selectExpr("brand", "sale_date", "total_sales_scaled", f"{back} AS restored"),
                    4, "total_sales_scaled", "restored")
 
 
@@ -104,7 +109,7 @@ def minmax_scale(spark, sf):
 
 def _history(spark, sf):
     return history.add_sales_history(
-        star.sales(spark, sf, (*IDS, "brand", "sale_date", "total_sales")), tie_break=IDS)
+        _stored_sales(spark, sf, (*IDS, "brand", "sale_date", "total_sales")), tie_break=IDS)
 
 
 @query
@@ -153,7 +158,7 @@ def lenient_parse(spark, sf):
 def data_profile(spark, sf):
     cols = ("total_sales", "quantity_sold", "online_popularity", "competitor_price", "stock_level",
             "weather_score")
-    df = slices.profile(star.sales(spark, sf, cols), cols)
+    df = slices.profile(_stored_sales(spark, sf, cols), cols)
     return rounded(df, 4, "mean", "std", "min", "max", "q25", "q50", "q75")
 
 
