@@ -33,48 +33,41 @@ def exact_quantiles(
     and a rank outside its fence fails the job instead of yielding an estimate.
     """
     values = df.selectExpr(*[f"nanvl(double(`{c}`), null) AS `{c}`" for c in columns])
-    slots = [(c, p) for c in columns for p in probs]
     fences = _fences(values, columns, probs, sample)
 
-    totals, entries = [], []
-    for s, (c, _) in enumerate(slots):
-        low, high = (f"double('{x!r}')" for x in fences[s])
-        totals += [f"count(`{c}`) AS n{s}", f"count_if(`{c}` < {low}) AS below{s}",
-                   f"max(CASE WHEN `{c}` < {low} THEN `{c}` END) AS under{s}",
-                   f"min(CASE WHEN `{c}` > {high} THEN `{c}` END) AS over{s}"]
-        entries.append(f"CASE WHEN `{c}` BETWEEN {low} AND {high} THEN `{c}` END")
-    all_rows = values.agg(*[F.expr(t) for t in totals])
+    totals, entries, results, parts = [], [], [], []
+    for i, c in enumerate(columns):
+        bounds = [tuple(f"double('{x!r}')" for x in fences[c, p]) for p in probs]
+        inside_any = " OR ".join(f"`{c}` BETWEEN {low} AND {high}" for low, high in dict.fromkeys(bounds))
+        entries.append(f"CASE WHEN {inside_any} THEN `{c}` END")
+        totals.append(f"count(`{c}`) AS n{i}")
+        for j, (p, (low, high)) in enumerate(zip(probs, bounds)):
+            s = f"{i}_{j}"
+            totals.append(f"count_if(`{c}` < {low} AND NOT ({inside_any})) AS skipped{s}")
+            position = f"({p!r}D * (n{i} - 1))"
+            for side in ("floor", "ceil"):
+                at = f"({side}{position} - skipped{s})"
+                parts.append(f"max(CASE WHEN slot = {i} AND v BETWEEN {low} AND {high} AND before <= {at}"
+                             f" AND {at} < before + cnt THEN v END) AS {side}{s}")
+            low_v, high_v = (f"coalesce({side}{s}, double(raise_error('quantile fence missed its rank')))"
+                             for side in ("floor", "ceil"))
+            results.append(
+                f"CASE WHEN n{i} > 0 THEN {low_v} + ({high_v} - {low_v}) * ({position} - floor{position}) END"
+                f" AS `{quantile_name(c, p)}`")
+        parts.append(f"max(n{i}) AS n{i}")
 
+    counted = values.agg(*map(F.expr, totals))
     inside = (
         values.selectExpr(f"posexplode(array({', '.join(entries)})) AS (slot, v)")
         .where("v IS NOT NULL")
         .groupBy("slot", "v").agg(F.expr("count(*) AS cnt"))
         .selectExpr("slot", "v", "cnt", "sum(cnt) OVER (PARTITION BY slot ORDER BY v) - cnt AS before")
     )
-    parts = []
-    for s, (_, p) in enumerate(slots):
-        for side, rank in (("a", "floor"), ("b", "ceil")):
-            at = f"{rank}({p!r}D * (n{s} - 1)) - below{s}"
-            parts.append(f"max(CASE WHEN slot = {s} AND before <= {at} AND {at} < before + cnt THEN v END) AS {side}{s}")
-        parts.append(f"coalesce(sum(CASE WHEN slot = {s} THEN cnt END), 0) AS in{s}")
-        parts += [f"max({x}{s}) AS {x}{s}" for x in ("n", "below", "under", "over")]
-    found = inside.crossJoin(F.broadcast(all_rows)).agg(*[F.expr(x) for x in parts])
-
-    missed = "double(raise_error('quantile fence missed its rank'))"
-    out = []
-    for s, (c, p) in enumerate(slots):
-        ends = [
-            f"CASE WHEN {side}{s} IS NOT NULL THEN {side}{s} WHEN {rank} = below{s} - 1 THEN under{s} "
-            f"WHEN {rank} = below{s} + in{s} THEN over{s} ELSE {missed} END"
-            for side, rank in (("a", f"floor({p!r}D * (n{s} - 1))"), ("b", f"ceil({p!r}D * (n{s} - 1))"))]
-        share = f"({p!r}D * (n{s} - 1) - floor({p!r}D * (n{s} - 1)))"
-        out.append(f"CASE WHEN n{s} > 0 THEN {ends[0]} + ({ends[1]} - {ends[0]}) * {share} END"
-                   f" AS `{quantile_name(c, p)}`")
-    return found.selectExpr(*out)
+    return inside.crossJoin(F.broadcast(counted)).agg(*map(F.expr, parts)).selectExpr(*results)
 
 
 def _fences(values: DataFrame, columns: Sequence[str], probs: Sequence[float],
-            sample: float) -> list[tuple[float, float]]:
+            sample: float) -> dict[tuple[str, float], tuple[float, float]]:
     """Low and high fence of every (column, probability), from one small row of the sample."""
     cuts = [min(max(p + side * w, 0.0), 1.0) for p in probs for w in _WIDTHS for side in (-1, 1)]
     array = ", ".join(f"{x!r}D" for x in cuts)
@@ -82,13 +75,11 @@ def _fences(values: DataFrame, columns: Sequence[str], probs: Sequence[float],
         expression for c in columns for expression in (
             f"count(`{c}`) AS `n_{c}`",
             f"percentile_approx(`{c}`, array({array}), {_SKETCH_ACCURACY}) AS `q_{c}`")]).first()
-    fences = []
+    fences = {}
     for c in columns:
         width = next((i for i, w in enumerate(_WIDTHS) if row[f"n_{c}"] >= 25 / w**2), None)
-        for i in range(len(probs)):
-            if width is None:
-                fences.append((float("-inf"), float("inf")))
-            else:
-                at = 2 * (i * len(_WIDTHS) + width)
-                fences.append((row[f"q_{c}"][at], row[f"q_{c}"][at + 1]))
+        for i, p in enumerate(probs):
+            at = None if width is None else 2 * (i * len(_WIDTHS) + width)
+            fences[c, p] = ((float("-inf"), float("inf")) if at is None
+                            else (row[f"q_{c}"][at], row[f"q_{c}"][at + 1]))
     return fences
