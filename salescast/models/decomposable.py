@@ -9,8 +9,7 @@ from salescast import schema as S
 from salescast.operators.series import (
     by_brand,
     clean_series,
-    decomposable_gate,
-    eligible,
+    decomposable_eligible,
     split_rows,
     with_horizon,
 )
@@ -28,8 +27,7 @@ def score_series(series: DataFrame, target: str = "total_sales",
     Every fit is a window over the brand, so one exchange by brand serves all of them.
     """
     clean = clean_series(series.select("brand", "sale_date", F.col(target).alias("actual")), "actual")
-    fit = eligible(clean, decomposable_gate(series.select("brand", "sale_date", target), target))
-    frame = with_horizon(split_rows(fit), horizon, anchor)
+    frame = with_horizon(decomposable_eligible(split_rows(clean)), horizon, anchor)
 
     def train_only(c: str):
         return F.when(F.col("kind") == "train", F.col(c))

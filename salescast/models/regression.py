@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from salescast import schema as S
 from salescast.operators.series import (
     by_brand,
-    up_to_here,
+    carry_regressors,
     clean_series,
-    decomposable_gate,
-    eligible,
+    decomposable_eligible,
     split_rows,
     with_horizon,
 )
@@ -47,26 +46,21 @@ def design_frame(series: DataFrame, regressors: Sequence[str], target: str = "to
     constant over a brand's train rows becomes 0, which takes it out of that brand's model.
     """
     regressors = S.present(series.columns, tuple(regressors))
-    used = series.select("brand", "sale_date", target, *regressors)
-    clean = clean_series(used, target)
-    split = split_rows(eligible(clean, decomposable_gate(used, target)))
-    frame = with_horizon(split.select("brand", "sale_date", F.col(target).alias("actual"),
-                                      "row_no", "row_total", "is_train"), horizon, anchor)
-    frame = frame.join(split.select("brand", "sale_date", *regressors), ["brand", "sale_date"], "left")
-    train = F.col("kind") == "train"
-    frame = frame.withColumns({c: F.last(c, ignorenulls=True).over(up_to_here()) for c in regressors})
-
-    stats = {}
+    clean = clean_series(series.select("brand", "sale_date", F.col(target).alias("actual"), *regressors), "actual")
+    frame = with_horizon(decomposable_eligible(split_rows(clean)), horizon, anchor)
+    frame = carry_regressors(frame, regressors)
+
+    spread = {}
     for c in regressors:
-        seen = F.when(train, F.col(c))
-        low, high = F.min(seen).over(by_brand()), F.max(seen).over(by_brand())
-        spread = F.when(low < high, F.stddev_samp(seen).over(by_brand()))
-        stats[f"_z_{c}"] = F.coalesce(
-            F.try_divide(F.col(c) - F.avg(seen).over(by_brand()), spread), F.lit(0.0))
+        seen = f"CASE WHEN kind = 'train' THEN {c} END"
+        moments = {f: f"{f}({seen}) OVER (PARTITION BY brand)" for f in ("min", "max", "avg", "stddev_samp")}
+        spread[f"_z_{c}"] = F.expr(
+            f"CASE WHEN {moments['min']} < {moments['max']}"
+            f" THEN coalesce(try_divide({c} - {moments['avg']}, {moments['stddev_samp']}), 0D) ELSE 0D END")
     first = F.min("sale_date").over(by_brand())
-    train_end = F.max(F.when(train, F.col("sale_date"))).over(by_brand())
+    train_end = F.max(F.when(F.col("kind") == "train", F.col("sale_date"))).over(by_brand())
     frame = frame.withColumns({
-        **stats,
+        **spread,
         "_t": F.datediff("sale_date", first) / F.greatest(F.datediff(train_end, first), F.lit(1)),
         "_day": F.unix_date("sale_date").cast("double"),
     })

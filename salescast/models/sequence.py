@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from salescast import schema as S
 from salescast.operators.columns import minmax_inverse, minmax_scale
-from salescast.operators.series import by_brand, by_date, eligible, sequence_gate
+from salescast.operators.series import by_brand, by_date, sequence_eligible
 
 Predictor = Callable[[np.ndarray], np.ndarray]
 # Takes windows (n, 7, k) and their targets (n,), returns a function from windows to predictions.
@@ -73,7 +73,7 @@ def score_series(series: DataFrame, regressors: Sequence[str] = S.SEQUENCE_REGRE
     """
     features = ["total_sales", *S.present(series.columns, ("online_popularity", *regressors))]
     fit_rows = "true"
-    kept = eligible(series, sequence_gate(series))
+    kept = sequence_eligible(series)
     if fit_on == "train":
         kept = kept.withColumns({"_no": F.row_number().over(by_date()),
                                  "_all": F.count("*").over(by_brand())})

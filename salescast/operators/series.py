@@ -84,9 +84,23 @@ def sequence_gate(series: DataFrame) -> DataFrame:
                         .when(F.col("sequences") < S.MIN_SEQUENCES, "not enough samples")))
 
 
-def eligible(series: DataFrame, gate: DataFrame) -> DataFrame:
-    """The series of the brands that pass their gate."""
-    return series.join(gate.where("skip_reason IS NULL").select("brand"), "brand", "left_semi")
+def decomposable_eligible(split: DataFrame) -> DataFrame:
+    """Rows of the clean, split series that pass :func:`decomposable_gate`, without a join.
+
+    With three clean rows there are two train rows and a test row, so the gate
+    comes down to the row count and to nulls among the train rows.
+    """
+    used = [c for c in split.columns if c not in ("row_no", "row_total", "is_train")]
+    has_null = " OR ".join(f"`{c}` IS NULL" for c in used)
+    return (split.where(F.col("row_total") >= S.MIN_CLEAN_ROWS)
+            .withColumn("_broken", F.expr(f"max(is_train AND ({has_null})) OVER (PARTITION BY brand)"))
+            .where("NOT _broken").drop("_broken"))
+
+
+def sequence_eligible(series: DataFrame) -> DataFrame:
+    """Rows of the series that pass :func:`sequence_gate`, without a join."""
+    return (series.withColumn("_rows", F.count("*").over(by_brand()))
+            .where(F.col("_rows") >= S.WINDOW_DAYS + S.MIN_SEQUENCES).drop("_rows"))
 
 
 def varies(c: str, where: Column) -> Column:
@@ -113,29 +127,37 @@ def sequences(series: DataFrame, features: Sequence[str], target: str = "total_s
             .where(F.size("sequence") == S.WINDOW_DAYS))
 
 
-def with_horizon(split: DataFrame, horizon: int = S.HORIZON_DAYS, anchor: str = "train_end",
-                 known: Sequence[str] = ()) -> DataFrame:
+def with_horizon(split: DataFrame, horizon: int = S.HORIZON_DAYS, anchor: str = "train_end") -> DataFrame:
     """Append ``horizon`` future days to each split series, with ``kind`` train, test or future.
 
     The days follow the last train row (``train_end``) or the last row (``data_end``). They are
-    exploded from that row in place, so the series keeps its partitioning. A future row has nulls
-    except for the brand, the date and the columns in ``known``.
+    exploded from that row in place, so the series keeps its partitioning. A future row has
+    a brand, a date and nulls.
     """
     ends = {"train_end": F.expr("row_no = row_total * 4 DIV 5"),
             "data_end": F.col("row_no") == F.col("row_total")}[anchor]
     own = F.array(F.col("sale_date"))
     dates = F.when(ends, F.concat(own, days_after(F.col("sale_date"), horizon))).otherwise(own)
     values = [c for c in split.columns
-              if c not in {"brand", "sale_date", "row_no", "row_total", "is_train", *known}]
+              if c not in {"brand", "sale_date", "row_no", "row_total", "is_train"}]
     placed = split.select("*", F.posexplode(dates).alias("_step", "_date"))
     is_own = F.col("_step") == 0
     return placed.select(
         "brand", F.col("_date").alias("sale_date"),
         F.when(~is_own, "future").when(F.col("is_train"), "train").otherwise("test").alias("kind"),
-        *known,
         *[F.when(is_own, F.col(c)).alias(c) for c in values])
 
 
+def carry_regressors(frame: DataFrame, regressors: Sequence[str]) -> DataFrame:
+    """Regressors of future days: those of the series on the same day, else the last known ones.
+
+    Both lookups are windows inside the brand, so the frame is not exchanged again.
+    """
+    same_day = frame.selectExpr(*[c for c in frame.columns if c not in regressors], *[
+        f"coalesce({c}, max({c}) OVER (PARTITION BY brand, sale_date)) AS {c}" for c in regressors])
+    return same_day.withColumns({c: F.last(c, ignorenulls=True).over(up_to_here()) for c in regressors})
+
+
 def future_frame(split: DataFrame, regressors: Sequence[str],
                  horizon: int = S.HORIZON_DAYS, anchor: str = "train_end") -> DataFrame:
     """Train dates and ``horizon`` days after them, with regressors.
@@ -143,8 +165,6 @@ def future_frame(split: DataFrame, regressors: Sequence[str],
     A future day takes the regressors of the same day of the full series where there is one; what is
     missing is carried forward from the day before.
     """
-    frame = with_horizon(split.select("brand", "sale_date", "row_no", "row_total", "is_train"),
-                         horizon, anchor).where("kind <> 'test'")
-    looked_up = frame.join(split.select("brand", "sale_date", *regressors), ["brand", "sale_date"], "left")
-    return looked_up.withColumns(
-        {c: F.last(c, ignorenulls=True).over(up_to_here()) for c in regressors})
+    frame = with_horizon(
+        split.select("brand", "sale_date", *regressors, "row_no", "row_total", "is_train"), horizon, anchor)
+    return carry_regressors(frame, regressors).where("kind <> 'test'")

@@ -38,6 +38,10 @@ def run_all(raw: DataFrame, events: DataFrame, tie_break: Sequence[str], out: st
         publish(df, f"{out}/{name}")
         return read_published(spark, f"{out}/{name}")
 
+    def stored_if_any(df: DataFrame, name: str) -> DataFrame:
+        """If every brand is skipped there is nothing to publish; an earlier version stays in place."""
+        return df if df.isEmpty() else stored(df, name)
+
     refreshed = popularity_refresh(raw, interest_scores(events))
     daily = stored(daily_brand_summary(refreshed, tie_break), "processed_sales")
 
@@ -48,11 +52,11 @@ def run_all(raw: DataFrame, events: DataFrame, tie_break: Sequence[str], out: st
     second_scored = stored(sequence.score_series(series, fit=fit), "sequence_scored")
 
     tables = {"processed_sales": daily}
-    tables["decomposable_forecast"] = stored(
+    tables["decomposable_forecast"] = stored_if_any(
         decomposable.forecast_rows(first_scored), "decomposable_forecast")
-    tables["sequence_forecast"] = stored(sequence.forecast_rows(second_scored), "sequence_forecast")
-    tables["decomposable_metrics"] = stored(holdout_metrics(first_scored), "decomposable_metrics")
-    tables["sequence_metrics"] = stored(sequence_metrics(second_scored), "sequence_metrics")
+    tables["sequence_forecast"] = stored_if_any(sequence.forecast_rows(second_scored), "sequence_forecast")
+    tables["decomposable_metrics"] = stored_if_any(holdout_metrics(first_scored), "decomposable_metrics")
+    tables["sequence_metrics"] = stored_if_any(sequence_metrics(second_scored), "sequence_metrics")
 
     first, second = tables["decomposable_forecast"], tables["sequence_forecast"]
     both = {"decomposable": first, "sequence": second}

@@ -38,6 +38,11 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return columns.replace_columns(df, {n: f"round({n}, {digits}) + 0D" for n in names})
 
 
+def _stored_sales(spark: SparkSession, sf: str, names: tuple[str, ...] = star.COLUMNS) -> DataFrame:
+    """The raw table as a stored one, for operators that pass over it several times."""
+    return materialize(star.sales(spark, sf, names), "raw-sales")
+
+
 def _daily_sales(spark: SparkSession, sf: str) -> DataFrame:
     """The columns of the daily summary that money reports need."""
     return (star.sales(spark, sf, ("category", "brand", "sale_date", "total_sales"))
@@ -45,13 +50,12 @@ def _daily_sales(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.sum("total_sales").alias("total_sales")))
 
 
-def _series(spark: SparkSession, sf: str) -> DataFrame:
-    return series.brand_series(star.sales(spark, sf, ("brand", "sale_date", "total_sales")))
+def _stored_daily(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(_daily_sales(spark, sf), "daily-sales")
 
 
-def _stored_sales(spark: SparkSession, sf: str, names: tuple[str, ...] = star.COLUMNS) -> DataFrame:
-    """The raw table as a stored one, for operators that pass over it several times."""
-    return materialize(star.sales(spark, sf, names), "raw-sales")
+def _series(spark: SparkSession, sf: str) -> DataFrame:
+    return series.brand_series(star.sales(spark, sf, ("brand", "sale_date", "total_sales")))
 
 
 def _processed(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,16 +66,24 @@ def _processed_series(spark: SparkSession, sf: str) -> DataFrame:
     return series.brand_series(_processed(spark, sf), S.DECOMPOSABLE_REGRESSORS)
 
 
-def _first_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    return decomposable.forecast_rows(decomposable.score_series(_series(spark, sf)))
+def _first_forecast(base: DataFrame) -> DataFrame:
+    return materialize(decomposable.forecast_rows(decomposable.score_series(base)), "forecast")
+
+
+def _both(base: DataFrame) -> dict[str, DataFrame]:
+    """Both forecast tables, stored as a run stores them: reports read them more than once."""
+    second = materialize(weekday_forecast(score_weekday_means(base)), "weekday-forecast")
+    return {"decomposable": _first_forecast(base), "weekday": second}
 
 
-def _second_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    return weekday_forecast(score_weekday_means(_series(spark, sf)))
+def _stored_series(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(_series(spark, sf), "series")
 
 
-def _both(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {"decomposable": _first_forecast(spark, sf), "weekday": _second_forecast(spark, sf)}
+def _sold_and_forecast(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Daily sales and the forecast made from them: one pass over the sale rows for both."""
+    sold = _stored_daily(spark, sf)
+    return sold, _first_forecast(series.brand_series(sold))
 
 
 # --- filling, encoding, scaling -------------------------------------------------------
@@ -86,13 +98,13 @@ def median_impute(spark, sf):
 
 @query
 def label_encode(spark, sf):
-    return columns.label_encode(star.sales(spark, sf, (*IDS, *S.ENCODED)))
+    return columns.label_encode(_stored_sales(spark, sf, (*IDS, *S.ENCODED)))
 
 
 @query
 def zscore(spark, sf):
     scored = ("quantity_sold", "competitor_price", "stock_level", "supply_delay_days", "weather_score")
-    df = columns.zscore(star.sales(spark, sf, (*IDS, *scored)), scored)
+    df = columns.zscore(_stored_sales(spark, sf, (*IDS, *scored)), scored)
     return rounded(df, 4, *scored)
 
 
@@ -189,12 +201,12 @@ def actuals_in_range(spark, sf):
 
 @query
 def latest_date_slice(spark, sf):
-    return slices.latest_date_slice(star.sales(spark, sf, ("sale_date", "brand", "total_sales", *IDS)))
+    return slices.latest_date_slice(_stored_sales(spark, sf, ("sale_date", "brand", "total_sales", *IDS)))
 
 
 @query
 def latest_month_slice(spark, sf):
-    return rounded(slices.latest_month_slice(_daily_sales(spark, sf)), 4, "total_sales")
+    return rounded(slices.latest_month_slice(_stored_daily(spark, sf)), 4, "total_sales")
 
 
 @query
@@ -227,7 +239,7 @@ def trend_score_7d(spark, sf):
 
 @query
 def popularity_refresh(spark, sf):
-    rows = star.sales(spark, sf, (*IDS, "brand", "sale_date", "online_popularity"))
+    rows = _stored_sales(spark, sf, (*IDS, "brand", "sale_date", "online_popularity"))
     scores = trends.interest_scores(star.trend_events(spark, sf))
     return rounded(trends.popularity_refresh(rows, scores), 6, "online_popularity")
 
@@ -289,7 +301,8 @@ def future_frame(spark, sf):
 
 @query
 def decomp_forecast(spark, sf):
-    return rounded(_first_forecast(spark, sf), 2, "predicted_sales", "yhat_lower", "yhat_upper")
+    forecast = decomposable.forecast_rows(decomposable.score_series(_series(spark, sf)))
+    return rounded(forecast, 2, "predicted_sales", "yhat_lower", "yhat_upper")
 
 
 @query
@@ -319,7 +332,7 @@ def sequence_metrics(spark, sf):
 
 @query
 def model_comparison(spark, sf):
-    base = _series(spark, sf)
+    base = _stored_series(spark, sf)
     df = evaluate.compare_metrics(
         evaluate.holdout_metrics(decomposable.score_series(base)),
         evaluate.holdout_metrics(score_weekday_means(base)), ("decomposable", "weekday"))
@@ -328,63 +341,65 @@ def model_comparison(spark, sf):
 
 @query
 def top5_by_model(spark, sf):
-    return rounded(marts.top_brands_by_model(_both(spark, sf)), 2, "mean_forecast")
+    return rounded(marts.top_brands_by_model(_both(_stored_series(spark, sf))), 2, "mean_forecast")
 
 
 @query
 def forecast_overlay(spark, sf):
     # Actuals have four exact decimals, forecasts carry float noise.
-    actual = rounded(_daily_sales(spark, sf), 4, "total_sales")
-    ahead = {k: rounded(v, 2, "predicted_sales") for k, v in _both(spark, sf).items()}
+    sold = _stored_daily(spark, sf)
+    actual = rounded(sold, 4, "total_sales")
+    ahead = {k: rounded(v, 2, "predicted_sales") for k, v in _both(series.brand_series(sold)).items()}
     return marts.forecast_overlay(actual, ahead, first=Date(1996, 1, 1), last=Date(2000, 12, 31))
 
 
 @query
 def forecast_comparison(spark, sf):
-    return rounded(marts.forecast_comparison(_both(spark, sf)), 2, "predicted_sales")
+    return rounded(marts.forecast_comparison(_both(_stored_series(spark, sf))), 2, "predicted_sales")
 
 
 @query
 def ensemble_scores(spark, sf):
-    return rounded(evaluate.ensemble_scores(*_both(spark, sf).values()), 2, "combined_score")
+    return rounded(evaluate.ensemble_scores(*_both(_stored_series(spark, sf)).values()), 2, "combined_score")
 
 
 @query
 def ensemble_best_brand(spark, sf):
-    best = evaluate.best_of(evaluate.ensemble_scores(*_both(spark, sf).values()), "combined_score")
+    best = evaluate.best_of(evaluate.ensemble_scores(*_both(_stored_series(spark, sf)).values()), "combined_score")
     return rounded(best, 2, "combined_score")
 
 
 @query
 def forecast_summary(spark, sf):
-    choice = marts.decision(_processed(spark, sf), *_both(spark, sf).values())
+    sold = _processed(spark, sf)
+    choice = marts.decision(sold, *_both(series.brand_series(sold.select("brand", "sale_date", "total_sales"))).values())
     return marts.forecast_summary(choice, "whole history")
 
 
 @query
 def kpi_overview(spark, sf):
-    df = marts.kpi_overview(_daily_sales(spark, sf), _first_forecast(spark, sf))
+    df = marts.kpi_overview(*_sold_and_forecast(spark, sf))
     return rounded(rounded(df, 4, "this_month_revenue"), 2, "projected_revenue", "fastest_growth")
 
 
 @query
 def kpi_cards(spark, sf):
-    return marts.kpi_cards(marts.kpi_overview(_daily_sales(spark, sf), _first_forecast(spark, sf)))
+    return marts.kpi_cards(marts.kpi_overview(*_sold_and_forecast(spark, sf)))
 
 
 @query
 def category_leaders(spark, sf):
-    df = marts.category_leaders(_daily_sales(spark, sf), marts.category_table(spark, CATEGORIES))
+    df = marts.category_leaders(_stored_daily(spark, sf), marts.category_table(spark, CATEGORIES))
     return rounded(df, 4, "total_sales")
 
 
 @query
 def growth_by_brand(spark, sf):
-    df = marts.monthly_growth(_daily_sales(spark, sf), _first_forecast(spark, sf))
+    df = marts.monthly_growth(*_sold_and_forecast(spark, sf))
     return rounded(rounded(df, 4, "last_month_sales"), 2, "predicted_sales", "growth", "growth_pct")
 
 
 @query
 def growth_ranking(spark, sf):
-    df = marts.growth_ranking(_daily_sales(spark, sf), _first_forecast(spark, sf))
+    df = marts.growth_ranking(*_sold_and_forecast(spark, sf))
     return rounded(rounded(df, 4, "last_month_sales"), 2, "predicted_sales", "growth", "growth_pct")
