@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from salescast import schema as S
 from salescast.operators.quantiles import exact_quantiles, quantile_name
-from salescast.staging import broadcast_if_small
+from salescast.staging import broadcast_if_small, materialize
 
 
 def replace_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
@@ -50,12 +50,25 @@ def constant_fill(df: DataFrame, values: dict[str, int | float]) -> DataFrame:
     return df.fillna(have) if have else df
 
 
-def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """(column, column_encoded): 0..n-1 over the sorted distinct values."""
-    # The window sees the distinct values only, never the fact rows.
-    return (df.select(column).where(F.col(column).isNotNull()).distinct()
-            .withColumn(f"{column}_encoded",
-                        F.row_number().over(Window.orderBy(column)) - 1))
+def label_codes(df: DataFrame, column: str, max_one_task: int = 1_000_000) -> DataFrame:
+    """(column, column_encoded): 0..n-1 over the sorted distinct values.
+
+    The values are numbered by one window if they are counted few, and else by their place
+    in a range-sorted table: rows before the partition plus rows before in the partition.
+    """
+    code = f"{column}_encoded"
+    values = df.select(column).where(F.col(column).isNotNull()).distinct().persist()
+    if values.limit(max_one_task + 1).count() <= max_one_task:
+        return values.withColumn(code, F.row_number().over(Window.orderBy(column)) - 1)
+    # A stored copy keeps the partition numbers of the ids fixed for both readers.
+    placed = materialize(
+        values.orderBy(column).withColumn("_id", F.monotonically_increasing_id())
+        .selectExpr(f"`{column}`", "shiftright(_id, 33) AS _part", "_id & ((1L << 33) - 1) AS _at"),
+        f"codes-{column}")
+    offsets = placed.groupBy("_part").agg(F.expr("count(*) AS _rows")).selectExpr(
+        "_part", "sum(_rows) OVER (ORDER BY _part) - _rows AS _before")
+    return placed.join(F.broadcast(offsets), "_part").selectExpr(
+        f"`{column}`", f"int(_before + _at) AS {code}")
 
 
 def label_encode(df: DataFrame, columns: Sequence[str] = S.ENCODED) -> DataFrame:

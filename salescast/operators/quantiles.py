@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 SAMPLE = 0.05
 _SKETCH_ACCURACY = 100_000
+_BINS = 1024
 # Half widths of a fence, as shares of all ranks. A sample of m rows misplaces a rank by
 # a deviation of at most 0.5 / sqrt(m); a width is used from 25 / width**2 sampled rows on,
 # where it covers ten deviations.
@@ -61,9 +62,28 @@ def exact_quantiles(
         values.selectExpr(f"posexplode(array({', '.join(entries)})) AS (slot, v)")
         .where("v IS NOT NULL")
         .groupBy("slot", "v").agg(F.expr("count(*) AS cnt"))
-        .selectExpr("slot", "v", "cnt", "sum(cnt) OVER (PARTITION BY slot ORDER BY v) - cnt AS before")
+        .selectExpr("*", f"{_bin_of(columns, probs, fences)} AS bin")
     )
-    return inside.crossJoin(F.broadcast(counted)).agg(*map(F.expr, parts)).selectExpr(*results)
+    # Ranks inside a bin need only the bin's values; a fence has at most _BINS + 1 bins.
+    bins = inside.groupBy("slot", "bin").agg(F.expr("sum(cnt) AS bin_rows")).selectExpr(
+        "slot", "bin", "sum(bin_rows) OVER (PARTITION BY slot ORDER BY bin) - bin_rows AS bin_before")
+    ranked = inside.join(F.broadcast(bins), ["slot", "bin"]).selectExpr(
+        "slot", "v", "cnt", "bin_before + sum(cnt) OVER (PARTITION BY slot, bin ORDER BY v) - cnt AS before")
+    return ranked.crossJoin(F.broadcast(counted)).agg(*map(F.expr, parts)).selectExpr(*results)
+
+
+def _bin_of(columns: Sequence[str], probs: Sequence[float],
+            fences: dict[tuple[str, float], tuple[float, float]]) -> str:
+    """SQL text that puts the values inside the fences of a slot into ordered bins of equal width."""
+    cases = []
+    for i, c in enumerate(columns):
+        for j, (low, high) in enumerate(sorted({fences[c, p] for p in probs})):
+            width = (high - low) / _BINS
+            # An open fence means a small table, and a fence without width holds one value.
+            place = (f"least(int(floor((v - double('{low!r}')) / double('{width!r}'))), {_BINS})"
+                     if 0 < width < float("inf") else "0")
+            cases.append(f"WHEN slot = {i} AND v <= double('{high!r}') THEN {j * (_BINS + 1)} + {place}")
+    return f"CASE {' '.join(cases)} END"
 
 
 def _fences(values: DataFrame, columns: Sequence[str], probs: Sequence[float],

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from salescast import schema as S
-from salescast.operators.columns import constant_fill, label_encode, zscore
+from salescast.operators.columns import constant_fill, label_codes, label_encode, zscore
 from salescast.operators.slices import drop_if_present
 from salescast.plans.full_run import run_all
 from salescast.sources import star, tables
@@ -83,6 +83,13 @@ def test_codes_and_scores(spark):
     assert [r.is_holiday for r in constant_fill(df, {"is_holiday": 0, "absent": 1}).collect()] == [0, 0, 0, 1]
 
 
+def test_codes_of_a_large_dictionary(spark):
+    df = spark.range(5000).selectExpr("concat('v', id % 3000) AS brand")
+    got = label_codes(df, "brand", max_one_task=100).collect()
+    assert sorted((r.brand, r.brand_encoded) for r in got) == [
+        (b, i) for i, b in enumerate(sorted(f"v{i}" for i in range(3000)))]
+
+
 def test_whole_run(spark, tmp_path):
     out = str(tmp_path / "out")
     result = run_all(star.sales(spark, SF), star.trend_events(spark, SF), TIE_BREAK, out, "2024-01-30")
