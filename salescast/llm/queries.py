@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import bpe, exact, mixing, simhash, toxicity
+from salescast.llm import bpe, chat, exact, lattice, mixing, simhash, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,6 +28,17 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.windows(given.union(extra)))
+
+
+def op7_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +51,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_simhash": op2_simhash,
     "op4_bpe": op4_bpe,
+    "op6_chat_windows": op6_chat_windows,
+    "op7_lattice": op7_lattice,
     "op8_toxicity": op8_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from salescast.llm.common import keep_rows
 from salescast.llm.components import components, forest
+from salescast.llm.runs import home_pairs, split_homes, whole_keys
 from salescast.staging import materialize
 
 SHINGLE, BITS = 4, 4
-#: Links of a null doc_id: larger than every other id.
-NO_ID = (1 << 63) - 1
+#: From here on stand fingerprints whose documents all have a null id.
+NO_ID = 1 << 62
 #: Pairs compared at a time, and homes of one anchor that share a task.
 PAIRS, HOMES = 1 << 21, 4096
 
@@ -151,43 +152,17 @@ def at_anchors(prints: DataFrame, covering: tuple[Block, ...], bits: int = BITS)
     return prints.select("id", "fp").mapInArrow(each, "cell long, id long, fp long, home boolean")
 
 
-def _whole_cells(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
-    """Batches of sorted rows, regrouped so that all rows of a key are in one batch."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).to_numpy()
-        cut = int(np.searchsorted(keys, keys[-1]))
-        if cut or (held and held[-1].column(key)[-1].as_py() != keys[0]):
-            held.append(batch.slice(0, cut))
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Links that connect the fingerprints near each other, from rows sorted by part."""
-    for batch in _whole_cells(batches, "part"):
+    for batch in whole_keys(batches, "part"):
         part, ids, fps = (batch.column(c).to_numpy() for c in ("part", "id", "fp"))
         fps = fps.view(np.uint64)
-        homes = np.flatnonzero(batch.column("home").to_numpy(zero_copy_only=False))
-        first, last = (np.searchsorted(part, part[homes], side=s) for s in ("left", "right"))
-        ends = np.cumsum(last - first)
-        at = 0
-        while at < len(homes):
-            until = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")), at + 1)
-            count = (last - first)[at:until]
-            left = np.repeat(homes[at:until], count)
-            right = np.arange(len(left)) + np.repeat(first[at:until] - (np.cumsum(count) - count), count)
+        for left, right in home_pairs(part, batch.column("home").to_numpy(zero_copy_only=False), PAIRS):
             near = np.flatnonzero((np.bitwise_count(fps[left] ^ fps[right]) <= bits) & (ids[left] != ids[right]))
             if len(near):
                 nodes, both = np.unique(np.concatenate([ids[left[near]], ids[right[near]]]), return_inverse=True)
                 a, b = forest(both[:len(near)], both[len(near):], len(nodes))
                 yield pa.record_batch([pa.array(nodes[a]), pa.array(nodes[b])], names=["a", "b"])
-            at = until
 
 
 def links(prints: DataFrame, count: int, bits: int = BITS, covering: tuple[Block, ...] | None = None,
@@ -200,16 +175,7 @@ def links(prints: DataFrame, count: int, bits: int = BITS, covering: tuple[Block
     """
     covering = covering or next(c for most, c in COVERINGS if count <= most)
     placed = materialize(at_anchors(prints, covering, bits), "anchors")
-    full = placed.where("home").groupBy("cell").count().where(F.col("count") > homes).select(
-        F.col("cell").alias("full"), F.ceil(F.col("count") / homes).cast("int").alias("n"))
-    n = F.coalesce("n", F.lit(1))
-    own = F.pmod(F.xxhash64("fp"), n).cast("int")
-    every = F.sequence(F.lit(0), n - 1)
-    dealt = (
-        placed.join(full, F.col("cell") == F.col("full"), "left")
-        .select("cell", "id", "fp", "home", own.alias("own"), F.explode(every).alias("nth"))
-        .select(F.xxhash64("cell", "nth").alias("part"), "id", "fp",
-                (F.col("home") & (F.col("own") == F.col("nth"))).alias("home")))
+    dealt = split_homes(placed, homes, "id", "fp")
     return (dealt.repartition("part").sortWithinPartitions("part")
             .mapInArrow(lambda it: _links(it, bits), "a long, b long"))
 
@@ -225,15 +191,16 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
     """
     prints = materialize(fingerprints(docs, shingle), "simhash")
     nodes = materialize(
-        prints.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("least"), F.count(F.lit(1)).alias("n"))
-        .withColumn("id", F.when(F.col("least") == NO_ID, F.col("least")).otherwise(F.col("least"))), "simhash-nodes")
+        prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+        .withColumn("id", F.coalesce("least", F.lit(NO_ID).bitwiseOR(F.shiftrightunsigned("fp", 2)))), "simhash-nodes")
     linked = components(links(nodes, nodes.count(), bits, covering))
     shared = materialize(
         nodes.join(linked, F.col("id") == F.col("node"), "left").where("n > 1 or component is not null")
-        .select(F.col("fp").alias("s_fp"), F.coalesce("component", "least").alias("component")), "simhash-shared")
+        .select(F.col("fp").alias("s_fp"), F.coalesce("component", "id").alias("component")), "simhash-shared")
+    least = F.coalesce("component", "doc_id")
     return prints.join(shared, F.col("fp") == F.col("s_fp"), "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.nullif(F.coalesce("component", "doc_id"), F.lit(NO_ID)).alias("component_id"))
+        F.when(least < NO_ID, least).alias("component_id"))
 
 
 def drop_near(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
