@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import bpe, chat, exact, hmm, lattice, mixing, quality, simhash, toxicity
+from salescast.llm import bpe, chaining, chat, exact, hmm, lattice, mixing, quality, simhash, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -51,6 +51,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat_windows": op6_chat_windows,
     "op7_lattice": op7_lattice,
     "op8_toxicity": op8_toxicity,
+    "op9_chaining": op9_chaining,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
