@@ -81,8 +81,10 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> Da
         _ordered(rows).join(system, F.col("conv").eqNullSafe(F.col("s_conv")), "left").drop("s_conv")
         .withColumn("stretch", stretch).withColumn("span", F.floor(F.col("before") / F.col("stretch"))), "placed-turns")
     end = F.max(F.col("before") + F.col("n")).over(Window.partitionBy("conv", "span"))
-    late = (placed.withColumn("end", end).where(F.col("end") - F.col("before") <= history)
-            .withColumn("span", F.floor(F.col("end") / F.col("stretch"))).withColumn("fresh", F.lit(False)).drop("end"))
+    # The next window begins where this one ends; the last window has none after it.
+    late = (placed.withColumn("end", end).withColumn("next", F.floor(F.col("end") / F.col("stretch")))
+            .where((F.col("end") - F.col("before") <= history) & (F.col("next") > F.col("span")))
+            .withColumn("span", F.col("next")).withColumn("fresh", F.lit(False)).drop("end", "next"))
     each = placed.withColumn("fresh", F.lit(True)).unionByName(late)
     head = F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit("\n"))
     body = escape(F.col("text"))
