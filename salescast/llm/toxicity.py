@@ -76,8 +76,11 @@ class Lexicon:
     exceptions: tuple[str, ...] = ()
 
     def automaton(self):
+        """The entries and exceptions as an Aho-Corasick automaton; None without entries."""
         import ahocorasick
 
+        if not self.weights:
+            return None
         made = ahocorasick.Automaton()
         for entry, weight in self.weights.items():
             made.add_word(entry, (len(entry), weight))
@@ -91,6 +94,8 @@ def matches(folded: str, automaton) -> list[tuple[int, float]]:
     """(start, weight) of each word that matches: its longest entry counts, and none inside an exception phrase."""
     best: dict[int, tuple[int, float]] = {}
     spared: list[tuple[int, int]] = []
+    if automaton is None:
+        return []
     for end, (size, weight) in automaton.iter(folded):
         start = end - size + 1
         if weight is None:
@@ -248,10 +253,10 @@ def score_column(spark: SparkSession, model: Model, text: str = "text") -> Colum
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = held.value
-        automaton = own.lexicon.automaton() if own.lexicon.weights else None
+        automaton = own.lexicon.automaton()
         for texts in batches:
             folded = map(fold, (t.as_py() for t in texts))
-            yield pa.array([own.score(measures(f, matches(f, automaton) if automaton else [])) for f in folded], pa.float64())
+            yield pa.array([own.score(measures(f, matches(f, automaton))) for f in folded], pa.float64())
 
     return score(text_of(text))
 
