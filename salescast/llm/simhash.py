@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.common import keep_rows
+from salescast.llm.common import keep_rows, repeats
 from salescast.llm.components import components, forest
 from salescast.llm.runs import home_pairs, split_homes, whole_keys
 from salescast.staging import materialize
@@ -45,13 +45,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long; a null or empty text has 0."""
+    """(doc_id, text_hash, fp): the fingerprint as a signed long; a null or empty text has 0."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64)
+            yield pa.record_batch([*batch.columns[:2], pa.array(found.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(each, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        each, "doc_id long, text_hash long, fp long")
 
 
 @dataclass(frozen=True)
@@ -180,6 +181,21 @@ def links(prints: DataFrame, count: int, bits: int = BITS, covering: tuple[Block
             .mapInArrow(lambda it: _links(it, bits), "a long, b long"))
 
 
+def _grouped(docs: DataFrame, shingle: int, bits: int, covering: tuple[Block, ...] | None) -> DataFrame:
+    """(doc_id, text_hash, fp, component): components without an id are numbered from NO_ID on."""
+    prints = materialize(fingerprints(docs, shingle), "simhash")
+    without = F.lit(NO_ID).bitwiseOR(F.shiftrightunsigned("fp", 2))
+    nodes = materialize(
+        prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+        .withColumn("id", F.coalesce("least", without)), "simhash-nodes")
+    linked = components(links(nodes, nodes.count(), bits, covering))
+    shared = materialize(
+        nodes.join(linked, F.col("id") == F.col("node"), "left").where("n > 1 or component is not null")
+        .select(F.col("fp").alias("s_fp"), F.coalesce("component", "id").alias("component")), "simhash-shared")
+    return prints.join(shared, F.col("fp") == F.col("s_fp"), "left").select(
+        "doc_id", "text_hash", "fp", F.coalesce("component", "doc_id", without).alias("component"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
                    covering: tuple[Block, ...] | None = None) -> DataFrame:
     """One row a document: doc_id, fingerprint (16 hex digits), component_id, the smallest doc_id reachable.
@@ -189,24 +205,22 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
     component of nothing else has a null component_id. Rows that repeat a doc_id are all returned. An empty
     table gives no rows; other columns are not read.
     """
-    prints = materialize(fingerprints(docs, shingle), "simhash")
-    nodes = materialize(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
-        .withColumn("id", F.coalesce("least", F.lit(NO_ID).bitwiseOR(F.shiftrightunsigned("fp", 2)))), "simhash-nodes")
-    linked = components(links(nodes, nodes.count(), bits, covering))
-    shared = materialize(
-        nodes.join(linked, F.col("id") == F.col("node"), "left").where("n > 1 or component is not null")
-        .select(F.col("fp").alias("s_fp"), F.coalesce("component", "id").alias("component")), "simhash-shared")
-    least = F.coalesce("component", "doc_id")
-    return prints.join(shared, F.col("fp") == F.col("s_fp"), "left").select(
+    return _grouped(docs, shingle, bits, covering).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(least < NO_ID, least).alias("component_id"))
+        F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"))
 
 
 def drop_near(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each group of near copies, all columns as they are.
+    """``docs`` with one row of each group of near copies, that of the smallest doc_id, all columns as they are.
 
-    Of rows that repeat the kept doc_id, all stay that share its fingerprint's group.
+    Where ids repeat (null ones too), rows are told apart by their texts, and one of the rows with the smallest doc_id stays.
     """
-    groups = simhash_groups(docs, shingle, bits)
-    return keep_rows(docs, groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    groups = _grouped(docs, shingle, bits, None)
+    if not repeats(docs, "doc_id"):
+        return keep_rows(docs, groups.where("doc_id <> component or doc_id is null and component < " + str(NO_ID)))
+    keys = groups.where(f"doc_id = component or component >= {NO_ID}").select(
+        F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"), "component").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("r_id"), F.xxhash64("text").alias("r_hash"))
+    return (rows.join(keys, F.col("r_id").eqNullSafe(F.col("k_id")) & (F.col("r_hash") == F.col("k_hash")))
+            .dropDuplicates(["component"]).select("row.*"))

@@ -23,7 +23,7 @@ def test_stages_in_order(spark, documents, labels):
     start = {r.doc_id: r.asDict() for r in documents.collect()}
     bad = {r.doc_id for r in toxicity.toxicity(documents, labels).where("predicted = 1").collect()}
     left = {i: r for i, r in start.items() if i not in bad}
-    assert {r["doc_id"]: r for r in rows["toxicity"]} == left and bad
+    assert {r["doc_id"]: r for r in rows["toxicity"]} == left
     best = {}
     for i, r in left.items():
         best[r["text"]] = max(i, best.get(r["text"], -1))
