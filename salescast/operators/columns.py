@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from salescast import schema as S
 from salescast.operators.quantiles import exact_quantiles, quantile_name
-from salescast.staging import broadcast_if_small, materialize
+from salescast.staging import materialize
 
 
 def replace_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
@@ -50,36 +50,44 @@ def constant_fill(df: DataFrame, values: dict[str, int | float]) -> DataFrame:
     return df.fillna(have) if have else df
 
 
-def label_codes(df: DataFrame, column: str, max_one_task: int = 1_000_000) -> DataFrame:
-    """(column, column_encoded): 0..n-1 over the sorted distinct values.
+def code_tables(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """For each column a stored table (column, column_encoded): 0..n-1 over its sorted distinct values.
 
-    The values are numbered by one window if they are counted few, and else by their place
-    in a range-sorted table: rows before the partition plus rows before in the partition.
+    All columns, which have one type, share one distinct pass and one sorted table. A value's number is its place there:
+    the rows in the partitions before its own, its place in the partition, less the first place of its column. Null
+    and NaN have no number.
     """
-    code = f"{column}_encoded"
-    values = df.select(column).where(F.col(column).isNotNull()).distinct().persist()
-    if values.limit(max_one_task + 1).count() <= max_one_task:
-        return values.withColumn(code, F.row_number().over(Window.orderBy(column)) - 1)
+    slots = F.explode(F.array(*[F.struct(F.lit(i).alias("_slot"), F.col(f"`{c}`").alias("_value")) for i, c in enumerate(columns)]))
+    values = df.select(slots.alias("_e")).select("_e.*").where("_value IS NOT NULL").distinct()
     # A stored copy keeps the partition numbers of the ids fixed for both readers.
     placed = materialize(
-        values.orderBy(column).withColumn("_id", F.monotonically_increasing_id())
-        .selectExpr(f"`{column}`", "shiftright(_id, 33) AS _part", "_id & ((1L << 33) - 1) AS _at"),
-        f"codes-{column}")
+        values.orderBy("_slot", "_value").withColumn("_id", F.monotonically_increasing_id())
+        .selectExpr("_slot", "_value", "shiftright(_id, 33) AS _part", "_id & ((1L << 33) - 1) AS _at"), "codes")
     offsets = placed.groupBy("_part").agg(F.expr("count(*) AS _rows")).selectExpr(
         "_part", "sum(_rows) OVER (ORDER BY _part) - _rows AS _before")
-    return placed.join(F.broadcast(offsets), "_part").selectExpr(
-        f"`{column}`", f"int(_before + _at) AS {code}")
+    # A row a partition, hence at most as many as there are shuffle partitions.
+    numbered = materialize(
+        placed.join(F.broadcast(offsets), "_part").selectExpr("_slot", "_value", "_before + _at AS _place"), "places")
+    firsts = {r["_slot"]: r["_first"] for r in numbered.groupBy("_slot").agg(F.min("_place").alias("_first")).collect()}
+    return {c: numbered.where(f"_slot = {i}").selectExpr(
+        f"_value AS `{c}`", f"int(_place - {firsts.get(i, 0)}) AS `{c}_encoded`") for i, c in enumerate(columns)}
+
+
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    return code_tables(df, [column])[column]
 
 
 def label_encode(df: DataFrame, columns: Sequence[str] = S.ENCODED) -> DataFrame:
-    for c in columns:
-        df = df.join(broadcast_if_small(label_codes(df, c)), c, "left")
+    """Add the code of each column. The tables are stored, so Spark sees their bytes and broadcasts small ones."""
+    for c, codes in code_tables(df, columns).items():
+        df = df.join(codes, c, "left")
     return df
 
 
 def zscore(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Standardise by the mean and sample deviation of the whole column."""
+    """Standardise by the mean and sample deviation of the whole column; NaN counts as null."""
     columns = columns or S.present(df.columns, S.ZSCORED)
+    df = replace_columns(df, {c: f"nanvl(double(`{c}`), null)" for c in columns})
     stats = df.agg(*[F.expr(f"{f}(`{c}`) AS `_{f}_{c}`") for c in columns for f in ("avg", "stddev_samp")])
     return replace_columns(df.crossJoin(F.broadcast(stats)), {
         c: f"(`{c}` - `_avg_{c}`) / (`_stddev_samp_{c}` + double('{S.ZSCORE_EPSILON!r}'))" for c in columns

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salescast import schema as S
 from salescast.operators.columns import (
+    code_tables,
     column_medians,
     constant_fill,
     label_codes,
@@ -17,14 +18,14 @@ from salescast.operators.columns import (
     median_fill,
     replace_columns,
 )
-from salescast.operators.history import HOT_DAY_ROWS, add_sales_history
-from salescast.staging import broadcast_if_small, materialize
+from salescast.operators.history import add_sales_history
+from salescast.staging import materialize
 
 KEYS = ("category", "brand", "sale_date")
 
 
 def daily_brand_summary(
-    raw: DataFrame, tie_break: Sequence[str], hot_day_rows: int = HOT_DAY_ROWS
+    raw: DataFrame, tie_break: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """Raw sale rows to one row per (category, brand, date).
 
@@ -36,10 +37,10 @@ def daily_brand_summary(
     distances from the median to stay exact for columns far from zero. The sale rows are
     thus read once after filling instead of twice.
     """
-    region_codes = broadcast_if_small(label_codes(raw, "region"))
+    region_codes = label_codes(raw, "region")
     medians = column_medians(raw, S.present(raw.columns, S.MEDIAN_FILLED + S.MEDIAN_FILLED_OPTIONAL))
     filled = constant_fill(median_fill(raw, list(medians), medians), {"is_holiday": 0})
-    rows = add_sales_history(filled, tie_break=tie_break, hot_day_rows=hot_day_rows, keep_order=True)
+    rows = add_sales_history(filled, tie_break=tie_break, buckets=buckets, keep_order=True)
     rows = rows.join(region_codes, "region", "left")
 
     scored = S.present(rows.columns, S.ZSCORED)
@@ -74,8 +75,8 @@ def daily_brand_summary(
         "quantity_sold": f"coalesce({z_sum('quantity_sold')}, 0D)",
         **{c: f"try_divide({z_sum(c)}, _n_{c})" for c in scored if c != "quantity_sold"}})
     # The codes number the values of all raw rows, also of those without a valid date.
-    for key in ("category", "brand"):
-        complete = complete.join(label_codes(daily, key), key, "left")
+    for key, codes in code_tables(daily, ("category", "brand")).items():
+        complete = complete.join(codes, key, "left")
     # Rows without a date count for the moments above, but have no day to be summed under.
     complete = complete.where(" AND ".join(f"{k} IS NOT NULL" for k in KEYS))
     return complete.select(S.present(complete.columns, tuple(f.name for f in S.PROCESSED_SALES)))

@@ -1,4 +1,4 @@
-"""Lag and trailing mean over a brand's transaction rows, without one task per brand."""
+"""Lag, trailing mean and gap filling over a brand's transaction rows, without one task per brand."""
 
 from __future__ import annotations
 
@@ -9,49 +9,59 @@ from pyspark.sql import functions as F
 
 from salescast.staging import materialize
 
-HOT_DAY_ROWS = 2_000_000
-_EDGES = 32
 
+def ordered_buckets(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """``df`` stored in ranges of ``order`` (ascending, nulls first), with the number of the range as ``_slice``.
 
-def add_day_slice(df: DataFrame, brand: str, date: str, leading_key: str,
-                  hot_day_rows: int = HOT_DAY_ROWS) -> DataFrame:
-    """Add ``_day`` and ``_slice``: ordered buckets of a brand's rows of bounded size.
+    Rows of a lower slice precede those of a higher one in the very order of the columns' own types, and
+    equal rows share a slice. Spark cuts the ranges from a sample, so a slice holds about as many rows as any
+    other, however many of them belong to one brand or day. The table is stored because another
+    evaluation could cut elsewhere. ``buckets`` sets how many ranges there are; by default it is the number
+    of shuffle partitions, less those that adaptive execution puts together. It decides the cost alone.
+    """
+    keys = [F.col(f"`{c}`") for c in order]
+    dealt = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
+    return materialize(dealt.withColumn("_slice", F.spark_partition_id()), "ordered")
 
-    A day of at most ``hot_day_rows`` rows is one bucket. A hotter day is cut along
-    ``leading_key``, the first tie-break column, which must be numeric: into ranges of equal
-    frequency, each again into steps of equal width. Rows of a lower slice precede
-    those of a higher one, so any cut keeps the order; only the balance depends on the key.
-    Rows without a date form the last bucket of their brand.
 
-    There is at most one hot day per ``hot_day_rows`` rows of input, so the joined
-    table of edges is bounded by rows / hot_day_rows and safe to broadcast.
-    """
-    df = df.withColumn("_day", F.coalesce(F.col(date), F.lit("9999-12-31").cast("date")))
-    day, key = [brand, "_day"], F.col(leading_key).cast("double")
-    hot = (df.groupBy(*day).agg(F.count("*").alias("_rows"))
-           .where(F.col("_rows") > hot_day_rows))
-    if hot.isEmpty():
-        return df.withColumn("_slice", F.lit(0))
-    fractions = [i / _EDGES for i in range(_EDGES + 1)]
-    # Materialized: the edges are approximate, and every branch must cut at the same ones.
-    edges = materialize(
-        df.join(F.broadcast(hot), day)
-        .groupBy(*day)
-        .agg(F.percentile_approx(key, fractions).alias("_edges"),
-             F.ceil(F.count("*") / hot_day_rows / _EDGES).alias("_steps")),
-        "day-edges")
-    inner = F.slice("_edges", 2, _EDGES - 1)
-    part = F.size(F.filter(inner, lambda e: e <= key))
-    low, high = F.element_at("_edges", part + 1), F.element_at("_edges", part + 2)
-    share = F.coalesce(F.try_divide(key - low, high - low), F.lit(0.0))
-    # Keys beyond the outer edges, which are approximate, belong to the outermost steps.
-    step = F.least(F.greatest(F.floor(share * F.col("_steps")), F.lit(0)), F.col("_steps") - 1)
-    # Null keys sort first, and so do the rows of slice 0.
-    sliced = F.when(F.col("_edges").isNotNull() & key.isNotNull(),
-                    (part * F.col("_steps") + step).cast("int")).otherwise(0)
-    return (df.join(F.broadcast(edges), day, "left")
-            .withColumn("_slice", sliced)
-            .drop("_edges", "_steps"))
+class _Buckets:
+    """Rows of a brand in slices, and for each slice what the rows before and after it bring along."""
+
+    def __init__(self, df: DataFrame, value: str, brand: str, date: str, tie_break: Sequence[str], buckets: int | None):
+        self.columns = df.columns
+        # Rows without a date come last in their brand.
+        dated = df.withColumn("_day", F.coalesce(F.col(date), F.lit("9999-12-31").cast("date")))
+        self.rows = ordered_buckets(dated, [brand, "_day", *tie_break], buckets)
+        self.brand = brand
+        keys, ties = f"{brand}, _slice", ("_day", *tie_break)
+        self.ascending = f"PARTITION BY {keys} ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in ties)}"
+        descending = f"PARTITION BY {keys} ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in ties)}"
+        along = f"PARTITION BY {brand} ORDER BY _slice"
+        tails = (
+            self.rows.where(f"{brand} IS NOT NULL")
+            .selectExpr(brand, "_slice", f"{value} AS _v", f"row_number() OVER ({self.ascending}) AS _rn",
+                        f"row_number() OVER ({descending}) AS _from_end")
+            .groupBy(brand, "_slice").agg(*map(F.expr, (
+                "max(CASE WHEN _from_end = 1 THEN _v END) AS _last",
+                "max(CASE WHEN _from_end = 2 THEN _v END) AS _second",
+                "count(*) AS _n",
+                "min(CASE WHEN _v IS NOT NULL THEN struct(_rn, _v) END) AS _first_known",
+                "max(CASE WHEN _v IS NOT NULL THEN struct(_rn, _v) END)._v AS _last_known"))))
+        placed = tails.selectExpr(
+            "*", f"sum(_n) OVER ({along}) - _n AS _start",
+            f"lag(_last) OVER ({along}) AS _carry_1",
+            f"CASE WHEN lag(_n) OVER ({along}) >= 2 THEN lag(_second) OVER ({along})"
+            f" ELSE lag(_last, 2) OVER ({along}) END AS _carry_2",
+            f"last_value(_last_known, true) OVER ({along} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _known_before",
+            f"first_value(_first_known._v, true) OVER ({along} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS _known_after")
+        opening = f"min(CASE WHEN _first_known IS NOT NULL THEN struct(_start + _first_known._rn AS at, _first_known._v AS v) END) OVER (PARTITION BY {brand})"
+        # One row a brand and slice it reaches into: about as many as there are slices and brands.
+        self.carry = materialize(placed.selectExpr(
+            brand, "_slice", "_carry_1", "_carry_2", "_known_before", "_known_after",
+            f"{opening} AS _opening", f"sum(_n) OVER (PARTITION BY {brand}) AS _total"), "carried")
+
+    def joined(self, *windows: str) -> DataFrame:
+        return self.rows.selectExpr("*", *windows).join(self.carry, [self.brand, "_slice"], "left")
 
 
 def add_sales_history(
@@ -61,58 +71,50 @@ def add_sales_history(
     value: str = "total_sales",
     brand: str = "brand",
     date: str = "sale_date",
-    hot_day_rows: int = HOT_DAY_ROWS,
+    buckets: int | None = None,
     keep_order: bool = False,
 ) -> DataFrame:
     """Add ``sales_lag_1`` and ``sales_ma_3`` in the order (brand, date, tie-break).
 
-    The lag is that of the previous *row* of the brand, filled forward and then backward, so the
-    first row of a brand takes its own value unless it is the only one. The mean is over the
-    row and the two before it. ``value`` has been filled before, and ``tie_break`` makes the
-    order total.
+    The lag is the value of the brand's previous *row*, filled forward and then backward: where that row has
+    none it is the last known value before, and where there is none before it is the first one known, if
+    a row follows it. So the first row of a brand takes its own value unless it is the only one. The mean
+    is over the known values of the row and the two before it. ``tie_break`` makes the order total;
+    its columns may have any type that sorts.
 
-    Rows are windowed inside (brand, day, slice) buckets. The two rows that precede a
-    bucket come from a small table with the last two values of every bucket.
-    With ``keep_order`` the position of a row in its brand-day stays as ``_position``.
+    Rows are windowed inside (brand, slice) buckets of bounded size; what precedes a bucket comes from a small table
+    with the ends of every bucket. With ``keep_order`` the position of a row in its brand stays as ``_position``.
     """
-    columns = df.columns
-    df = add_day_slice(df, brand, date, tie_break[0], hot_day_rows)
-    keys = f"{brand}, _day, _slice"
-    ascending = f"(PARTITION BY {keys} ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in tie_break)})"
-    descending = f"(PARTITION BY {keys} ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in tie_break)})"
-    along = f"(PARTITION BY {brand} ORDER BY _day, _slice)"
-
-    tails = (
-        df.selectExpr(brand, "_day", "_slice", f"{value} AS _v", f"row_number() OVER {descending} AS _from_end")
-        .where("_from_end <= 2")
-        .groupBy(brand, "_day", "_slice")
-        .agg(F.expr("max(CASE WHEN _from_end = 1 THEN _v END) AS _last"),
-             F.expr("max(CASE WHEN _from_end = 2 THEN _v END) AS _second"),
-             F.expr("count(*) AS _n"))
-    )
-    carry = tails.selectExpr(
-        brand, "_day", "_slice",
-        f"lag(_last) OVER {along} AS _carry_1",
-        f"CASE WHEN lag(_n) OVER {along} = 2 THEN lag(_second) OVER {along}"
-        f" ELSE lag(_last, 2) OVER {along} END AS _carry_2",
-        f"lag(_n) OVER {along} IS NULL AS _opens_brand",
-        f"sum(_n) OVER (PARTITION BY {brand}) >= 2 AS _has_more")
-
-    before = (
-        df.selectExpr("*", f"row_number() OVER {ascending} AS _rn",
-                      f"lag({value}, 1) OVER {ascending} AS _prev_1",
-                      f"lag({value}, 2) OVER {ascending} AS _prev_2")
-        .join(carry, [brand, "_day", "_slice"], "left")
-        .selectExpr(*columns, "_slice", "_rn", "_opens_brand", "_has_more",
-                    "CASE WHEN _rn = 1 THEN _carry_1 ELSE _prev_1 END AS _p1",
-                    "CASE _rn WHEN 1 THEN _carry_2 WHEN 2 THEN _carry_1 ELSE _prev_2 END AS _p2")
-    )
+    own = _Buckets(df, value, brand, date, tie_break, buckets)
+    over = own.ascending
+    before = own.joined(
+        f"row_number() OVER ({over}) AS _rn", f"lag({value}, 1) OVER ({over}) AS _prev_1", f"lag({value}, 2) OVER ({over}) AS _prev_2",
+        f"last_value({value}, true) OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _known",
+    ).selectExpr(*own.columns, "_slice", "_rn", "_known", "_known_before", "_opening", "_total",
+                 "CASE WHEN _rn = 1 THEN _carry_1 ELSE _prev_1 END AS _p1",
+                 "CASE _rn WHEN 1 THEN _carry_2 WHEN 2 THEN _carry_1 ELSE _prev_2 END AS _p2")
     known = " + ".join(f"int({x} IS NOT NULL)" for x in (value, "_p1", "_p2"))
     total = " + ".join(f"coalesce({x}, 0D)" for x in (value, "_p1", "_p2"))
     # A row without a brand belongs to no series: no lag, and its own value as the mean.
     return before.selectExpr(
-        *columns,
-        f"CASE WHEN {brand} IS NULL THEN NULL WHEN _rn = 1 AND _opens_brand"
-        f" THEN CASE WHEN _has_more THEN {value} END ELSE _p1 END AS sales_lag_1",
+        *own.columns,
+        f"CASE WHEN {brand} IS NOT NULL THEN coalesce(_known, _known_before,"
+        f" CASE WHEN _opening.at < _total THEN _opening.v END) END AS sales_lag_1",
         f"CASE WHEN {brand} IS NULL THEN {value} ELSE try_divide({total}, {known}) END AS sales_ma_3",
         *([f"bigint(_slice) * {1 << 40} + _rn AS _position"] if keep_order else []))
+
+
+def fill_forward_back(
+    df: DataFrame, value: str, *, tie_break: Sequence[str], brand: str = "brand", date: str = "sale_date", buckets: int | None = None,
+) -> DataFrame:
+    """Fill nulls of ``value`` with the brand's last known value before the row, else the first one after it.
+
+    A brand without any value keeps its nulls, and so do rows without a brand.
+    """
+    own = _Buckets(df, value, brand, date, tie_break, buckets)
+    over = own.ascending
+    filled = own.joined(
+        f"last_value({value}, true) OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _known",
+        f"first_value({value}, true) OVER ({over} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _next")
+    new = (f"CASE WHEN {brand} IS NULL THEN {value} ELSE coalesce(_known, _known_before, _next, _known_after) END AS {value}")
+    return filled.selectExpr(*[new if c == value else f"`{c}`" for c in own.columns])

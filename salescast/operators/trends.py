@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salescast import schema as S
 from salescast.operators.slices import drop_if_present, latest_date_slice
-from salescast.staging import broadcast_if_small
+from salescast.staging import materialize
 
 
 def interest_scores(events: DataFrame, days: int = S.WINDOW_DAYS) -> DataFrame:
@@ -48,6 +48,6 @@ def popularity_refresh(sales: DataFrame, scores: DataFrame,
     Only brands that sold on the latest date have a current score. The others get null for
     their whole history, which the median fill handles later.
     """
-    current = scores_for(latest_date_slice(sales), scores, fallback)
-    return (drop_if_present(sales, "online_popularity")
-            .join(broadcast_if_small(current), "brand", "left"))
+    # Stored, so that Spark sees its bytes and broadcasts it where it is small.
+    current = materialize(scores_for(latest_date_slice(sales), scores, fallback), "current-scores")
+    return drop_if_present(sales, "online_popularity").join(current, "brand", "left")

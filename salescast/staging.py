@@ -1,12 +1,17 @@
-"""Durable intermediate tables and size-checked broadcasts."""
+"""Durable intermediate tables, and their removal."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+#: Folders that stand, by the scope they were written in; the last scope is the innermost.
+_SCOPES: list[list[tuple[SparkSession, str]]] = [[]]
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,24 +33,43 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result feeds several branches: it is computed once, its lineage
-    is cut, and a lost executor costs a re-read instead of a recomputation.
+    is cut, and a lost executor costs a re-read instead of a recomputation. The table
+    stands until the innermost :func:`scope` ends, or else until the program does.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/salescast/{label}-{uuid.uuid4().hex}"
+    _SCOPES[-1].append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``dim`` has at most ``max_rows`` rows.
+def _remove(tables: list[tuple[SparkSession, str]]) -> None:
+    while tables:
+        spark, path = tables.pop()
+        gateway = spark.sparkContext._jvm
+        place = gateway.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Remove the tables that :func:`materialize` writes inside, at its end.
 
-    A larger table is returned without a hint, so the join falls back to a shuffle.
-    ``dim`` is persisted, so that the count and the join compute it once.
+    A query's result may read such tables until it is written, so its action belongs inside too.
     """
-    dim = dim.persist()
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+    tables: list[tuple[SparkSession, str]] = []
+    _SCOPES.append(tables)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(tables)
+        _remove(tables)
+
+
+@atexit.register
+def _remove_rest() -> None:
+    with suppress(Exception):  # the session may be gone; its folder then stays
+        _remove(_SCOPES[0])
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

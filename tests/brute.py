@@ -14,19 +14,30 @@ def median(values):
     return known[middle] if len(known) % 2 else (known[middle - 1] + known[middle]) / 2
 
 
-def history(rows, brand, date, order, value):
+def pandas_series(values):
+    return pd.Series(values, dtype=float)
+
+
+def known(series):
+    return [None if math.isnan(v) else v for v in series]
+
+
+def history(rows, brand, date, order, value, null_first=False):
     """Lag and trailing mean of each row index, walking one brand after another."""
     by_brand = {}
     for i, row in enumerate(rows):
         by_brand.setdefault(row[brand], []).append(i)
+
+    def place(i):
+        keys = [rows[i][k] for k in order]
+        return (rows[i][date] is None, rows[i][date] or 0, *([(k is not None, k or 0) for k in keys] if null_first else keys))
+
     lag, mean = {}, {}
     for members in by_brand.values():
-        members.sort(key=lambda i: (rows[i][date] is None, rows[i][date] or 0, *[rows[i][k] for k in order]))
-        sales = [rows[i][value] for i in members]
-        for at, i in enumerate(members):
-            lag[i] = sales[at - 1] if at else (sales[0] if len(sales) > 1 else None)
-            last = sales[max(0, at - 2):at + 1]
-            mean[i] = sum(last) / len(last)
+        members.sort(key=place)
+        sales = pandas_series([rows[i][value] for i in members])
+        for i, a, b in zip(members, known(sales.shift(1).ffill().bfill()), known(sales.rolling(3, min_periods=1).mean())):
+            lag[i], mean[i] = a, b
     return lag, mean
 
 

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from salescast.operators.history import add_day_slice, add_sales_history
+from salescast.operators.history import add_sales_history, fill_forward_back, ordered_buckets
 from tests import brute
 
 SCHEMA = "brand string, sale_date date, k1 long, k2 int, total_sales double"
@@ -46,27 +46,61 @@ def test_ties_follow_the_second_key(spark):
     check(spark, [("a", DAY, 7, k, float(k)) for k in (3, 1, 2)] + [("a", DAY, 6, 9, 100.0)])
 
 
-@pytest.mark.parametrize("hot_day_rows", [1, 7, 60])
-def test_hot_days_are_cut_without_changing_results(spark, hot_day_rows):
+def hot_rows():
     """One brand-day holds most rows; its keys are far from uniform."""
     rng = random.Random(3)
     rows = [("hot", DAY, k, 0, float(k % 97)) for k in rng.sample(range(300), 200)]
     rows += [("hot", DAY, 10**12 + i, 0, float(i)) for i in range(40)]
-    rows += random_rows(100, 3, 5, 4)
-    check(spark, rows, hot_day_rows=hot_day_rows)
+    return rows + random_rows(100, 3, 5, 4)
 
 
-def test_hot_day_slices_are_balanced_and_ordered(spark):
+@pytest.mark.parametrize("buckets", [1, 3, 17, 200])
+def test_hot_days_are_cut_without_changing_results(spark, buckets):
+    check(spark, hot_rows(), buckets=buckets)
+
+
+@pytest.mark.parametrize("buckets", [1, 40])
+def test_text_null_and_tied_keys(spark, buckets):
+    """Keys sort as their own type does: '10' before '9', and nulls before both."""
+    rows = [(b, d, None if k == 5 else str(k), t, None if null else float(k)) for b in ("a", "b", None)
+            for k, (d, t, null) in enumerate([(DAY, i % 2, i % 4 == 1) for i in range(30)])]
+    df = spark.createDataFrame(rows, SCHEMA.replace("k1 long", "k1 string"))
+    records = [r.asDict() for r in add_sales_history(df, tie_break=("k1", "k2"), buckets=buckets).collect()]
+    lag, mean = brute.history(records, "brand", "sale_date", ("k1", "k2"), "total_sales", null_first=True)
+    assert len(records) == len(rows)
+    for i, r in enumerate(records):
+        if r["brand"] is None:
+            assert r["sales_lag_1"] is None and r["sales_ma_3"] == r["total_sales"]
+        else:
+            assert r["sales_lag_1"] == lag[i] and r["sales_ma_3"] == pytest.approx(mean[i])
+
+
+@pytest.mark.parametrize("values", [
+    [5.0, None, 7.0, 8.0], [None, None, 3.0], [None, 3.0, None], [None, None], [None], [4.0, None], [None, 2.0, None, None, 6.0]])
+@pytest.mark.parametrize("buckets", [1, 9])
+def test_gaps_take_the_last_known_value_else_the_first(spark, values, buckets):
+    rows = [("a", DAY, i, 0, v) for i, v in enumerate(values)] + [("b", DAY, 1, 0, 1.0), ("b", DAY, 2, 0, 2.0), (None, DAY, 1, 0, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    series = brute.pandas_series(values)
+    got = {r.k1: r.sales_lag_1 for r in add_sales_history(df, tie_break=("k1", "k2"), buckets=buckets).where("brand = 'a'").collect()}
+    assert [got[i] for i in range(len(values))] == brute.known(series.shift(1).ffill().bfill())
+    out = fill_forward_back(df, "total_sales", tie_break=("k1", "k2"), buckets=buckets)
+    assert out.columns == df.columns
+    got = {r.k1: r.total_sales for r in out.where("brand = 'a'").collect()}
+    assert [got[i] for i in range(len(values))] == brute.known(series.ffill().bfill())
+    assert out.where("brand is null and total_sales is null").count() == 1
+
+
+def test_buckets_are_balanced_and_ordered(spark):
     rows = [("hot", DAY, k * k, 0, 1.0) for k in range(5000)] + [("cold", DAY, 1, 0, 1.0)]
-    got = add_day_slice(spark.createDataFrame(rows, SCHEMA), "brand", "sale_date", "k1", 100).collect()
+    got = ordered_buckets(spark.createDataFrame(rows, SCHEMA), ["brand", "sale_date", "k1"], 50).collect()
     by_key = sorted((r.k1, r._slice) for r in got if r.brand == "hot")
     slices = [s for _, s in by_key]
     assert slices == sorted(slices)
     assert max(slices.count(s) for s in set(slices)) <= 320
-    assert {r._slice for r in got if r.brand == "cold"} == {0}
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(seed=st.integers(0, 10**6), hot=st.sampled_from([2, 5, 1000]))
-def test_random_tables(spark, seed, hot):
-    check(spark, random_rows(80, 3, 6, seed, null_dates=True), hot_day_rows=hot)
+@given(seed=st.integers(0, 10**6), buckets=st.sampled_from([2, 30, None]))
+def test_random_tables(spark, seed, buckets):
+    check(spark, random_rows(80, 3, 6, seed, null_dates=True), buckets=buckets)

@@ -1,12 +1,14 @@
 """Physical plans: what is exchanged, broadcast, pushed down and kept out of Python."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from salescast.models import decomposable
 from salescast.operators import history, series, slices, trends
 from salescast.sources import star
-from salescast.staging import broadcast_if_small
+from salescast.staging import materialize
 from tests.conftest import SF
 
 
@@ -23,8 +25,10 @@ def no_aqe(spark):
 
 def test_checked_queries_stay_out_of_python(spark, monkeypatch):
     for name in oracle_sql():
-        if name in ("forecast_summary", "active_regressors", "daily_brand_summary"):
+        if name in ("forecast_summary", "active_regressors", "daily_brand_summary", "daily_summary_hot_days"):
             continue  # covered below: they share one expensive preparation
+        if name.startswith("op") or name == "pipeline":
+            continue  # their own tests say which of them run Python
         text = plan(queries()[name](spark, SF))
         assert "InPandas" not in text and "EvalPython" not in text, name
 
@@ -34,17 +38,15 @@ def test_daily_summary_stays_out_of_python(processed):
 
 
 def test_sale_rows_are_exchanged_once_for_lag_and_mean(spark, raw_sales, no_aqe):
-    df = history.add_sales_history(raw_sales, tie_break=star.TIE_BREAK)
-    text = plan(df)
-    # full rows once; their narrow tail copy is cut to two rows a bucket before its exchange
-    wide = [x for x in text.splitlines() if "Exchange hashpartitioning" in x and "_day" in x]
-    assert len(wide) == 2 and text.count("WindowGroupLimit") == 2
+    """The ordered rows are stored; their windows need one exchange by brand and slice, and the carried rows none."""
+    text = plan(history.add_sales_history(raw_sales, tie_break=star.TIE_BREAK))
+    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
 
 
 def test_decomposable_fit_uses_exchanges_of_the_series_only(spark, raw_sales, no_aqe):
     base = series.brand_series(raw_sales.select("brand", "sale_date", "total_sales"))
     text = plan(decomposable.score_series(base))
-    assert text.count("Exchange hashpartitioning(brand#") <= 5
+    assert len(re.findall(r"Exchange hashpartitioning\(brand#\d+, \d+\)", text)) == 1
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
@@ -61,13 +63,14 @@ def test_filters_reach_the_scan(spark, raw_sales, no_aqe):
     assert "EqualTo(brand,Brand#7)" in pushed and "GreaterThanOrEqual(sale_date" in pushed
 
 
-def test_scores_are_broadcast_only_when_counted_small(spark, no_aqe):
-    dim = spark.range(100).withColumnRenamed("id", "k")
+def test_stored_dimensions_are_broadcast_by_their_bytes(spark, no_aqe):
     fact = spark.range(10**6).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    small = materialize(spark.range(100).selectExpr("id AS k"), "small")
+    wide = materialize(spark.range(100).selectExpr("id AS k", "repeat(uuid(), 1000) AS text"), "wide")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
     try:
-        assert "BroadcastHashJoin" in plan(fact.join(broadcast_if_small(dim), "k"))
-        assert "SortMergeJoin" in plan(fact.join(broadcast_if_small(dim, max_rows=99), "k"))
+        assert "BroadcastHashJoin" in plan(fact.join(small, "k"))
+        assert "SortMergeJoin" in plan(fact.join(wide, "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
