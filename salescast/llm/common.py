@@ -49,6 +49,8 @@ def keep_rows(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataF
 
 def words_of(texts: pa.Array, lower: bool = True) -> pa.ListArray:
     """The words of each text, with A-Z lowered."""
+    if texts.offset:  # the cast to large strings misreads slices
+        texts = texts.take(pa.array(np.arange(len(texts))))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if lower:
         texts = pc.ascii_lower(texts)
