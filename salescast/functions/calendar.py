@@ -11,8 +11,11 @@ from salescast import schema as S
 
 
 def lenient_date(text: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    """ISO text to date; anything else becomes null instead of failing the job."""
-    return F.try_to_date(text, pattern)
+    """ISO text to date; anything else becomes null instead of failing the job.
+
+    A time of day behind the date, after a space or a ``T``, is left out.
+    """
+    return F.try_to_date(F.regexp_replace(text, r"^\s*(\d{4}-\d{2}-\d{2})[T ]\d{2}:\d{2}.*$", "$1"), pattern)
 
 
 def month_start(date: Column) -> Column:

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 0.05
+#: Rows that the sketches see, of a table of any size: one task can merge them.
+SAMPLE_ROWS = 2_000_000
 _SKETCH_ACCURACY = 100_000
-_BINS = 1024
+#: Bins inside a fence: between sampled quantiles, each cut into steps of equal width.
+_PARTS, _STEPS = 32, 32
 # Half widths of a fence, as shares of all ranks. A sample of m rows misplaces a rank by
 # a deviation of at most 0.5 / sqrt(m); a width is used from 25 / width**2 sampled rows on,
 # where it covers ten deviations.
@@ -21,20 +23,23 @@ def quantile_name(column: str, prob: float) -> str:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5,), sample: float = SAMPLE
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5,), sample: float | None = None
 ) -> DataFrame:
     """One row with a column ``quantile_name(c, p)`` for every column and probability.
 
     Nulls and NaN are ignored, ranks between two values are interpolated linearly.
 
-    A sketch over a sample first fences each quantile between two values close to its rank.
-    All rows are then counted against the fences: how many lie below, and how often each
-    distinct value occurs inside. Only that sliver, 1e-4 of a large table, is grouped by value and
+    A sketch over a sample (about ``SAMPLE_ROWS`` rows, or the share ``sample``) first fences each quantile
+    between two values close to its rank. All rows are then counted against the fences: how many lie below, and
+    how often each distinct value occurs inside. Only that sliver, 1e-2 of a large table, is grouped by value and
     ranked. The sample decides the fences only; the counts are of all rows, so the answer is exact,
     and a rank outside its fence fails the job instead of yielding an estimate.
     """
     values = df.selectExpr(*[f"nanvl(double(`{c}`), null) AS `{c}`" for c in columns])
-    fences = _fences(values, columns, probs, sample)
+    if sample is None:
+        sample = min(1.0, SAMPLE_ROWS / max(df.count(), 1))
+    cuts = _fences(values, columns, probs, sample)
+    fences = {k: (x[0], x[-1]) for k, x in cuts.items()}
 
     totals, entries, results, parts = [], [], [], []
     for i, c in enumerate(columns):
@@ -59,12 +64,13 @@ def exact_quantiles(
 
     counted = values.agg(*map(F.expr, totals))
     inside = (
-        values.selectExpr(f"posexplode(array({', '.join(entries)})) AS (slot, v)")
-        .where("v IS NOT NULL")
+        # Few rows have a value inside a fence; the others leave before they become a row a column.
+        values.selectExpr(f"filter(transform(array({', '.join(entries)}), (v, slot) -> struct(slot, v)), e -> e.v IS NOT NULL) AS e")
+        .where("size(e) > 0").selectExpr("inline(e)")
         .groupBy("slot", "v").agg(F.expr("count(*) AS cnt"))
-        .selectExpr("*", f"{_bin_of(columns, probs, fences)} AS bin")
+        .selectExpr("*", f"{_bin_of(columns, probs, cuts)} AS bin")
     )
-    # Ranks inside a bin need only the bin's values; a fence has at most _BINS + 1 bins.
+    # Ranks inside a bin need only the bin's values; a fence has a fixed number of bins.
     bins = inside.groupBy("slot", "bin").agg(F.expr("sum(cnt) AS bin_rows")).selectExpr(
         "slot", "bin", "sum(bin_rows) OVER (PARTITION BY slot ORDER BY bin) - bin_rows AS bin_before")
     ranked = inside.join(F.broadcast(bins), ["slot", "bin"]).selectExpr(
@@ -72,34 +78,37 @@ def exact_quantiles(
     return ranked.crossJoin(F.broadcast(counted)).agg(*map(F.expr, parts)).selectExpr(*results)
 
 
-def _bin_of(columns: Sequence[str], probs: Sequence[float],
-            fences: dict[tuple[str, float], tuple[float, float]]) -> str:
-    """SQL text that puts the values inside the fences of a slot into ordered bins of equal width."""
+def _bin_of(columns: Sequence[str], probs: Sequence[float], cuts: dict[tuple[str, float], list[float]]) -> str:
+    """SQL text that puts the values inside the fences of a slot into ordered bins of about as many rows each."""
     cases = []
     for i, c in enumerate(columns):
-        for j, (low, high) in enumerate(sorted({fences[c, p] for p in probs})):
-            width = (high - low) / _BINS
-            # An open fence means a small table, and a fence without width holds one value.
-            place = (f"least(int(floor((v - double('{low!r}')) / double('{width!r}'))), {_BINS})"
-                     if 0 < width < float("inf") else "0")
-            cases.append(f"WHEN slot = {i} AND v <= double('{high!r}') THEN {j * (_BINS + 1)} + {place}")
+        by_fence = {(cuts[c, p][0], cuts[c, p][-1]): cuts[c, p] for p in probs}
+        for j, (low, high) in enumerate(sorted(by_fence)):
+            inner = [f"double('{x!r}')" for x in by_fence[low, high] if abs(x) < float("inf")]
+            edges = f"array({', '.join(inner)})" if inner else "array(double('0'))"
+            part = f"size(filter({edges}, e -> e <= v))"
+            # Beyond the first and last edge there is nothing to divide; an open fence has no edges.
+            from_, to = f"element_at({edges}, greatest({part}, 1))", f"element_at({edges}, least({part} + 1, {max(len(inner), 1)}))"
+            step = f"least(greatest(int(floor(coalesce(try_divide(v - {from_}, {to} - {from_}), 0D) * {_STEPS})), 0), {_STEPS - 1})"
+            cases.append(f"WHEN slot = {i} AND v <= double('{high!r}') THEN {j * (_PARTS + 2) * _STEPS} + {part} * {_STEPS} + {step}")
     return f"CASE {' '.join(cases)} END"
 
 
 def _fences(values: DataFrame, columns: Sequence[str], probs: Sequence[float],
-            sample: float) -> dict[tuple[str, float], tuple[float, float]]:
-    """Low and high fence of every (column, probability), from one small row of the sample."""
-    cuts = [min(max(p + side * w, 0.0), 1.0) for p in probs for w in _WIDTHS for side in (-1, 1)]
-    array = ", ".join(f"{x!r}D" for x in cuts)
-    row = values.sample(sample, seed=7).selectExpr(*[
+            sample: float) -> dict[tuple[str, float], list[float]]:
+    """Sampled values around the rank of every (column, probability), from the low fence to the high one."""
+    at = [min(max(p + w * (2 * k / _PARTS - 1), 0.0), 1.0) for p in probs for w in _WIDTHS for k in range(_PARTS + 1)]
+    array = ", ".join(f"{x!r}D" for x in at)
+    sampled = values if sample >= 1 else values.sample(sample, seed=7)
+    row = sampled.selectExpr(*[
         expression for c in columns for expression in (
             f"count(`{c}`) AS `n_{c}`",
             f"percentile_approx(`{c}`, array({array}), {_SKETCH_ACCURACY}) AS `q_{c}`")]).first()
-    fences = {}
+    cuts = {}
     for c in columns:
         width = next((i for i, w in enumerate(_WIDTHS) if row[f"n_{c}"] >= 25 / w**2), None)
         for i, p in enumerate(probs):
-            at = None if width is None else 2 * (i * len(_WIDTHS) + width)
-            fences[c, p] = ((float("-inf"), float("inf")) if at is None
-                            else (row[f"q_{c}"][at], row[f"q_{c}"][at + 1]))
-    return fences
+            first = None if width is None else (i * len(_WIDTHS) + width) * (_PARTS + 1)
+            cuts[c, p] = ([float("-inf"), float("inf")] if first is None
+                          else sorted(row[f"q_{c}"][first:first + _PARTS + 1]))
+    return cuts

@@ -67,12 +67,12 @@ def last_rows(df: DataFrame, k: int, group: str = "brand", date: str = "sale_dat
 
 
 def date_coverage(df: DataFrame, date: str = "sale_date") -> DataFrame:
-    """Distinct dates overall (``brand`` is null) and by brand."""
+    """Distinct dates overall (``brand`` is null) and by brand. Rows without a brand count overall only."""
     # Deduplicate once to (brand, date); both counts run on that.
     days = df.where(F.col(date).isNotNull()).groupBy("brand", date).agg(F.lit(1).alias("_one"))
     return (days.groupingSets([["brand"], []], "brand")
-            .agg(F.count_distinct(date).alias("distinct_dates"))
-            .select("brand", "distinct_dates"))
+            .agg(F.count_distinct(date).alias("distinct_dates"), F.grouping("brand").alias("_overall"))
+            .where("_overall = 1 OR brand IS NOT NULL").select("brand", "distinct_dates"))
 
 
 def mean_by_brand(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -80,8 +80,9 @@ def mean_by_brand(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per numeric column: rows, nulls, mean, deviation, minimum, exact quartiles, maximum."""
+    """One row per numeric column: rows, nulls, mean, deviation, minimum, exact quartiles, maximum. NaN counts as null."""
     quarters = (0.25, 0.5, 0.75)
+    df = df.selectExpr(*[f"nanvl(double(`{c}`), null) AS `{c}`" for c in columns])
     basics = df.agg(*[
         F.struct(
             F.count("*").alias("row_count"),
@@ -101,3 +102,14 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (basics.crossJoin(F.broadcast(quantiles))
             .select(F.explode(lines).alias("e"))
             .select("e.column_name", "e.b.*", "e.q25", "e.q50", "e.q75"))
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """(position, column_name, data_type) of a table's columns; its rows are not read."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema, 1)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
+def first_dates(df: DataFrame, n: int = 5, date: str = "sale_date") -> DataFrame:
+    """The first ``n`` distinct dates."""
+    return df.select(date).where(F.col(date).isNotNull()).distinct().orderBy(date).limit(n)

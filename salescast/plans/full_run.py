@@ -15,6 +15,7 @@ from salescast.operators.series import brand_series
 from salescast.operators.trends import interest_scores, popularity_refresh
 from salescast.plans import marts
 from salescast.sources.tables import publish, read_published, write_text_report
+from salescast.staging import materialize
 
 
 def sequence_metrics(scored: DataFrame) -> DataFrame:
@@ -42,7 +43,8 @@ def run_all(raw: DataFrame, events: DataFrame, tie_break: Sequence[str], out: st
         """If every brand is skipped there is nothing to publish; an earlier version stays in place."""
         return df if df.isEmpty() else stored(df, name)
 
-    refreshed = popularity_refresh(raw, interest_scores(events))
+    # Stored once: the summary passes over the refreshed rows several times.
+    refreshed = materialize(popularity_refresh(raw, interest_scores(events)), "refreshed")
     daily = stored(daily_brand_summary(refreshed, tie_break), "processed_sales")
 
     series = stored(brand_series(daily, S.DECOMPOSABLE_REGRESSORS), "brand_series")

@@ -14,6 +14,8 @@ from salescast import schema as S
 from salescast.functions.calendar import lenient_date
 
 VERSIONS = "_versions"
+# Texts that a table in text form writes for a missing value.
+NULL_TEXTS = ("", "#N/A", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def _exists_or_none(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
@@ -26,8 +28,14 @@ def _exists_or_none(spark: SparkSession, path: str, fmt: str) -> DataFrame | Non
         raise
 
 
-def _typed(df: DataFrame, fields: tuple[S.Field, ...]) -> DataFrame:
-    """Rename headers to canonical names and cast leniently; absent optional columns stay absent."""
+def _typed(df: DataFrame, fields: tuple[S.Field, ...], extra: Mapping[str, str] | None = None) -> DataFrame:
+    """Rename headers to canonical names and cast leniently; absent optional columns stay absent.
+
+    Texts that stand for a missing value become null. Other columns keep their names, and the types in ``extra`` if given.
+    """
+    df = df.select([
+        F.when(~F.col(f"`{f.name}`").isin(*NULL_TEXTS), F.col(f"`{f.name}`")).alias(f.name)
+        if f.dataType == T.StringType() else F.col(f"`{f.name}`") for f in df.schema])
     by_lower = {c.lower(): c for c in df.columns}
     out, missing = [], []
     for f in fields:
@@ -45,27 +53,31 @@ def _typed(df: DataFrame, fields: tuple[S.Field, ...]) -> DataFrame:
         else:
             out.append(c.try_cast(f.dtype).alias(f.name))
     known = {f.name.lower() for f in fields} | {f.header.lower() for f in fields}
-    out += [F.col(f"`{c}`") for c in df.columns if c.lower() not in known]
+    types = {k.lower(): v for k, v in (extra or {}).items()}
+    out += [F.col(f"`{c}`").try_cast(types[c.lower()]).alias(c) if c.lower() in types else F.col(f"`{c}`")
+            for c in df.columns if c.lower() not in known]
     if missing:
         raise ValueError(f"required columns are missing: {', '.join(missing)}")
     return df.select(out)
 
 
 def read_required(
-    spark: SparkSession, path: str, fields: tuple[S.Field, ...], fmt: str = "parquet"
+    spark: SparkSession, path: str, fields: tuple[S.Field, ...], fmt: str = "parquet", extra: Mapping[str, str] | None = None
 ) -> DataFrame:
+    """The table, typed by ``fields``. ``extra`` gives SQL types to further columns of a text format, which sort
+    and compare as text otherwise."""
     df = _exists_or_none(spark, path, fmt)
     if df is None:
         raise FileNotFoundError(path)
-    return _typed(df, fields)
+    return _typed(df, fields, extra)
 
 
 def read_optional(
-    spark: SparkSession, path: str, fields: tuple[S.Field, ...], fmt: str = "parquet"
+    spark: SparkSession, path: str, fields: tuple[S.Field, ...], fmt: str = "parquet", extra: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Like :func:`read_required`, but a missing table reads as an empty one of the known schema."""
     df = _exists_or_none(spark, path, fmt)
-    return spark.createDataFrame([], S.struct(fields)) if df is None else _typed(df, fields)
+    return spark.createDataFrame([], S.struct(fields)) if df is None else _typed(df, fields, extra)
 
 
 def rows_to_table(
@@ -96,14 +108,14 @@ def append_batch(existing: DataFrame, batch: DataFrame) -> DataFrame:
     return existing.unionByName(batch, allowMissingColumns=True)
 
 
-def publish(df: DataFrame, root: str) -> str:
+def publish(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write a new version under ``root`` and log it, so a table can be read and replaced at once.
 
     Readers follow the version log, which is only ever appended to: a job that still
     reads the previous version is not disturbed, and a failed write leaves no trace in the log.
     """
     path = f"{root}/v-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     spark = df.sparkSession
     (spark.range(1)
      .select(F.lit(path).alias("path"), F.current_timestamp().alias("published_at"))

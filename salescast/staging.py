@@ -37,12 +37,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     stands until the innermost :func:`scope` ends, or else until the program does.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/salescast/{label}-{uuid.uuid4().hex}"
-    _SCOPES[-1].append((spark, path))
+    path = scoped_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scoped_folder(spark: SparkSession, label: str) -> str:
+    """A folder of the shared one that goes with the innermost :func:`scope`."""
+    path = f"{shared_dir(spark)}/salescast/{label}-{uuid.uuid4().hex}"
+    _SCOPES[-1].append((spark, path))
+    return path
+
+
 def _remove(tables: list[tuple[SparkSession, str]]) -> None:
     while tables:
         spark, path = tables.pop()

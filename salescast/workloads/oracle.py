@@ -161,7 +161,27 @@ def sql(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+def sql_recursive(*ctes: str, body: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + body
+
+
 IDS = "k1, k2, k3, k4, k5, k6"
+# The values of the sequence model with the mean of the window as its prediction: a mean of scaled values, scaled back.
+WINDOW_MEANS = """windowed AS (
+SELECT brand, sale_date, total_sales AS actual, row_no, row_total,
+  avg(total_sales) OVER (PARTITION BY brand ORDER BY sale_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS predicted FROM parts),
+window_test AS (SELECT * FROM windowed WHERE row_total >= 27 AND row_no > 7 + ((row_total - 7) * 4) // 5),
+ahead AS (
+SELECT brand, max(sale_date) AS last_day, 0 AS step, list(total_sales ORDER BY sale_date) AS latest
+FROM parts WHERE row_no > row_total - 7 AND row_total >= 27 GROUP BY brand
+UNION ALL
+SELECT brand, last_day, step + 1, list_append(latest[2:7], list_avg(latest)) FROM ahead WHERE step < 30)"""
+GAPS = f"""gaps AS (
+SELECT CAST(k1 AS VARCHAR) AS k1, k2, k3, k4, k5, k6, sale_date, CASE WHEN k1 % 9 <> 0 THEN brand END AS brand,
+  CASE WHEN k1 % 5 <> 0 THEN CAST(total_sales AS DOUBLE) END AS v FROM sales),
+placed AS (
+SELECT *, row_number() OVER (PARTITION BY brand ORDER BY {ORDER}) AS rn, count(*) OVER (PARTITION BY brand) AS n FROM gaps),
+numbered AS (SELECT *, min(CASE WHEN v IS NOT NULL THEN rn END) OVER (PARTITION BY brand) AS first_at FROM placed)"""
 GROWTH_COLUMNS = ", ".join([r("last_month_sales", 4), *[r(c, 2) for c in ("predicted_sales", "growth", "growth_pct")]])
 MODELS = (SALES, SERIES, FIRST_MODEL, SECOND_MODEL)
 PREPARED = (SALES, FILLED, HISTORY, CODES, PROCESSED)
@@ -200,6 +220,84 @@ SELECT brand, sale_date, {r('total_sales', 4)}, {r('quantity_sold', 4)}, {', '.j
   {r('promotion', 4)}, {r('discount_percentage', 4)}, {r('is_holiday', 4)},
   category_encoded, brand_encoded, region_encoded, category FROM processed"""),
 
+    "sales_history_gaps": sql(SALES, GAPS, body=f"""
+SELECT brand, sale_date, {IDS}, sales_lag_1, {r('sales_ma_3', 6)} FROM (
+SELECT *, CASE WHEN brand IS NOT NULL THEN coalesce(last_value(v IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    CASE WHEN first_at < n THEN first_value(v IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) END) END AS sales_lag_1,
+  CASE WHEN brand IS NULL THEN v ELSE avg(v) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS sales_ma_3
+FROM numbered WINDOW w AS (PARTITION BY brand ORDER BY rn))"""),
+
+    "fill_forward_back": sql(SALES, GAPS, body=f"""
+SELECT brand, sale_date, {IDS}, CASE WHEN brand IS NULL THEN v ELSE coalesce(
+  last_value(v IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(v IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) END AS total_sales
+FROM numbered WINDOW w AS (PARTITION BY brand ORDER BY rn)"""),
+
+    "published_daily": sql(SALES, DAILY, body=f"""
+SELECT category, brand, sale_date, {r('total_sales', 4)} FROM daily
+WHERE date_trunc('month', sale_date) = (SELECT date_trunc('month', max(sale_date)) FROM daily)"""),
+
+    "zscore_with_gaps": sql(SALES, """known AS (SELECT *, CASE WHEN k1 % 11 <> 0 THEN stock_level END AS x FROM sales)""", body=f"""
+SELECT {IDS}, {r('(x - avg(x) OVER ()) / (stddev_samp(x) OVER () + 1e-6)', 4, 'stock_level')} FROM known"""),
+
+    "profile_with_gaps": sql(SALES, """known AS (
+SELECT CASE WHEN k1 % 11 <> 0 THEN stock_level END AS stock_level, CAST(total_sales AS DOUBLE) AS total_sales FROM sales)""",
+                             body="\nUNION ALL\n".join(f"""
+SELECT '{c}' AS column_name, count(*) AS row_count, count({c}) AS non_null, count(*) - count({c}) AS null_count,
+  {r(f'avg({c})', 4, 'mean')}, {r(f'stddev_samp({c})', 4, 'std')}, {r(f'min({c})', 4, 'min')}, {r(f'max({c})', 4, 'max')},
+  {r(f'quantile_cont({c}, 0.25)', 4, 'q25')}, {r(f'quantile_cont({c}, 0.5)', 4, 'q50')}, {r(f'quantile_cont({c}, 0.75)', 4, 'q75')}
+FROM known""" for c in ("stock_level", "total_sales"))),
+
+    "coverage_with_null_brand": sql(SALES, body="""
+SELECT brand, count(DISTINCT sale_date) AS distinct_dates FROM sales WHERE k1 % 9 <> 0 GROUP BY brand
+UNION ALL SELECT NULL, count(DISTINCT sale_date) FROM sales"""),
+
+    "first_dates": sql(SALES, body="""
+SELECT sale_date, 'sale_date' AS column_name, 'date' AS data_type FROM (SELECT DISTINCT sale_date FROM sales ORDER BY sale_date LIMIT 5)"""),
+
+    "sequence_recursion": sql_recursive(SALES, SERIES, WINDOW_MEANS, body=f"""
+SELECT brand, sale_date, 'test' AS kind, {r('predicted', 4)} FROM window_test
+UNION ALL SELECT brand, CAST(last_day + CAST(step AS INT) AS DATE), 'future', {r('latest[7]', 4, 'predicted')} FROM ahead WHERE step > 0"""),
+
+    "regressor_design": sql(SALES, """own AS (
+SELECT brand, sale_date, avg(promotion) AS promotion, avg(is_holiday) AS is_holiday FROM sales GROUP BY 1, 2)""", SERIES, """frame AS (
+SELECT brand, sale_date, CASE WHEN is_train THEN 'train' ELSE 'test' END AS kind FROM parts
+UNION ALL
+SELECT brand, CAST(sale_date + CAST(i AS INT) AS DATE), 'future' FROM parts, range(1, 31) t(i) WHERE row_no = (row_total * 4) // 5),
+carried AS (
+SELECT f.*, g.promotion, g.is_holiday FROM frame f ASOF JOIN own g ON f.brand = g.brand AND f.sale_date >= g.sale_date),
+moments AS (
+SELECT brand, min(sale_date) AS origin, max(sale_date) AS train_end,
+  avg(promotion) AS promotion_avg, stddev_samp(promotion) AS promotion_std, min(promotion) < max(promotion) AS promotion_varies,
+  avg(is_holiday) AS is_holiday_avg, stddev_samp(is_holiday) AS is_holiday_std, min(is_holiday) < max(is_holiday) AS is_holiday_varies
+FROM carried WHERE kind = 'train' GROUP BY brand),
+scaled AS (
+SELECT c.*, m.*, date_diff('day', origin, sale_date) / greatest(date_diff('day', origin, train_end), 1) AS t,
+  CAST(date_diff('day', DATE '1970-01-01', sale_date) AS DOUBLE) AS day
+FROM carried c JOIN moments m ON c.brand = m.brand)""", body=f"""
+SELECT brand, sale_date, kind, {r('t', 5)}, {r('greatest(t - 0.8 * 1 / 26, 0)', 5, 'hinge')},
+  {r('sin(day * (2 * pi() / 365.25))', 5, 'yearly_sin')}, {r('cos(day * (2 * pi() / 7))', 5, 'weekly_cos')},
+  {r("CASE WHEN promotion_varies THEN (promotion - promotion_avg) / promotion_std ELSE 0.0 END", 5, 'z_promotion')},
+  {r("CASE WHEN is_holiday_varies THEN (is_holiday - is_holiday_avg) / is_holiday_std ELSE 0.0 END", 5, 'z_is_holiday')}
+FROM scaled"""),
+
+    "two_model_report": sql_recursive(SALES, SERIES, FIRST_MODEL, WINDOW_MEANS, f"""
+bounds AS (SELECT brand, min(total_sales) AS low, max(total_sales) AS high FROM parts GROUP BY 1),
+a AS (SELECT brand, {r(SCORES[0], 3, 'rmse_decomposable')}, {r(SCORES[1], 3, 'mape_pct_decomposable')}
+      FROM fitted WHERE kind = 'test' GROUP BY brand),
+b AS (SELECT brand, {r(SCORES[0], 3, 'rmse_sequence')}, {r(SCORES[1], 3, 'mape_pct_sequence')} FROM window_test GROUP BY brand)""",
+                                      body="SELECT * FROM a JOIN b USING (brand)"),
+
+    "gates_on_short_series": sql(SALES, """short AS (
+SELECT concat(brand, '/', region) AS brand, count(DISTINCT sale_date) AS series_rows FROM sales
+WHERE sale_date < DATE '1995-01-01' + CAST(3 * CAST(substr(brand, 7) AS INT) AS INT) GROUP BY 1)""", body="""
+SELECT brand, series_rows, CASE WHEN series_rows < 3 THEN 'insufficient data' END AS decomposable_skip,
+  CASE WHEN series_rows < 8 THEN 'insufficient rows' WHEN series_rows < 27 THEN 'not enough samples' END AS sequence_skip FROM short"""),
+
+    "overlay_one_brand": sql(SALES, SERIES, FIRST_MODEL, DAILY, body=f"""
+SELECT brand, sale_date, 'actual' AS series, {r('total_sales', 4, 'sales')} FROM daily WHERE brand = 'Brand#7'
+UNION ALL SELECT brand, sale_date, 'decomposable', {r('predicted_sales', 2, 'sales')} FROM first_forecast WHERE brand = 'Brand#7'"""),
+
     "calendar_features": f"""
 SELECT sale_date, CAST(month(sale_date) AS INT) AS month, CAST(weekofyear(sale_date) AS INT) AS week,
   CAST(date_trunc('month', sale_date) AS DATE) AS month_start,
@@ -368,3 +466,7 @@ FROM asked a LEFT JOIN (SELECT * FROM leaders WHERE rank <= 3) l ON a.category =
     "growth_ranking": sql(SALES, SERIES, FIRST_MODEL, DAILY, GROWTH, body=f"""
 SELECT brand, {GROWTH_COLUMNS}, trend FROM (SELECT * FROM growth ORDER BY growth DESC NULLS LAST, brand LIMIT 10)"""),
 }
+
+# The same rows whatever the ranges.
+ORACLE["sales_lag_hot_days"] = ORACLE["sales_lag_fill"]
+ORACLE["daily_summary_hot_days"] = ORACLE["daily_brand_summary"]

@@ -14,8 +14,8 @@ from salescast.models import decomposable, regression, sequence
 from salescast.operators import columns, daily, evaluate, history, series, slices, trends
 from salescast.plans import full_run, marts
 from salescast.sources import star
-from salescast.sources.tables import append_batch
-from salescast.staging import materialize
+from salescast.sources.tables import append_batch, publish, read_published
+from salescast.staging import materialize, scoped_folder
 from salescast.workloads.second_model import score_weekday_means, weekday_forecast
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,7 +104,7 @@ def label_encode(spark, sf):
 @query
 def zscore(spark, sf):
     scored = ("quantity_sold", "competitor_price", "stock_level", "supply_delay_days", "weather_score")
-    df = columns.zscore(_stored_sales(spark, sf, (*IDS, *scored)), scored)
+    df = columns.zscore(star.sales(spark, sf, (*IDS, *scored)), scored)
     return rounded(df, 4, *scored)
 
 
@@ -134,12 +134,59 @@ def sales_ma3(spark, sf):
     return rounded(_history(spark, sf).select("brand", "sale_date", *IDS, "sales_ma_3"), 6, "sales_ma_3")
 
 
+#: Ranges that cut every day of the test tables into several.
+MANY_BUCKETS = 400
+
+
+@query
+def sales_lag_hot_days(spark, sf):
+    """The lag with so many ranges that days and brands are cut all over."""
+    df = history.add_sales_history(star.sales(spark, sf, (*IDS, "brand", "sale_date", "total_sales")),
+                                   tie_break=IDS, buckets=MANY_BUCKETS)
+    return df.select("brand", "sale_date", *IDS, "total_sales", "sales_lag_1")
+
+
+def _sales_with_gaps(spark, sf):
+    """Sale rows without a value for some, without a brand for others, and with one key as text."""
+    return star.sales(spark, sf, (*IDS, "brand", "sale_date", "total_sales")).selectExpr(
+        *[c if c != "k1" else "string(k1) AS k1" for c in IDS], "CASE WHEN k1 % 9 <> 0 THEN brand END AS brand", "sale_date",
+        "CASE WHEN k1 % 5 <> 0 THEN total_sales END AS total_sales")
+
+
+@query
+def sales_history_gaps(spark, sf):
+    df = history.add_sales_history(_sales_with_gaps(spark, sf), tie_break=IDS, buckets=MANY_BUCKETS)
+    return rounded(df.select("brand", "sale_date", *IDS, "sales_lag_1", "sales_ma_3"), 6, "sales_ma_3")
+
+
+@query
+def fill_forward_back(spark, sf):
+    return history.fill_forward_back(_sales_with_gaps(spark, sf), "total_sales", tie_break=IDS, buckets=MANY_BUCKETS).select(
+        "brand", "sale_date", *IDS, "total_sales")
+
+
 @query
 def daily_brand_summary(spark, sf):
     df = _processed(spark, sf)
     return rounded(df, 4, *[c for c, t in df.dtypes if t == "double"])
 
 
+@query
+def daily_summary_hot_days(spark, sf):
+    df = daily.daily_brand_summary(_stored_sales(spark, sf), star.TIE_BREAK, buckets=MANY_BUCKETS)
+    return rounded(df, 4, *[c for c, t in df.dtypes if t == "double"])
+
+
+@query
+def published_daily(spark, sf):
+    """The daily table published by month, and its last month read back."""
+    root = scoped_folder(spark, "published")
+    publish(_daily_sales(spark, sf).withColumn("month_start", calendar.month_start(F.col("sale_date"))), root, ("month_start",))
+    rows = read_published(spark, root)
+    last = rows.agg(F.max("month_start")).scalar()
+    return rounded(rows.where(F.col("month_start") == last).drop("month_start"), 4, "total_sales")
+
+
 # --- calendar, cleaning, profile ------------------------------------------------------
 
 
@@ -174,6 +221,36 @@ def data_profile(spark, sf):
     return rounded(df, 4, "mean", "std", "min", "max", "q25", "q50", "q75")
 
 
+@query
+def zscore_with_gaps(spark, sf):
+    """NaN and null alike are left out of mean and deviation."""
+    rows = star.sales(spark, sf, (*IDS, "stock_level")).withColumn(
+        "stock_level", F.expr("CASE WHEN k1 % 11 = 0 THEN double('NaN') ELSE stock_level END"))
+    return rounded(columns.zscore(rows, ("stock_level",)), 4, "stock_level")
+
+
+@query
+def profile_with_gaps(spark, sf):
+    cols = ("stock_level", "total_sales")
+    rows = materialize(star.sales(spark, sf, ("k1", *cols)).withColumn(
+        "stock_level", F.expr("CASE WHEN k1 % 11 = 0 THEN double('NaN') ELSE stock_level END")), "profile")
+    return rounded(slices.profile(rows, cols), 4, "mean", "std", "min", "max", "q25", "q50", "q75")
+
+
+@query
+def coverage_with_null_brand(spark, sf):
+    rows = star.sales(spark, sf, ("k1", "brand", "sale_date")).withColumn("brand", F.expr("CASE WHEN k1 % 9 <> 0 THEN brand END"))
+    return slices.date_coverage(rows)
+
+
+@query
+def first_dates(spark, sf):
+    """The beginning of the calendar, with the columns' types beside it as a profile lists them."""
+    rows = star.sales(spark, sf, ("sale_date", "brand", "total_sales"))
+    kinds = slices.column_types(rows).where("column_name = 'sale_date'").select("column_name", "data_type")
+    return slices.first_dates(rows).crossJoin(F.broadcast(kinds))
+
+
 @query
 def date_coverage(spark, sf):
     return slices.date_coverage(star.sales(spark, sf, ("brand", "sale_date")))
@@ -201,7 +278,7 @@ def actuals_in_range(spark, sf):
 
 @query
 def latest_date_slice(spark, sf):
-    return slices.latest_date_slice(_stored_sales(spark, sf, ("sale_date", "brand", "total_sales", *IDS)))
+    return slices.latest_date_slice(star.sales(spark, sf, ("sale_date", "brand", "total_sales", *IDS)))
 
 
 @query
@@ -222,7 +299,8 @@ def monthly_totals(spark, sf):
 @query
 def append_batches(spark, sf):
     rows = star.sales(spark, sf, ("brand", "sale_date", "total_sales"))
-    early, late = rows.where("sale_date < DATE '1998-01-01'"), rows.where("sale_date >= DATE '1998-01-01'")
+    early = "coalesce(sale_date < DATE '1998-01-01', false)"  # rows without a date come with the later batch
+    early, late = rows.where(early), rows.where(f"NOT {early}")
     return rounded(append_batch(early, late).groupBy("sale_date").agg(
         F.count("*").alias("sale_rows"), F.sum("total_sales").alias("total_sales")), 4, "total_sales")
 
@@ -239,7 +317,7 @@ def trend_score_7d(spark, sf):
 
 @query
 def popularity_refresh(spark, sf):
-    rows = _stored_sales(spark, sf, (*IDS, "brand", "sale_date", "online_popularity"))
+    rows = star.sales(spark, sf, (*IDS, "brand", "sale_date", "online_popularity"))
     scores = trends.interest_scores(star.trend_events(spark, sf))
     return rounded(trends.popularity_refresh(rows, scores), 6, "online_popularity")
 
@@ -317,6 +395,64 @@ def decomp_regressor_forecast(spark, sf):
         regression.score_series_with_regressors(_processed_series(spark, sf)))
 
 
+def _window_mean(windows, targets):
+    """A closed form in the place of a fitted model: the mean of the window's sales."""
+    return lambda w: w[:, :, 0].mean(axis=1)
+
+
+def _window_mean_scores(base: DataFrame) -> DataFrame:
+    return sequence.score_series(base, regressors=(), fit=_window_mean)
+
+
+@query
+def sequence_recursion(spark, sf):
+    """Windows, split, scaling, recursion and inverse of the sequence model, with a model that SQL can state."""
+    return rounded(_window_mean_scores(_series(spark, sf)).select("brand", "sale_date", "kind", "predicted"), 4, "predicted")
+
+
+@query
+def regressor_design(spark, sf):
+    """What the model with regressors sees: scaled time, its first hinge, the first waves, standardised regressors."""
+    base = series.brand_series(
+        star.sales(spark, sf, ("brand", "sale_date", "total_sales", "promotion", "is_holiday")), S.DECOMPOSABLE_REGRESSORS)
+    df = regression.design_frame(base, ("promotion", "is_holiday"))
+    waves = 2 * (regression.YEARLY_TERMS + regression.WEEKLY_TERMS)
+    return rounded(df.select(
+        "brand", "sale_date", "kind", F.col("trend")[0].alias("t"), F.col("trend")[1].alias("hinge"),
+        F.col("season")[0].alias("yearly_sin"), F.col("season")[2 * regression.YEARLY_TERMS + 1].alias("weekly_cos"),
+        F.col("season")[waves].alias("z_promotion"), F.col("season")[waves + 1].alias("z_is_holiday")),
+        5, "t", "hinge", "yearly_sin", "weekly_cos", "z_promotion", "z_is_holiday")
+
+
+@query
+def two_model_report(spark, sf):
+    """Both real scorers side by side, gates included; the sequence one with the closed form."""
+    base = _stored_series(spark, sf)
+    df = evaluate.compare_metrics(evaluate.holdout_metrics(decomposable.score_series(base)),
+                                  evaluate.holdout_metrics(_window_mean_scores(base)))
+    return rounded(df, 3, *[c for c in df.columns if c != "brand"])
+
+
+@query
+def gates_on_short_series(spark, sf):
+    """Both gates over brand and region, most series cut short, so that some pass and some are skipped."""
+    rows = star.sales(spark, sf, ("brand", "region", "sale_date", "total_sales")).where(
+        "sale_date < date_add(DATE '1995-01-01', 3 * int(substr(brand, 7)))").withColumn("brand", F.concat_ws("/", "brand", "region"))
+    base = series.brand_series(rows)
+    first = series.decomposable_gate(base).select("brand", "series_rows", F.col("skip_reason").alias("decomposable_skip"))
+    second = series.sequence_gate(base).select("brand", F.col("skip_reason").alias("sequence_skip"))
+    return first.join(second, "brand")
+
+
+@query
+def overlay_one_brand(spark, sf):
+    """The overlay for one brand and a chosen model."""
+    sold = _stored_daily(spark, sf)
+    ahead = {"decomposable": rounded(_first_forecast(series.brand_series(sold)), 2, "predicted_sales")}
+    ahead["sequence"] = sequence.forecast_rows(_window_mean_scores(series.brand_series(sold)))
+    return marts.forecast_overlay(rounded(sold, 4, "total_sales"), ahead, brand="Brand#7", models=["decomposable"])
+
+
 @query
 def sequence_forecast(spark, sf):
     return sequence.forecast_rows(sequence.score_series(_processed_series(spark, sf)))
