@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from salescast.llm import bpe, chaining, chat, exact, hmm, lattice, mixing, quality, simhash, toxicity
+from salescast.llm.common import WORD
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -72,7 +73,64 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+
+
+def _escaped(x: str) -> str:
+    """SQL for the length of an escaped text: a backslash for each backslash and for each control string."""
+    marks = ("\\", "<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+    return f"(length({x}) + " + " + ".join(f"(length({x}) - length(replace({x}, '{m}', ''))) // {len(m)}" for m in marks) + ")"
+
+
 ORACLE: dict[str, str] = {
+    "op6_chat_windows": f"""
+        WITH turns AS (
+          SELECT conv_id AS conv, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            len(regexp_extract_all(coalesce(text, ''), '{WORD}')) + {chat.EXTRA} AS n
+          FROM (SELECT conv_id, turn, role, text FROM conversations
+                UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+                UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        summed AS (
+          SELECT *, sum(n) OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) - n AS before,
+            row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS place FROM turns),
+        systems AS (SELECT conv, arg_min({{'turn': turn, 'text': text, 'n': n}}, place) AS s FROM summed WHERE role = 'system' GROUP BY conv),
+        placed AS (
+          SELECT t.*, s, greatest(({chat.BUDGET} - {chat.HISTORY} - coalesce(s.n, 0)) // 2, 64) AS stretch,
+            before // greatest(({chat.BUDGET} - {chat.HISTORY} - coalesce(s.n, 0)) // 2, 64) AS span
+          FROM summed t LEFT JOIN systems y ON t.conv = y.conv),
+        ended AS (SELECT *, max(before + n) OVER (PARTITION BY conv, span) AS stop FROM placed),
+        shown AS (
+          SELECT conv, span, role, turn, text, s FROM placed
+          UNION ALL
+          SELECT conv, stop // stretch, role, turn, text, s FROM ended e
+          WHERE stop - before <= {chat.HISTORY} AND stop // stretch > span
+            AND EXISTS (SELECT 1 FROM placed p WHERE p.conv = e.conv AND p.span = e.stop // e.stretch)),
+        windows AS (
+          SELECT conv, span, sum({len(chat.TURN) + 1 + len(chat.END)} + {_escaped('role')} + length(role) - length(replace(role, chr(10), ''))
+              + {_escaped('text')}) + any_value(CASE WHEN s IS NULL THEN 0 ELSE {len(chat.TURN) + 7 + len(chat.END)} + {_escaped('s.text')} END)
+              * (CASE WHEN bool_or(role = 'system' AND turn = s.turn AND text = s.text) THEN 0 ELSE 1 END) AS chars
+          FROM shown GROUP BY conv, span)
+        SELECT t.conv AS conv_id, count(*) AS n_turns,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+          CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+          CAST(any_value(w.chars) AS BIGINT) AS formatted_chars, any_value(w.n) AS n_windows
+        FROM summed t JOIN (SELECT conv, sum(chars) AS chars, count(*) AS n FROM windows GROUP BY conv) w ON t.conv = w.conv
+        GROUP BY t.conv""",
+    "op7_lattice": f"""
+        WITH RECURSIVE vectors AS (
+          SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        usable AS (
+          SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM vectors
+          WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= {lattice.COSINE}),
+        reach AS (
+          SELECT vec_id, vec_id AS other FROM vectors
+          UNION SELECT vec_id, b FROM reach JOIN links ON other = a),
+        lowest AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM lowest""",
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
