@@ -135,3 +135,19 @@ def test_refresh_overwrites_the_whole_history(spark):
     assert got == [("a", old, 80.0), ("a", new, 80.0), ("b", new, 55.0), ("gone", old, None)]
     unfilled = trends.popularity_refresh(sales, scores, fallback=None).where("brand = 'b'").first()
     assert unfilled.online_popularity is None
+
+
+def test_coverage_and_profile_leave_out_missing_values(spark):
+    import datetime as dt
+
+    from salescast.operators import slices
+
+    d = dt.date(2024, 1, 1)
+    rows = [("a", d, 1.0), ("a", d + dt.timedelta(1), float("nan")), (None, d + dt.timedelta(2), 3.0), (None, d, None), ("b", None, 5.0)]
+    df = spark.createDataFrame(rows, "brand string, sale_date date, x double")
+    assert sorted(((r.brand or "", r.distinct_dates) for r in slices.date_coverage(df).collect())) == [("", 3), ("a", 2)]
+    got = slices.profile(df, ["x"]).first()
+    assert (got.row_count, got.non_null, got.null_count, got.mean, got.max, got.q50) == (5, 3, 2, 3.0, 5.0, 3.0)
+    assert [r.sale_date for r in slices.first_dates(df, 2).collect()] == [d, d + dt.timedelta(1)]
+    assert [tuple(r) for r in slices.column_types(df).collect()] == [
+        (1, "brand", "string"), (2, "sale_date", "date"), (3, "x", "double")]

@@ -85,7 +85,7 @@ def test_codes_and_scores(spark):
 
 def test_codes_of_a_large_dictionary(spark):
     df = spark.range(5000).selectExpr("concat('v', id % 3000) AS brand")
-    got = label_codes(df, "brand", max_one_task=100).collect()
+    got = label_codes(df, "brand").collect()
     assert sorted((r.brand, r.brand_encoded) for r in got) == [
         (b, i) for i, b in enumerate(sorted(f"v{i}" for i in range(3000)))]
 
@@ -111,3 +111,32 @@ def test_run_with_too_little_data_publishes_no_forecast(spark, tmp_path):
         tables.read_published(spark, f"{tmp_path}/out/decomposable_forecast")
     assert result["kpi_overview"].first().fastest_brand == "N/A"
     assert result["decomposable_forecast"].isEmpty()
+
+
+TEXT = """Date,Category,Brand,Region,Total_Sales,Quantity_Sold,Online_Popularity,Stock_Level,Is_Holiday,sale_id,shop
+2024-01-02 13:45:00,Dairy,a,NaN,10.5,3,NaN,100,0,9,x
+2024-01-03T00:00:00,NA,b,south,nan,4.0,null,n/a,0,10,NaN
+ 2024-01-04,Dairy,c,south,1,4.0,1,2,0,11,
+"""
+
+
+def test_missing_values_times_and_types_of_a_text_file(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text(TEXT)
+    df = tables.read_required(spark, str(tmp_path / "sales.csv"), S.RAW_SALES, "csv", extra={"sale_id": "long"})
+    rows = {r.brand: r for r in df.collect()}
+    assert [rows[b].sale_date for b in "ab"] == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    assert rows["a"].region is None and rows["a"].online_popularity is None
+    assert rows["b"].category is None and rows["b"].total_sales is None and rows["b"].stock_level is None
+    assert rows["b"].shop is None and rows["c"].shop is None and rows["a"].shop == "x"
+    assert dict(df.dtypes)["sale_id"] == "bigint" and dict(df.dtypes)["shop"] == "string"
+    assert [r.sale_id for r in df.orderBy("sale_id").collect()] == [9, 10, 11]
+
+
+def test_published_partitions_are_pruned(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    df = spark.sql("SELECT date_add(DATE '2024-01-30', int(id)) AS sale_date, id FROM range(5)").selectExpr(
+        "*", "trunc(sale_date, 'MM') AS month_start")
+    tables.publish(df, root, ("month_start",))
+    last = tables.read_published(spark, root).where("month_start = DATE '2024-02-01'")
+    assert last.count() == 3
+    assert "PartitionFilters: [isnotnull(month_start" in last._jdf.queryExecution().executedPlan().toString()
