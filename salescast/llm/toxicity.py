@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -31,8 +32,11 @@ LOOKALIKE = {
     "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ԁ": "d", "ɡ": "g", "һ": "h", "ӏ": "l", "ո": "n",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t",
     "υ": "u", "χ": "x", "ı": "i", "ł": "l", "ø": "o", "đ": "d",
-    "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": " ",
+    "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 }
+#: Signs that stand for a letter inside a word, or at its beginning but for the exclamation mark. Elsewhere they are signs.
+SIGNS = {"@": "a", "$": "s", "!": "i"}
+_SIGN = re.compile(r"(?<=\w)[@$!](?=\w)|(?<!\S)[@$](?=\w)")
 
 
 @lru_cache(maxsize=1)
@@ -58,6 +62,8 @@ def _folding() -> dict[int, str | None]:
 
 def fold(text: str) -> str:
     """Words in lower case with lookalike letters and digits replaced, between single spaces."""
+    if "$" in text or "!" in text or "@" in text:
+        text = _SIGN.sub(lambda m: SIGNS[m[0]], text)
     return f" {' '.join(text.translate(_folding()).split())} "
 
 

@@ -8,7 +8,8 @@ from salescast.llm import quality, toxicity
 
 
 def test_folding_undoes_disguises():
-    assert toxicity.fold("ІDІ0T, Ｓｃｕｍ! l​оser") == " idiot scumi loser "
+    assert toxicity.fold("ІDІ0T, Ｓｃｕｍ! l​оser") == " idiot scum loser "
+    assert toxicity.fold("$cum cl0wn!! m@r!n %%% a$$$ b!") == " scum clown marin a b "
     assert toxicity.fold("") == "  "
     assert toxicity.fold("réeux\tÀ") == " réeux à "
 
