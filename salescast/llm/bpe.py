@@ -12,17 +12,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.common import batches_by_size, text_of
+from salescast.llm.common import batches_by_size, short_batches, text_of
 from salescast.staging import materialize
 
 #: Characters of a part of a long text.
 PART = 32_768
 #: Words a worker remembers, in each of two generations, and the bytes of the longest one.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 60_000, 64
 #: Tokens on each side of a join that are encoded again at first.
 WINDOW = 16
 #: Bytes of text in a batch.
-BATCH = 4 << 20
+BATCH = 2 << 20
 
 
 @lru_cache(maxsize=2)
@@ -75,7 +75,7 @@ def words(path: str) -> Words:
 @lru_cache(maxsize=2)
 def token_table(path: str) -> list[bytes]:
     own = tokenizer(path)
-    return [(own.id_to_token(i) or "").encode() for i in range(max(own.get_vocab(with_added_tokens=True).values()) + 1)]
+    return [(own.id_to_token(i) or "").encode() for i in range(own.get_vocab_size(with_added_tokens=True))]
 
 
 def decode_ids(ids: bytes, path: str) -> str:
@@ -244,16 +244,28 @@ def encode(docs: DataFrame, path: str, part: int = PART) -> DataFrame:
     Texts of up to ``part`` characters are encoded where they are. Longer ones are cut into parts, dealt out
     by text and part, encoded apart and welded in a tree; equal long texts are encoded once.
     """
-    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_by_size(batches, "text", BATCH):
-            own = words(path)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(
-                [own.ids(t.as_py().encode()) for t in batch.column("text")], pa.binary())], names=["doc_id", "ids"])
+    near, far = _encoded(docs, path, part, False)
+    return near.union(far)
+
+
+def _short(batches: Iterator[pa.RecordBatch], path: str, decodes: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches_by_size(batches, "text", BATCH):
+        own = words(path)
+        ids = [own.ids(t.as_py().encode()) for t in batch.column("text")]
+        columns = [batch.column("doc_id"), pa.array(ids, pa.binary())]
+        if decodes:
+            columns.append(pa.array([decode_ids(x, path) for x in ids], pa.string()))
+        yield pa.record_batch(columns, names=["doc_id", "ids", "text"][:len(columns)])
+
 
+def _encoded(docs: DataFrame, path: str, part: int, decodes: bool) -> tuple[DataFrame, DataFrame]:
+    """Short and long texts: (doc_id, ids), for the short ones with their decoding if asked, in the same worker."""
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
     long = rows.where(F.length("text") > part).select(
         "doc_id", "text", F.unhex(F.sha2("text", 256)).alias("key"))
-    near = rows.where(F.length("text") <= part).mapInArrow(short, "doc_id long, ids binary")
+    near = rows.where(F.length("text") <= part).mapInArrow(
+        lambda it: _short(it, path, decodes), "doc_id long, ids binary" + ", text string" * decodes)
     texts = long.select("key", "text").dropDuplicates(["key"])
     cut = texts.select("key", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.floor((F.length("text") - 1) / part).cast("int")),
@@ -263,7 +275,7 @@ def encode(docs: DataFrame, path: str, part: int = PART) -> DataFrame:
               .mapInArrow(lambda it: _join_parts(it, path), "l_key binary, l_ids binary"))
     far = long.select("doc_id", "key").join(
         materialize(joined, "long-texts"), F.col("key") == F.col("l_key")).select("doc_id", F.col("l_ids").alias("ids"))
-    return near.union(far)
+    return near, far
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -273,11 +285,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.record_batch([batch.column("doc_id"), batch.column("ids"), pa.array(
                 [decode_ids(b.as_py(), path) for b in batch.column("ids")], pa.string())], names=["doc_id", "ids", "text"])
 
+    short_batches(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(each, "doc_id long, ids binary, text string")
 
 
 def round_trip(docs: DataFrame, path: str, part: int = PART) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text."""
-    return decode(encode(docs, path, part), path).select(
+    near, far = _encoded(docs, path, part, True)
+    return near.union(decode(far, path)).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"))

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: What separates words, namely the space and the characters 9 to 13. ``bytes.split()`` and
 #: Arrow's ASCII split use the same set.
@@ -22,6 +23,27 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows with the largest values of the long ``column``, at most ``most``; rows with equal values stay or go together.
+
+    The least value that still fits comes from the number of rows of each value, so no rows are sorted or gathered.
+    """
+    kinds = counts.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+    down = Window.orderBy(F.col(column).desc())
+    least = kinds.withColumn("until", F.sum("rows").over(down)).where(F.col("until") <= most).agg(F.min(column)).first()[0]
+    return counts.where(F.col(column) >= least) if least is not None else counts.limit(0)
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of 2,000 rows where the session has Spark's default of 10,000.
+
+    A batch of long texts is held by the executor and by its worker at the same time; another setting is left alone.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "2000")
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n``; the fold of a null id is that of empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.common import keep_rows, repeats
+from salescast.llm.common import keep_rows, repeats, short_batches
 from salescast.llm.components import components, forest
 from salescast.llm.runs import home_pairs, split_homes, whole_keys
 from salescast.staging import materialize
@@ -22,7 +22,7 @@ SHINGLE, BITS = 4, 4
 #: From here on stand fingerprints whose documents all have a null id.
 NO_ID = 1 << 62
 #: Pairs compared at a time, and homes of one anchor that share a task.
-PAIRS, HOMES = 1 << 21, 4096
+PAIRS, HOMES = 1 << 19, 4096
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -51,6 +51,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64)
             yield pa.record_batch([*batch.columns[:2], pa.array(found.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
+    short_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         each, "doc_id long, text_hash long, fp long")
 

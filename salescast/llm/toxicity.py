@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.llm.common import crc_mod, text_of
+from salescast.llm.common import crc_mod, short_batches, text_of
 
 #: Labelled rows the classifier is fitted on at most, toxic and clean, those with the least hash of the id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 6_000, 12_000
@@ -158,7 +158,7 @@ def _count(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for text, half, toxic in zip(*(batch.column(c).to_pylist() for c in ("text", "half", "toxic"))):
                 counts[2 * half + (not toxic)].update(features(fold(text)))
-            if sum(map(len, counts)) > 500_000:
+            if sum(map(len, counts)) > 150_000:
                 yield out(counts)
                 counts = [Counter() for _ in range(4)]
         yield out(counts)
@@ -192,6 +192,7 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Sequence[str] = ()) ->
     of the other. Rows without label or document, and ids labelled both ways, say nothing. Without any
     label, no text is toxic.
     """
+    short_batches(docs.sparkSession)
     known = (
         labels.where("toxic is not null and doc_id is not null").where(crc_mod("doc_id", 3) != 1)
         .groupBy(F.col("doc_id").alias("l_id")).agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
@@ -254,6 +255,7 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Sequence[str] = ()) ->
 
 def score_column(spark: SparkSession, model: Model, text: str = "text") -> Column:
     """The score of each row's text. A null text counts as empty and matches nothing."""
+    short_batches(spark)
     held = spark.sparkContext.broadcast(model)  # bounded by ENTRIES and EXCEPTIONS
 
     @F.arrow_udf("double")

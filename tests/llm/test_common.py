@@ -26,3 +26,10 @@ def test_batches_by_size_keep_all_rows_in_order(most):
     assert [t for b in got for t in b.column("text").to_pylist()] == TEXTS
     assert [w for b in got for w in common.words_of(b.column("text")).to_pylist()] == want(TEXTS)
     assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column("text").to_pylist()) <= most for b in got)
+
+
+@pytest.mark.parametrize("most, want", [(0, []), (1, [9]), (2, [9]), (3, [9, 5, 5]), (5, [9, 5, 5, 2]), (100, [9, 5, 5, 2, 1, 1, 1])])
+def test_frequent_rows(spark, most, want):
+    rows = spark.createDataFrame([(x,) for x in (1, 5, 2, 1, 9, 5, 1)], "c long")
+    assert sorted((r.c for r in common.frequent(rows, "c", most).collect()), reverse=True) == want
+    assert common.frequent(rows.limit(0), "c", most).count() == 0
