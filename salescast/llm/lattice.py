@@ -16,8 +16,10 @@ from salescast.llm.runs import home_pairs, split_homes, whole_keys
 from salescast.staging import materialize
 
 COSINE = 0.98
-#: Tables, size of a lattice unit, distance to a neighbouring cell (in units) up to which it is probed, seed.
-TABLES, UNIT, REACH, SEED = 3, 0.25, 0.15, 29
+#: Tables, size of a lattice unit on the scale of a random projection of a unit vector, distance to a neighbouring cell
+#: (in units) up to which it is probed, seed. A pair at cosine 0.98 lies a tenth of a unit apart on each axis, whatever the
+#: number of dimensions.
+TABLES, UNIT, REACH, SEED = 3, 2.0, 0.1, 29
 #: Pairs compared at a time, and homes of one cell that share a task.
 PAIRS, HOMES = 1 << 16, 2048
 
@@ -54,7 +56,7 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=64)
 def _projection(dim: int, table: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng([SEED, table, dim])
-    return rng.standard_normal((dim, 8)) / np.sqrt(dim) / UNIT, rng.random(8)
+    return rng.standard_normal((dim, 8)) / UNIT, rng.random(8)
 
 
 def place(unit: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
