@@ -159,3 +159,19 @@ def test_lookup(n):
     found = quality.Lookup(keys, values)
     assert np.array_equal(found(keys), values)
     assert np.isnan(found(keys + np.uint64(1))).all()
+
+
+def test_thresholds_use_all_trusted_documents_kept_apart(spark, monkeypatch):
+    """A small sample for the model leaves the quantiles as they are over all others, rare languages included."""
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join("".join(rng.choice(list("aeioulnrst"), rng.integers(2, 7))) for _ in range(20)), "rare" if i % 40 == 0 else "en")
+            for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    hashes = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    monkeypatch.setattr(quality, "TRUSTED", 20)
+    got = quality.quality(docs, marks).collect()
+    for lang in ("rare", "en"):
+        apart = sorted(r.perplexity for r in got if r.lang == lang and hashes[r.doc_id] % quality.APART == 0)
+        threshold = {r.threshold for r in got if r.lang == lang}
+        assert apart and threshold == {apart[max(math.ceil(quality.QUANTILE * len(apart)), 1) - 1]}
