@@ -19,8 +19,6 @@ from salescast.llm.runs import home_pairs, split_homes, whole_keys
 from salescast.staging import materialize
 
 SHINGLE, BITS = 4, 4
-#: From here on stand fingerprints whose documents all have a null id.
-NO_ID = 1 << 62
 #: Pairs compared at a time, and homes of one anchor that share a task.
 PAIRS, HOMES = 1 << 19, 4096
 
@@ -183,18 +181,24 @@ def links(prints: DataFrame, count: int, bits: int = BITS, covering: tuple[Block
 
 
 def _grouped(docs: DataFrame, shingle: int, bits: int, covering: tuple[Block, ...] | None) -> DataFrame:
-    """(doc_id, text_hash, fp, component): components without an id are numbered from NO_ID on."""
+    """(doc_id, text_hash, fp, component, head): components by a fingerprint of theirs, and their smallest doc_id."""
     prints = materialize(fingerprints(docs, shingle), "simhash")
-    without = F.lit(NO_ID).bitwiseOR(F.shiftrightunsigned("fp", 2))
+    # The fingerprint is the node: different texts may share a doc_id.
     nodes = materialize(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
-        .withColumn("id", F.coalesce("least", without)), "simhash-nodes")
+        prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).withColumn("id", F.col("fp")),
+        "simhash-nodes")
     linked = components(links(nodes, nodes.count(), bits, covering))
+    members = materialize(
+        nodes.join(linked, F.col("id") == F.col("node"), "left")
+        .select("fp", "least", "n", F.coalesce("component", "id").alias("component")), "simhash-members")
+    heads = materialize(
+        members.groupBy(F.col("component").alias("h_component")).agg(F.min("least").alias("head"), F.sum("n").alias("rows"))
+        .where("rows > 1").drop("rows"), "simhash-heads")
     shared = materialize(
-        nodes.join(linked, F.col("id") == F.col("node"), "left").where("n > 1 or component is not null")
-        .select(F.col("fp").alias("s_fp"), F.coalesce("component", "id").alias("component")), "simhash-shared")
+        members.join(heads, F.col("component") == F.col("h_component"))
+        .select(F.col("fp").alias("s_fp"), "component", "head"), "simhash-shared")
     return prints.join(shared, F.col("fp") == F.col("s_fp"), "left").select(
-        "doc_id", "text_hash", "fp", F.coalesce("component", "doc_id", without).alias("component"))
+        "doc_id", "text_hash", "fp", F.coalesce("component", "fp").alias("component"), F.coalesce("head", "doc_id").alias("head"))
 
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
@@ -203,12 +207,12 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
 
     Equal fingerprints are one node, so copies cost a row each and no more. Texts without words, null ones
     too, have fingerprint 0 and are linked like any other. A null doc_id counts as larger than all others; a
-    component of nothing else has a null component_id. Rows that repeat a doc_id are all returned. An empty
-    table gives no rows; other columns are not read.
+    component of nothing else has a null component_id. Rows that repeat a doc_id are all returned; the id does not
+    link their texts. An empty table gives no rows; other columns are not read.
     """
     return _grouped(docs, shingle, bits, covering).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"))
+        F.col("head").alias("component_id"))
 
 
 def drop_near(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
@@ -218,9 +222,9 @@ def drop_near(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Data
     """
     groups = _grouped(docs, shingle, bits, None)
     if not repeats(docs, "doc_id"):
-        return keep_rows(docs, groups.where("doc_id <> component or doc_id is null and component < " + str(NO_ID)))
-    keys = groups.where(f"doc_id = component or component >= {NO_ID}").select(
-        F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"), "component").distinct()
+        return keep_rows(docs, groups.where("not doc_id <=> head"))
+    keys = groups.where("doc_id <=> head").groupBy("component").agg(
+        F.min("head").alias("k_id"), F.min("text_hash").alias("k_hash"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col("doc_id").cast("long").alias("r_id"), F.xxhash64("text").alias("r_hash"))
     return (rows.join(keys, F.col("r_id").eqNullSafe(F.col("k_id")) & (F.col("r_hash") == F.col("k_hash")))

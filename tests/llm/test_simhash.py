@@ -113,3 +113,15 @@ def test_components_of_a_long_path_and_a_star(spark):
     star = [(1000, 1000 + i) for i in range(1, 300)]
     got = {r.node: r.component for r in simhash.components(spark.createDataFrame(path + star, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 301)}, **{1000 + i: 1000 for i in range(1, 300)}}
+
+
+def test_different_texts_of_one_id_are_kept_apart(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(60)) for _ in range(5)]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (6, texts[1]), (7, texts[2]), (7, texts[3]), (None, texts[4]), (None, texts[3]), (3, texts[0])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash.drop_near(frame).collect() if r.doc_id is not None) == sorted(
+        [(3, texts[0]), (5, texts[1]), (7, texts[2]), (7, texts[3])])
+    assert [r.text for r in simhash.drop_near(frame).where("doc_id is null").collect()] == [texts[4]]
+    got = sorted((str(r.doc_id), str(r.component_id)) for r in simhash.simhash_groups(frame).collect())
+    assert got == sorted([("5", "3"), ("5", "5"), ("5", "5"), ("6", "5"), ("7", "7"), ("7", "7"), ("None", "None"), ("None", "7"), ("3", "3")])
