@@ -132,10 +132,10 @@ def _found(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Reco
     for whole in whole_keys(batches, "part"):
         for batch in _by_dim(whole, "vector") if whole.num_rows else ():
             part, ids, n, scope, tab = (batch.column(c).to_numpy() for c in ("part", "id", "n", "scope", "tab"))
-            home = batch.column("home").to_numpy(zero_copy_only=False)
+            home, visit = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("home", "visit"))
             unit = _matrix(batch, "vector")
             places = {}
-            for x, y in home_pairs(part, home, PAIRS):
+            for x, y in home_pairs(part, home, visit, PAIRS):
                 same = (scope[x] == scope[y]) & (tab[x] == tab[y]) & (ids[x] != ids[y])
                 x, y = x[same], y[same]
                 near = (unit[x] * unit[y]).sum(axis=1) >= cosine

@@ -157,7 +157,7 @@ def _links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
     for batch in whole_keys(batches, "part"):
         part, ids, fps = (batch.column(c).to_numpy() for c in ("part", "id", "fp"))
         fps = fps.view(np.uint64)
-        for left, right in home_pairs(part, batch.column("home").to_numpy(zero_copy_only=False), PAIRS):
+        for left, right in home_pairs(part, *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("home", "visit")), PAIRS):
             near = np.flatnonzero((np.bitwise_count(fps[left] ^ fps[right]) <= bits) & (ids[left] != ids[right]))
             if len(near):
                 nodes, both = np.unique(np.concatenate([ids[left[near]], ids[right[near]]]), return_inverse=True)
@@ -169,8 +169,8 @@ def links(prints: DataFrame, count: int, bits: int = BITS, covering: tuple[Block
           homes: int = HOMES) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of fingerprints at most ``bits`` bits apart.
 
-    ``prints`` has a row a fingerprint with its id. An anchor with many homes is cut: its homes are dealt to
-    parts of about ``homes``, and each visitor goes to all of them. A cell hands on links that connect its
+    ``prints`` has a row a fingerprint with its id. An anchor with many rows is cut into a grid of bounded parts, in
+    which about ``homes`` of its homes meet a slice of its visitors. A cell hands on links that connect its
     rows, not all pairs.
     """
     covering = covering or next(c for most, c in COVERINGS if count <= most)

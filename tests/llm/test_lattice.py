@@ -104,3 +104,16 @@ def test_odd_rows(spark):
 def test_embeddings(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     assert found(frame) == brute([(r.vec_id, r.embedding, r.label) for r in frame.collect()])
+
+
+def test_parts_of_a_crowded_cell_are_bounded_and_meet_once(spark):
+    from salescast.llm import runs
+
+    rows = [(7, i, i % 3 > 0) for i in range(600)] + [(8, i, i == 1000) for i in range(1000, 1300)] + [(9, 1, True), (9, 2, False)]
+    dealt = runs.split_homes(spark.createDataFrame(rows, "cell long, id long, home boolean"), 16, "cell", "id").collect()
+    by_part = {}
+    for r in dealt:
+        by_part.setdefault(r.part, []).append(r)
+    assert max(map(len, by_part.values())) <= 2 * (16 + 4 * 16)
+    met = sorted((h.cell, h.id, v.id) for p in by_part.values() for h in p if h.home for v in p if v["visit"])
+    assert met == sorted((c, h, v) for c, h, home in rows if home for d, v, _ in rows if c == d)
