@@ -192,21 +192,24 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, tables: int = TABLES)
     same = given.where("vector is not null").groupBy("hash", "label", "vector")
     classes = materialize(
         same.agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least"))
-        .withColumn("id", F.coalesce("least", F.lit(1 << 62).bitwiseOR(F.shiftrightunsigned("hash", 2))))
-        .withColumn("scope", F.xxhash64("label")), "vector-classes")
+        # Numbered, as classes of different vectors may share their smallest vec_id.
+        .withColumn("id", F.monotonically_increasing_id()).withColumn("scope", F.xxhash64("label")), "vector-classes")
     found = materialize(lattice_links(classes, cosine, tables), "lattice-links")
     counts = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     linked = components(found.where("b is not null").select("a", "b"))
-    shared = materialize(
+    members = materialize(
         classes.join(counts, F.col("id") == F.col("a"), "left").join(linked, F.col("id") == F.col("node"), "left")
         .where("n > 1 or links > 0").select(
-            F.col("hash").alias("s_hash"), F.col("label").alias("s_label"), F.col("vector").alias("s_vector"),
+            F.col("hash").alias("s_hash"), F.col("label").alias("s_label"), F.col("vector").alias("s_vector"), "least",
             (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component")),
-        "vectors-linked")
+        "vectors-members")
+    heads = materialize(members.groupBy(F.col("component").alias("h_component")).agg(F.min("least").alias("head")), "vectors-heads")
+    shared = materialize(
+        members.join(heads, F.col("component") == F.col("h_component"))
+        .select("s_hash", "s_label", "s_vector", "n_links", "head"), "vectors-linked")
     met = given.join(shared, (F.col("hash") == F.col("s_hash")) & (F.col("label") == F.col("s_label"))
                      & (F.col("vector") == F.col("s_vector")), "left")
-    least = F.coalesce("component", "vec_id")
     return met.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(least < F.lit(1 << 62), least).alias("component_id")).withColumn(
+        F.coalesce("head", "vec_id").alias("component_id")).withColumn(
         "kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -117,3 +117,11 @@ def test_parts_of_a_crowded_cell_are_bounded_and_meet_once(spark):
     assert max(map(len, by_part.values())) <= 2 * (16 + 4 * 16)
     met = sorted((h.cell, h.id, v.id) for p in by_part.values() for h in p if h.home for v in p if v["visit"])
     assert met == sorted((c, h, v) for c, h, home in rows if home for d, v, _ in rows if c == d)
+
+
+def test_different_vectors_of_one_id_are_linked_and_counted_apart(spark):
+    v, w, far = [1.0, 0.0, 0.0, 0.0], [1.0, 0.1, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]
+    rows = [(2, v, 0), (2, w, 0), (4, v, 1), (4, far, 1), (3, w, 1), (5, far, 1), (None, v, 2), (None, w, 2), (9, far, 2), (9, far, 2)]
+    got = found(spark.createDataFrame(rows, SCHEMA))
+    # The brute force names a component by its smallest id too.
+    assert got == brute(rows) and ("2", 1, "2") in got and got.count(("4", 1, "3")) == 1 and got.count(("4", 1, "4")) == 1
