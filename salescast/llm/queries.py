@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import bpe, chaining, chat, exact, hmm, lattice, mixing, quality, simhash, toxicity
+from salescast.llm import bpe, chaining, chat, exact, hmm, lattice, mixing, periodic, quality, simhash, toxicity
 from salescast.llm.common import WORD
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +60,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_simhash": op2_simhash,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_chaining": op9_chaining,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 
