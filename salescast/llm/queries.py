@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import bpe, chaining, chat, exact, hmm, lattice, mixing, periodic, quality, simhash, toxicity
+from salescast.llm import bpe, chaining, chat, exact, hmm, lattice, mixing, periodic, quality, simhash, toxicity, warc
 from salescast.llm.common import WORD
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -64,6 +64,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.runs(table(spark, sf_dir, "documents"), plant=True)
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_simhash": op2_simhash,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chaining": op9_chaining,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_warc": op13_warc,
 }
 
 
@@ -140,4 +145,12 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op13_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages)
+        SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+          translate({" || ".join(f"to_base(CAST('0x' || substr(hex, {i}, 10) AS BIGINT), 32, 8)" for i in (1, 11, 21, 31))},
+            '{warc.DIGITS}', '{warc.BASE32}') AS payload_digest,
+          CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+        FROM p WINDOW same AS (PARTITION BY payload)""",
 }
