@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import bpe, chaining, chat, exact, hmm, lattice, mixing, periodic, quality, simhash, toxicity, warc
+from salescast.llm import bpe, chaining, chat, exact, hmm, lattice, mixing, periodic, quality, simhash, spelling, toxicity, warc
 from salescast.llm.common import WORD
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -64,6 +64,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.runs(table(spark, sf_dir, "documents"), plant=True)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chaining": op9_chaining,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling": op12_spelling,
     "op13_warc": op13_warc,
 }
 
@@ -145,6 +150,39 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_spelling": f"""
+        WITH RECURSIVE crc AS (
+          SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+        runs AS (
+          SELECT run, hex(encode(doc_id || ':' || run)) AS x, count(*) AS n
+          FROM (SELECT doc_id, unnest(regexp_extract_all(
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[{spelling.LETTERS}]+')) AS run FROM documents)
+          WHERE length(run) >= {spelling.LENGTH} GROUP BY ALL),
+        hashed AS (
+          SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+            lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+          FROM runs, crc),
+        words AS (
+          SELECT CASE WHEN h % {spelling.EVERY} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+            CAST(sum(n) AS BIGINT) AS n
+          FROM hashed GROUP BY 1 HAVING length(word) >= {spelling.LENGTH} AND sum(n) >= {spelling.OCCURRENCES}),
+        cut AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM words, LATERAL (SELECT unnest(range(length(word))) AS i)),
+        near AS (
+          SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+          UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.d = w.word
+          UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.d = w.word),
+        best AS (
+          SELECT near.word, count(*) AS n_near, arg_min({{'word': other, 'n': o.n}}, {{'n': -o.n, 'word': other}}) AS b
+          FROM near JOIN words o ON other = o.word GROUP BY near.word),
+        known AS (
+          SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= {spelling.TIMES} * n THEN b END AS b
+          FROM words w LEFT JOIN best ON w.word = best.word),
+        ways AS (
+          SELECT word, word AS root, 0 AS steps FROM known
+          UNION ALL SELECT ways.word, k.b.word, steps + 1 FROM ways JOIN known k ON root = k.word WHERE k.b IS NOT NULL)
+        SELECT k.word, k.b.word AS form, r.root, k.n, k.n_near, k.b.n AS form_n
+        FROM known k JOIN (SELECT word, arg_max(root, steps) AS root FROM ways GROUP BY word) r ON k.word = r.word""",
     "op13_warc": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages)
         SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
