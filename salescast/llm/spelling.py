@@ -23,8 +23,10 @@ LETTERS, LENGTH, OCCURRENCES, TIMES, EVERY = "A-Za-zÀ-ÿ", 6, 5, 5, 199
 #: at least one.
 EDITS, GRAM = 1, 2
 PREFIX, PIVOTS = GRAM * EDITS + 1, EDITS + 1
+#: A context of fewer letters than this says little, so the other end of the word is added, of so many letters.
+CONTEXT, END = 6, 3
 #: Bytes of text that are counted together, and pivots in a part of a crowded key.
-BATCH, HOMES = 8 << 20, 4_096
+BATCH, HOMES = 8 << 20, 1_024
 
 
 def count_words(docs: DataFrame, every: int = EVERY) -> DataFrame:
@@ -78,13 +80,31 @@ def prefix_and_pivots(ranks: list[int], costs: list[int]) -> tuple[int, list[int
     return last, prefix, list(best[PIVOTS][-1][1])
 
 
+def keys(word: str, places: list[int]) -> set[str]:
+    """What a word with grams at ``places`` is filed under, so that a word with one of them, one edit away, has a common key.
+
+    An edit that leaves a gram whole is on its right or on its left. On the right, the word up to the gram is left as it
+    is, so the gram keeps its place; on the left, the word from the gram on is left, so it keeps its place from the end. That context
+    says more than a limit to the place. Where it is short, there are two more cases: the far end of the word is left
+    as well and joins the key, or it is not, and then everything else is left: all but ``END`` letters of the shorter word.
+    """
+    out = set()
+    lengths = [m for m in (len(word), len(word) - 1) if m >= LENGTH]  # of the shorter word
+    for i in places:
+        for side, context, whole, end in (("<", word[:i + GRAM], word, word[-END:]), (">", word[i:][::-1], word[::-1], word[:END])):
+            if len(context) >= CONTEXT:
+                out.add(side + context)
+                continue
+            out.add(f"{side}{context} {end}")
+            out.update(f"{side}{m} {whole[:max(len(context), m - END)]}" for m in lengths)
+    return out
+
+
 def postings(words: DataFrame) -> DataFrame:
     """(cell, id, last, home): where each word is indexed, by its pivots (``home``), and looked up, by its whole prefix.
 
-    Grams are ordered by the number of words that hold them, then by their letters. The table of grams has at most one row a
-    pair of letters. An edit that leaves a gram whole is on its right or on its left. On the right, the word up to the gram is left as it is, so
-    the gram keeps its place; on the left, the word from the gram on is left, so it keeps its place from the end. Each gram
-    is filed under both, which says more than the limits to its place.
+    Grams are ordered by the number of words that hold them, then by their letters. The table of grams has at most one
+    row a pair of letters.
     """
     grams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda i: F.substr("word", i, F.lit(GRAM)))).alias("gram"))
     counted = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).orderBy("n", "gram").collect()
@@ -93,19 +113,20 @@ def postings(words: DataFrame) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = order.value
         for batch in batches:
-            keys, ids, lasts, homes = [], [], [], []
+            cells, ids, lasts, homes = [], [], [], []
             for word in batch.column("word").to_pylist():
                 found = [known[word[i:i + GRAM]] for i in range(len(word) - GRAM + 1)]
                 last, prefix, pivots = prefix_and_pivots([r for r, _ in found], [n for _, n in found])
-                for i in prefix:
-                    keys += ["<" + word[:i + GRAM], ">" + word[i:]]
-                    ids += [word] * 2
-                    lasts += [last] * 2
-                    homes += [i in pivots] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(ids, pa.string()), pa.array(lasts, pa.int32()),
+                own, looked_up = keys(word, pivots), keys(word, prefix)
+                cells += looked_up
+                homes += [c in own for c in looked_up]
+                ids += [word] * len(looked_up)
+                lasts += [last] * len(looked_up)
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.string()), pa.array(ids, pa.string()), pa.array(lasts, pa.int32()),
                                               pa.array(homes, pa.bool_())], ["cell", "id", "last", "home"])
 
-    return words.select("word").mapInArrow(each, "cell string, id string, last int, home boolean")
+    rows = words.select("word").mapInArrow(each, "cell string, id string, last int, home boolean")
+    return rows.withColumn("cell", F.xxhash64("cell"))
 
 
 def near_words(words: DataFrame) -> DataFrame:

@@ -115,3 +115,19 @@ def test_pivots_are_disjoint_and_cheapest():
         assert prefix == [i for i in range(n) if grams[i] <= sorted(grams)[2]] and last == sorted(grams)[2]
         pairs = [(i, j) for i in prefix for j in prefix if j - i >= 2]
         assert tuple(pivots) in pairs and sum(grams[i] for i in pivots) == min(grams[i] + grams[j] for i, j in pairs)
+
+
+def test_words_one_edit_apart_share_a_key():
+    """Whatever gram an edit leaves whole, the key of that gram is common."""
+    rng = random.Random(6)
+    for _ in range(3000):
+        a = "".join(rng.choice("abc") for _ in range(rng.randint(6, 14)))
+        at, kind = rng.randrange(len(a) + 1), rng.randrange(3)
+        b = (a[:at] + "x" + a[at:], a[:at] + "x" + a[at + 1:], a[:at] + a[at + 1:])[kind]
+        if at == len(a) and kind or len(b) < 6:
+            continue
+        for i in range(len(a) - 1):
+            if i + 2 <= at:
+                assert spelling.keys(a, [i]) & spelling.keys(b, [i])
+            if i >= at + (kind > 0):
+                assert spelling.keys(a, [i]) & spelling.keys(b, [i + len(b) - len(a)])
