@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +20,65 @@ VERSIONS = "_versions"
 NULL_TEXTS = ("", "#N/A", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
+#: Files whose headers are looked at together; each look is a small job that reads the begin of one file.
+HEADER_JOBS = 16
+
+
 def _exists_or_none(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     try:
-        reader = spark.read.format(fmt)
-        return (reader.option("header", True) if fmt == "csv" else reader).load(path)
+        return spark.read.format(fmt).load(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def _scan_csv(spark: SparkSession, files: Sequence[str] | str, base: str | None) -> DataFrame:
+    """One scan of files with one header; a file whose header is another one fails the job."""
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return (reader.option("basePath", base) if base else reader).csv(files)
+
+
+def csv_by_header(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The text files under ``path``, one frame for each distinct header line, columns as named there.
+
+    Spark takes the header of one file for all files of a scan, so files of other orders or other columns would be misread.
+    Here the header of every file is read first, files with the same one share a scan, and each scan
+    checks the headers again. Files without a line are left out. Folders named ``column=value`` give columns, as in any
+    scan. A path that does not exist gives no frame.
+    """
+    listed = _exists_or_none(spark, path, "binaryFile")
+    if listed is None:
+        return []
+    folders = [c for c in listed.columns if c not in ("path", "modificationTime", "length", "content")]
+    base = path if folders else None
+    files = [r.path for r in listed.where("length > 0").select("path").collect()]
+
+    def header(file: str) -> tuple[str, ...]:
+        try:
+            return tuple(c for c in _scan_csv(spark, file, base).columns if c not in folders)
+        except AnalysisException as e:
+            if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return ()  # nothing but blank lines
+            raise
+
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        for file, columns in zip(files, pool.map(header, files), strict=True):
+            if columns:
+                by_header.setdefault(columns, []).append(file)
+    return [_scan_csv(spark, sorted(same), base) for _, same in sorted(by_header.items())]
+
+
+def _load(spark: SparkSession, path: str, fmt: str, fields: tuple[S.Field, ...], extra: Mapping[str, str] | None) -> DataFrame | None:
+    """The typed table, or None where there is none; text files with different headers are put together by column name."""
+    if fmt != "csv":
+        df = _exists_or_none(spark, path, fmt)
+        return None if df is None else _typed(df, fields, extra)
+    typed = [_typed(df, fields, extra) for df in csv_by_header(spark, path)]
+    return reduce(append_batch, typed) if typed else None
+
+
 def _typed(df: DataFrame, fields: tuple[S.Field, ...], extra: Mapping[str, str] | None = None) -> DataFrame:
     """Rename headers to canonical names and cast leniently; absent optional columns stay absent.
 
@@ -65,19 +116,22 @@ def read_required(
     spark: SparkSession, path: str, fields: tuple[S.Field, ...], fmt: str = "parquet", extra: Mapping[str, str] | None = None
 ) -> DataFrame:
     """The table, typed by ``fields``. ``extra`` gives SQL types to further columns of a text format, which sort
-    and compare as text otherwise."""
-    df = _exists_or_none(spark, path, fmt)
+    and compare as text otherwise.
+
+    The text files of a folder may have their columns in different orders; an optional or further column that only some of
+    them have is null in the rows of the others, and one without a required column is refused."""
+    df = _load(spark, path, fmt, fields, extra)
     if df is None:
         raise FileNotFoundError(path)
-    return _typed(df, fields, extra)
+    return df
 
 
 def read_optional(
     spark: SparkSession, path: str, fields: tuple[S.Field, ...], fmt: str = "parquet", extra: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Like :func:`read_required`, but a missing table reads as an empty one of the known schema."""
-    df = _exists_or_none(spark, path, fmt)
-    return spark.createDataFrame([], S.struct(fields)) if df is None else _typed(df, fields, extra)
+    df = _load(spark, path, fmt, fields, extra)
+    return spark.createDataFrame([], S.struct(fields)) if df is None else df
 
 
 def rows_to_table(

@@ -349,6 +349,10 @@ SELECT brand, CAST(date_trunc('month', sale_date) AS DATE) AS month_start,
     "append_batches": sql(SALES, body="""
 SELECT sale_date, count(*) AS sale_rows, CAST(sum(total_sales) AS DOUBLE) AS total_sales FROM sales GROUP BY 1"""),
 
+    "csv_batches": sql(SALES, body=f"""
+SELECT sale_date, category, brand, region, promotion, CAST(total_sales AS DOUBLE) AS total_sales, quantity_sold, online_popularity,
+  CASE WHEN k1 % 3 <> 2 THEN discount_percentage END AS discount_percentage, stock_level, {IDS} FROM sales"""),
+
     "trend_score_7d": sql(EVENTS, body=f"""
 SELECT brand, {r('coalesce(score, 55.0)', 6, 'online_popularity')}
 FROM (SELECT DISTINCT p_brand AS brand FROM part) b LEFT JOIN scores USING (brand)"""),

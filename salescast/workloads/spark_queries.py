@@ -14,6 +14,7 @@ from salescast.models import decomposable, regression, sequence
 from salescast.operators import columns, daily, evaluate, history, series, slices, trends
 from salescast.plans import full_run, marts
 from salescast.sources import star
+from salescast.sources import tables
 from salescast.sources.tables import append_batch, publish, read_published
 from salescast.staging import materialize, scoped_folder
 from salescast.workloads.second_model import score_weekday_means, weekday_forecast
@@ -305,6 +306,20 @@ def append_batches(spark, sf):
         F.count("*").alias("sale_rows"), F.sum("total_sales").alias("total_sales")), 4, "total_sales")
 
 
+@query
+def csv_batches(spark, sf):
+    """The sales as text files in three batches: columns in two orders, the last batch without the discount, all read as one table."""
+    rows = star.sales(spark, sf, ("sale_date", "category", "brand", "region", "promotion", "total_sales", "quantity_sold",
+                                  "online_popularity", "discount_percentage", "stock_level", *IDS))
+    folder = scoped_folder(spark, "csv")
+    batches = (rows.where("k1 % 3 = 0"), rows.where("k1 % 3 = 1").select(*reversed(rows.columns)),
+               rows.where("k1 % 3 = 2").drop("discount_percentage"))
+    named = {f.name: f.header for f in S.RAW_SALES}
+    for batch in batches:
+        batch.withColumnsRenamed(named).write.mode("append").option("header", True).csv(folder)
+    return tables.read_required(spark, folder, S.RAW_SALES, "csv", extra=dict(rows.select(*IDS).dtypes))
+
+
 # --- trend enrichment -----------------------------------------------------------------
 
 

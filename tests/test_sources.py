@@ -30,6 +30,54 @@ def test_csv_is_read_leniently_with_optional_columns_absent(spark, csv_path):
     assert rows["b"].sale_date is None and rows["b"].total_sales is None and rows["b"].quantity_sold == 4
 
 
+FIRST = "Date,Category,Brand,Region,Total_Sales,Quantity_Sold,Online_Popularity,note\n"
+
+
+@pytest.fixture
+def batches(tmp_path):
+    """Two orders of the columns, an optional and a further column in one of them only, and files without rows or lines."""
+    (tmp_path / "a.csv").write_text(FIRST + "2024-01-01,c,x,north,1.5,2,30,\"one, two\"\n")
+    (tmp_path / "b.csv").write_text("Quantity_Sold,Stock_Level,Brand,Category,Online_Popularity,Date,Region,Total_Sales\n"
+                                    "20,7,y,B,40,2024-01-02,south,2.5\n")
+    (tmp_path / "c.csv").write_text(FIRST + "2024-01-03,d,z,west,3.5,4,50,\n")
+    (tmp_path / "d.csv").write_text(FIRST)
+    (tmp_path / "e.csv").write_text("")
+    return tmp_path
+
+
+def test_files_with_other_header_orders(spark, batches):
+    df = tables.read_required(spark, str(batches), S.RAW_SALES, "csv")
+    got = {r.brand: (r.sale_date.day, r.category, r.region, r.total_sales, r.quantity_sold, r.online_popularity, r.stock_level, r.note)
+           for r in df.collect()}
+    assert got == {"x": (1, "c", "north", 1.5, 2, 30.0, None, "one, two"), "y": (2, "B", "south", 2.5, 20, 40.0, 7.0, None),
+                   "z": (3, "d", "west", 3.5, 4, 50.0, None, None)}
+    assert len(tables.csv_by_header(spark, str(batches))) == 2  # files with one header share a scan
+    only = df.select("brand").where("brand = 'y'")
+    assert [r.brand for r in only.collect()] == ["y"]
+
+
+def test_a_batch_without_a_required_column_is_refused(spark, batches):
+    (batches / "f.csv").write_text("Date,Category,Brand,Region,Quantity_Sold,Online_Popularity\n2024-01-01,c,x,north,2,30\n")
+    with pytest.raises(ValueError, match="Total_Sales"):
+        tables.read_required(spark, str(batches), S.RAW_SALES, "csv")
+
+
+def test_partitioned_and_compressed_text(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1.0, 2.0, "x"), ("b", 3.0, 4.0, "y")], "brand string, rmse double, mape_pct double, region string")
+    named = rows.withColumnsRenamed({f.name: f.header for f in S.METRICS})
+    named.write.partitionBy("region").option("header", True).option("compression", "gzip").csv(str(tmp_path / "p"))
+    named.drop("region").select("MAPE (%)", "Brand", "RMSE").write.option("header", True).csv(str(tmp_path / "p" / "region=z"))
+    got = {(r.brand, r.rmse, r.mape_pct, r.region) for r in tables.read_required(spark, str(tmp_path / "p"), S.METRICS, "csv").collect()}
+    assert got == {("a", 1.0, 2.0, "x"), ("b", 3.0, 4.0, "y"), ("a", 1.0, 2.0, "z"), ("b", 3.0, 4.0, "z")}
+
+
+def test_folder_without_text_files(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        tables.read_required(spark, str(tmp_path / "empty"), S.METRICS, "csv")
+    assert tables.read_optional(spark, str(tmp_path / "empty"), S.METRICS, "csv").isEmpty()
+
+
 def test_missing_required_column(spark, tmp_path):
     (tmp_path / "x.csv").write_text("Date,Brand\n2024-01-01,a\n")
     with pytest.raises(ValueError, match="Total_Sales"):
