@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescast import schema as S
+from salescast.models import outcome
 from salescast.operators.series import (
     by_brand,
     clean_series,
     decomposable_eligible,
+    decomposable_gate,
     split_rows,
     with_horizon,
 )
@@ -57,6 +59,13 @@ def score_series(series: DataFrame, target: str = "total_sales",
         (F.col("predicted") + half).alias("yhat_upper"))
 
 
+def attempt(series: DataFrame, target: str = "total_sales",
+            horizon: int = S.HORIZON_DAYS, anchor: str = "train_end") -> DataFrame:
+    """The rows of :func:`score_series` with a column ``reason``, and a row for every skipped brand (``models.outcome``)."""
+    gate = decomposable_gate(series.select("brand", "sale_date", target), target)
+    return outcome.attempt(gate, score_series(series, target, horizon, anchor), ("predicted",), "decomposable-scored")
+
+
 def forecast_rows(scored: DataFrame) -> DataFrame:
     """The forecast table of a scored frame: train history and future days."""
     return scored.where("kind <> 'test'").select(

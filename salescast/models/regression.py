@@ -1,24 +1,26 @@
-"""Decomposable forecast with extra regressors: one small ridge solve per brand."""
+"""Decomposable forecast with extra regressors: two small ridge systems a brand."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast import schema as S
+from salescast.models import outcome
+from salescast.models.linear import block, dot, gram, solve
 from salescast.operators.series import (
     by_brand,
     carry_regressors,
     clean_series,
     decomposable_eligible,
+    decomposable_gate,
     split_rows,
     with_horizon,
 )
+from salescast.staging import materialize
 
 # Terms and stiffness of the model.
 YEARLY_TERMS = 10
@@ -28,9 +30,6 @@ HINGE_SPAN = 0.8
 RIDGE = 1.0
 TREND_RIDGE = 0.1
 
-_OUTPUT = ("brand string, sale_date date, kind string, actual double, "
-           "predicted double, yhat_lower double, yhat_upper double")
-
 
 def _fourier(day: Column, period: float, terms: int) -> list[Column]:
     angles = [day * (2 * math.pi * k / period) for k in range(1, terms + 1)]
@@ -73,37 +72,39 @@ def design_frame(series: DataFrame, regressors: Sequence[str], target: str = "to
                         trend.alias("trend"), season.alias("season"))
 
 
-def _ridge(x: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
-    return np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ y)
-
-
-def _fit_brand(rows: pd.DataFrame) -> pd.DataFrame:
-    """Fit the trend, then the seasons as a share of it, on the train rows of one brand."""
-    rows = rows.sort_values(["sale_date", "kind"], ignore_index=True)
-    train = (rows["kind"] == "train").to_numpy()
-    y = rows["actual"].to_numpy(float)
-    ones = np.ones((len(rows), 1))
-    trend_x = np.hstack([ones, np.stack(rows["trend"].to_numpy())])
-    season_x = np.stack(rows["season"].to_numpy())
-    stiff = np.full(trend_x.shape[1], TREND_RIDGE)
-    stiff[:2] = 1e-9  # the level and the overall slope are free
-    g = trend_x @ _ridge(trend_x[train], y[train], stiff)
-    # y = g * (1 + season): weighted by g, the season is linear in its coefficients
-    weighted = season_x * g[:, None]
-    scale = np.mean(np.square(g[train])) or 1.0
-    beta = _ridge(weighted[train], (y - g)[train], np.full(season_x.shape[1], RIDGE * scale))
-    yhat = g + weighted @ beta
-    half = S.INTERVAL_Z * np.std((y - yhat)[train], ddof=1)
-    return pd.DataFrame({
-        "brand": rows["brand"], "sale_date": rows["sale_date"], "kind": rows["kind"],
-        "actual": rows["actual"], "predicted": yhat,
-        "yhat_lower": yhat - half, "yhat_upper": yhat + half})
+def attempt(
+    series: DataFrame, regressors: Sequence[str] = ("online_popularity", *S.DECOMPOSABLE_REGRESSORS),
+    target: str = "total_sales", horizon: int = S.HORIZON_DAYS, anchor: str = "train_end",
+) -> DataFrame:
+    """Fit the trend, then the seasons as a share of it, on the train rows of each brand.
+
+    The columns of the closed-form model and ``reason``, as described in ``models.outcome``: a brand is skipped by its
+    gate, or where its fit is not finite. Both fits are sums of products and a solve over arrays, without Python workers.
+    """
+    regressors = S.present(series.columns, tuple(regressors))
+    frame = materialize(design_frame(series, regressors, target, horizon, anchor), "design")
+    stiff = f"CASE WHEN _i < 2 THEN 1e-9D ELSE {TREND_RIDGE!r}D END"  # the level and the overall slope are free
+    sums = gram(frame.where("kind = 'train'"), "concat(array(1D), trend, array(actual))")
+    lines = solve(sums, block("a", 0, "(size(a) - 1)", stiff), "slice(a[size(a) - 1], 1, size(a) - 1)", "slopes")
+    # y = g * (1 + season): weighted by g, the season is linear in its coefficients.
+    level = dot("slopes", "concat(array(1D), trend)")
+    weighted = materialize(
+        frame.join(lines.select("brand", "slopes"), "brand").selectExpr("brand", "sale_date", "kind", "actual", f"{level} AS g", "season")
+        .selectExpr("brand", "sale_date", "kind", "actual", "g", "transform(season, _w -> _w * g) AS w"), "weighted")
+    sums = gram(weighted.where("kind = 'train'"), "concat(array(1D, g), w, array(actual - g))").selectExpr(
+        "brand", "a", "size(a) - 3 AS p", "coalesce(nullif(try_divide(a[1][1], a[0][0]), 0D), 1D) AS scale")
+    shares = solve(sums, block("a", 2, "p", f"{RIDGE!r}D * scale"), "slice(a[p + 2], 3, p)", "beta").select("brand", "beta")
+    fitted = weighted.join(shares, "brand").selectExpr("brand", "sale_date", "kind", "actual", f"g + {dot('beta', 'w')} AS predicted")
+    half = f"{S.INTERVAL_Z!r}D * stddev_samp(CASE WHEN kind = 'train' THEN actual - predicted END) OVER (PARTITION BY brand)"
+    scored = fitted.selectExpr("*", f"{half} AS half").selectExpr(
+        "brand", "sale_date", "kind", "actual", "predicted", "predicted - half AS yhat_lower", "predicted + half AS yhat_upper")
+    used = series.select("brand", "sale_date", target, *regressors)
+    return outcome.attempt(decomposable_gate(used, target), scored, ("predicted", "yhat_lower"), "regressors-scored")
 
 
 def score_series_with_regressors(
     series: DataFrame, regressors: Sequence[str] = ("online_popularity", *S.DECOMPOSABLE_REGRESSORS),
     target: str = "total_sales", horizon: int = S.HORIZON_DAYS, anchor: str = "train_end",
 ) -> DataFrame:
-    """Same output as the closed-form model. One group is one series: a row a day."""
-    return (design_frame(series, regressors, target, horizon, anchor)
-            .groupBy("brand").applyInPandas(_fit_brand, _OUTPUT))
+    """Same output as the closed-form model: the scored rows of :func:`attempt`."""
+    return outcome.scores(attempt(series, regressors, target, horizon, anchor))

@@ -74,14 +74,26 @@ def decomposable_gate(series: DataFrame, target: str = "total_sales") -> DataFra
             .withColumn("skip_reason", reason))
 
 
-def sequence_gate(series: DataFrame) -> DataFrame:
-    """One row per brand: series rows, sequences, and the reason it is skipped, or null."""
+def _unusable(features: Sequence[str]) -> Column:
+    """The names of the features that are null, NaN or infinite in the row."""
+    return F.array_compact(F.array(*[F.when(finite(F.col(c).cast("double")).isNull(), F.lit(c)) for c in features]).cast("array<string>"))
+
+
+def sequence_gate(series: DataFrame, features: Sequence[str] = ()) -> DataFrame:
+    """One row per brand: series rows, sequences, and the reason it is skipped, or null.
+
+    A brand that lacks a value of one of ``features`` on any day is skipped by name, as no window over that day can be scaled.
+    """
     n = F.col("series_rows")
-    return (series.groupBy("brand").agg(F.count("*").alias("series_rows"))
+    gaps = F.array_sort(F.array_distinct(F.flatten(F.collect_set(_unusable(features)))))
+    counts = series.groupBy("brand").agg(F.count("*").alias("series_rows"), gaps.alias("_gaps"))
+    return (counts
             .withColumn("sequences", F.greatest(n - S.WINDOW_DAYS, F.lit(0)))
             .withColumn("skip_reason",
                         F.when(n < S.WINDOW_DAYS + 1, "insufficient rows")
-                        .when(F.col("sequences") < S.MIN_SEQUENCES, "not enough samples")))
+                        .when(F.col("sequences") < S.MIN_SEQUENCES, "not enough samples")
+                        .when(F.size("_gaps") > 0, F.concat(F.lit("missing values: "), F.array_join("_gaps", ", "))))
+            .drop("_gaps"))
 
 
 def decomposable_eligible(split: DataFrame) -> DataFrame:
@@ -97,10 +109,10 @@ def decomposable_eligible(split: DataFrame) -> DataFrame:
             .where("NOT _broken").drop("_broken"))
 
 
-def sequence_eligible(series: DataFrame) -> DataFrame:
+def sequence_eligible(series: DataFrame, features: Sequence[str] = ()) -> DataFrame:
     """Rows of the series that pass :func:`sequence_gate`, without a join."""
-    return (series.withColumn("_rows", F.count("*").over(by_brand()))
-            .where(F.col("_rows") >= S.WINDOW_DAYS + S.MIN_SEQUENCES).drop("_rows"))
+    return (series.withColumns({"_rows": F.count("*").over(by_brand()), "_gap": F.max(F.size(_unusable(features))).over(by_brand())})
+            .where((F.col("_rows") >= S.WINDOW_DAYS + S.MIN_SEQUENCES) & (F.col("_gap") == 0)).drop("_rows", "_gap"))
 
 
 def varies(c: str, where: Column) -> Column:

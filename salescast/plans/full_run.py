@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescast import schema as S
-from salescast.models import decomposable, regression, sequence
+from salescast.models import decomposable, outcome, regression, sequence
+from salescast.models.linear import LinearFit
 from salescast.operators.daily import daily_brand_summary
 from salescast.operators.evaluate import compare_metrics, holdout_metrics
 from salescast.operators.series import brand_series
@@ -26,7 +27,7 @@ def sequence_metrics(scored: DataFrame) -> DataFrame:
 
 
 def run_all(raw: DataFrame, events: DataFrame, tie_break: Sequence[str], out: str, as_of: str,
-            fit: sequence.Fit = sequence.ridge_autoregression,
+            fit: LinearFit | sequence.Fit = sequence.RIDGE_AUTOREGRESSION,
             with_regressors: bool = True) -> dict[str, DataFrame]:
     """Refresh popularity, preprocess, forecast with both models, score and report.
 
@@ -48,12 +49,17 @@ def run_all(raw: DataFrame, events: DataFrame, tie_break: Sequence[str], out: st
     daily = stored(daily_brand_summary(refreshed, tie_break), "processed_sales")
 
     series = stored(brand_series(daily, S.DECOMPOSABLE_REGRESSORS), "brand_series")
-    fitted = (regression.score_series_with_regressors if with_regressors
-              else decomposable.score_series)(series)
-    first_scored = stored(fitted, "decomposable_scored")
-    second_scored = stored(sequence.score_series(series, fit=fit), "sequence_scored")
+    if with_regressors:
+        first_tried = stored(regression.attempt(series), "decomposable_scored")
+    else:
+        first_tried = stored(decomposable.attempt(series), "decomposable_scored")
+    second_tried = stored(sequence.attempt(series, fit=fit), "sequence_scored")
+    first_scored, second_scored = outcome.scores(first_tried), outcome.scores(second_tried)
 
     tables = {"processed_sales": daily}
+    tables["skipped_brands"] = stored(
+        outcome.skipped(first_tried).withColumn("model", F.lit("decomposable")).unionByName(
+            outcome.skipped(second_tried).withColumn("model", F.lit("sequence"))), "skipped_brands")
     tables["decomposable_forecast"] = stored_if_any(
         decomposable.forecast_rows(first_scored), "decomposable_forecast")
     tables["sequence_forecast"] = stored_if_any(sequence.forecast_rows(second_scored), "sequence_forecast")

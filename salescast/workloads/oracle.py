@@ -6,6 +6,8 @@ expressions. Statistics are taken row by row, lags by one window over each brand
 
 from __future__ import annotations
 
+import math
+
 SALES = """sales AS (
 SELECT CAST(o.o_orderdate AS DATE) AS sale_date, p.p_type AS category, p.p_brand AS brand, r.r_name AS region,
   CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(16,4)) AS total_sales,
@@ -182,10 +184,114 @@ SELECT CAST(k1 AS VARCHAR) AS k1, k2, k3, k4, k5, k6, sale_date, CASE WHEN k1 %
 placed AS (
 SELECT *, row_number() OVER (PARTITION BY brand ORDER BY {ORDER}) AS rn, count(*) OVER (PARTITION BY brand) AS n FROM gaps),
 numbered AS (SELECT *, min(CASE WHEN v IS NOT NULL THEN rn END) OVER (PARTITION BY brand) AS first_at FROM placed)"""
+BROKEN = """broken AS (
+SELECT brand, least(count(DISTINCT sale_date), CASE brand WHEN 'Brand#5' THEN 2 WHEN 'Brand#6' THEN 7 WHEN 'Brand#7' THEN 8
+  WHEN 'Brand#8' THEN 26 ELSE 1000000 END) AS n FROM sales GROUP BY brand)"""
 GROWTH_COLUMNS = ", ".join([r("last_month_sales", 4), *[r(c, 2) for c in ("predicted_sales", "growth", "growth_pct")]])
 MODELS = (SALES, SERIES, FIRST_MODEL, SECOND_MODEL)
 PREPARED = (SALES, FILLED, HISTORY, CODES, PROCESSED)
 
+_SEQUENCE = ("total_sales", "online_popularity", "competitor_price", "stock_level", "supply_delay_days", "weather_score", "is_holiday")
+_REGRESSORS = ("online_popularity", "competitor_price", "stock_level", "supply_delay_days", "weather_score",
+               "promotion", "discount_percentage", "is_holiday")
+FEATURES = """features AS (
+SELECT brand, sale_date, sum(total_sales) AS total_sales, """ + ", ".join(f"avg({c}) AS {c}" for c in _REGRESSORS) + """
+FROM processed GROUP BY 1, 2)"""
+
+
+def products(name: str, rows: str, size: int) -> str:
+    """The Gram matrix (brand, i, j, g) of the lists v, of ``size`` members, of the rows (brand, sale_date, v)."""
+    return f"""{name}_columns AS (
+SELECT brand, i, list(v[i] ORDER BY sale_date) AS c FROM {rows}, range(1, {size + 1}) t(i) GROUP BY brand, i),
+{name} AS (
+SELECT a.brand, a.i, b.i AS j, list_dot_product(a.c, b.c) AS g FROM {name}_columns a JOIN {name}_columns b ON a.brand = b.brand)"""
+
+
+def elimination(name: str, lines: str, size: int) -> str:
+    """(brand, beta): solutions by elimination of the systems (brand, i, line), a line its row and the right-hand side."""
+    return f"""{name}_steps AS (
+SELECT brand, 1 AS k, list(line ORDER BY i) AS m FROM {lines} GROUP BY brand
+UNION ALL
+SELECT brand, k + 1, list_transform(m, lambda line, i: CASE WHEN i = k THEN list_transform(line, lambda v: v / m[k][k])
+  ELSE list_transform(line, lambda v, j: v - line[k] / m[k][k] * m[k][j]) END) FROM {name}_steps WHERE k <= {size}),
+{name} AS (SELECT brand, list_transform(m, lambda line: line[{size + 1}]) AS beta FROM {name}_steps WHERE k = {size + 1})"""
+
+
+_LAGS = 7 * len(_SEQUENCE)
+# The sequence model with its ridge fit: windows of scaled features, sums of products, centring, elimination, recursion.
+SEQUENCE_MODEL = f"""scaled AS (
+SELECT brand, sale_date, total_sales, min(total_sales) OVER b AS low, max(total_sales) OVER b AS high,
+  row_number() OVER (b ORDER BY sale_date) AS no, count(*) OVER b AS total,
+  [{', '.join(f"({c} - min({c}) OVER b) / CASE WHEN max({c}) OVER b = min({c}) OVER b THEN 1 ELSE max({c}) OVER b - min({c}) OVER b END" for c in _SEQUENCE)}] AS f
+FROM features WINDOW b AS (PARTITION BY brand)),
+weeks AS (
+SELECT *, flatten(list(f) OVER (PARTITION BY brand ORDER BY sale_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) AS x, f[1] AS y FROM scaled),
+fitting AS (
+SELECT brand, sale_date, list_concat([1.0], x, [y]) AS v FROM weeks WHERE no > 7 AND no - 7 <= ((total - 7) * 4) // 5 AND total >= 27),
+{products('sums', 'fitting', _LAGS + 2)},
+edges AS (SELECT brand, j, g AS s, max(CASE WHEN j = 1 THEN g END) OVER (PARTITION BY brand) AS n FROM sums WHERE i = 1),
+centred AS (
+SELECT s.brand, s.i, list(s.g - a.s * b.s / a.n + CASE WHEN s.i = s.j THEN 1.0 ELSE 0 END ORDER BY s.j) AS line
+FROM sums s JOIN edges a ON s.brand = a.brand AND s.i = a.j JOIN edges b ON s.brand = b.brand AND s.j = b.j
+WHERE s.i BETWEEN 2 AND {_LAGS + 1} AND s.j >= 2 GROUP BY s.brand, s.i),
+{elimination('ridge', 'centred', _LAGS)},
+means AS (SELECT brand, list(s / n ORDER BY j) FILTER (j BETWEEN 2 AND {_LAGS + 1}) AS x, max(CASE WHEN j = {_LAGS + 2} THEN s / n END) AS y
+  FROM edges GROUP BY brand),
+lines AS (SELECT r.brand, beta, y - list_dot_product(beta, x) AS intercept FROM ridge r JOIN means m ON r.brand = m.brand),
+sequence_test AS (
+SELECT w.brand, sale_date, total_sales, low, high, y AS actual, intercept + list_dot_product(beta, x) AS predicted
+FROM weeks w JOIN lines l ON w.brand = l.brand WHERE no > 7 + ((total - 7) * 4) // 5),
+ahead AS (
+SELECT s.brand, max(sale_date) AS last_day, max(low) AS low, max(high) AS high, 0 AS step, list(f ORDER BY sale_date) AS latest
+FROM scaled s WHERE no > total - 7 AND total >= 27 GROUP BY s.brand
+UNION ALL
+SELECT a.brand, last_day, low, high, step + 1,
+  list_append(latest[2:7], list_concat([intercept + list_dot_product(beta, flatten(latest))], latest[7][2:]))
+FROM ahead a JOIN lines l ON a.brand = l.brand WHERE step < 30)"""
+UNSCALED = "{} * CASE WHEN high = low THEN 1 ELSE high - low END + low"
+
+_HINGES = [f"greatest(t - {0.8 * (i + 1) / 26!r}, 0)" for i in range(25)]
+_WAVES = [f"{f}(day * {2 * math.pi * k / period!r})" for period, terms in ((365.25, 10), (7.0, 3)) for k in range(1, terms + 1) for f in ("sin", "cos")]
+_SEASON = len(_WAVES) + len(_REGRESSORS)
+# The decomposable model with regressors: design, ridge trend, seasons as a share of it, band from the training residuals.
+REGRESSOR_MODEL = f"""numbered AS (
+SELECT *, row_number() OVER (PARTITION BY brand ORDER BY sale_date) AS no, count(*) OVER (PARTITION BY brand) AS total FROM features),
+frame AS (
+SELECT brand, sale_date, CASE WHEN no <= (total * 4) // 5 THEN 'train' ELSE 'test' END AS kind, total_sales AS actual FROM numbered
+UNION ALL
+SELECT brand, CAST(sale_date + CAST(i AS INT) AS DATE), 'future', NULL FROM numbered, range(1, 31) t(i) WHERE no = (total * 4) // 5),
+carried AS (
+SELECT f.*, {', '.join(f'g.{c}' for c in _REGRESSORS)}
+FROM frame f ASOF JOIN features g ON f.brand = g.brand AND f.sale_date >= g.sale_date),
+moments AS (
+SELECT brand, min(sale_date) AS origin, max(sale_date) AS train_end,
+  {', '.join(f'min({c}) < max({c}) AS varies_{c}, avg({c}) AS avg_{c}, stddev_samp({c}) AS std_{c}' for c in _REGRESSORS)}
+FROM carried WHERE kind = 'train' GROUP BY brand),
+timed AS (
+SELECT c.*, m.* EXCLUDE (brand), date_diff('day', origin, sale_date) / greatest(date_diff('day', origin, train_end), 1) AS t,
+  CAST(date_diff('day', DATE '1970-01-01', sale_date) AS DOUBLE) AS day FROM carried c JOIN moments m ON c.brand = m.brand),
+design AS (
+SELECT brand, sale_date, kind, actual, [1.0, t, {', '.join(_HINGES)}] AS trend,
+  [{', '.join([*_WAVES, *[f"CASE WHEN varies_{c} THEN coalesce(({c} - avg_{c}) / nullif(std_{c}, 0), 0) ELSE 0 END" for c in _REGRESSORS]])}] AS season
+FROM timed),
+trend_rows AS (SELECT brand, sale_date, list_append(trend, actual) AS v FROM design WHERE kind = 'train'),
+{products('trend_sums', 'trend_rows', 28)},
+trend_lines AS (
+SELECT brand, i, list(g + CASE WHEN i <> j THEN 0 WHEN i <= 2 THEN 1e-9 ELSE 0.1 END ORDER BY j) AS line
+FROM trend_sums WHERE i <= 27 GROUP BY brand, i),
+{elimination('slopes', 'trend_lines', 27)},
+levels AS (SELECT d.*, list_dot_product(trend, beta) AS g FROM design d JOIN slopes s ON d.brand = s.brand),
+shares AS (SELECT brand, sale_date, kind, actual, g, list_transform(season, lambda s: s * g) AS w FROM levels),
+share_rows AS (SELECT brand, sale_date, list_append(w, actual - g) AS v FROM shares WHERE kind = 'train'),
+{products('share_sums', 'share_rows', _SEASON + 1)},
+scales AS (SELECT brand, coalesce(nullif(avg(g * g), 0), 1) AS scale FROM shares WHERE kind = 'train' GROUP BY brand),
+share_lines AS (
+SELECT s.brand, i, list(g + CASE WHEN i = j THEN scale ELSE 0 END ORDER BY j) AS line
+FROM share_sums s JOIN scales c ON s.brand = c.brand WHERE i <= {_SEASON} GROUP BY s.brand, i),
+{elimination('seasons', 'share_lines', _SEASON)},
+regressed AS (SELECT h.*, g + list_dot_product(w, beta) AS predicted FROM shares h JOIN seasons s ON h.brand = s.brand),
+bands AS (SELECT brand, 1.2815515655446004 * stddev_samp(actual - predicted) AS half FROM regressed WHERE kind = 'train' GROUP BY brand)"""
+
 _PROFILED = ("total_sales", "quantity_sold", "online_popularity", "competitor_price", "stock_level", "weather_score")
 _Z_ROWS = ("quantity_sold", "competitor_price", "stock_level", "supply_delay_days", "weather_score")
 _ACTIVE = ("online_popularity", "competitor_price", "stock_level", "supply_delay_days", "weather_score",
@@ -411,6 +517,32 @@ SELECT sale_date, brand, {r('predicted_sales', 2)}, {r('yhat_lower', 2)}, {r('yh
     "decomp_metrics": sql(SALES, SERIES, FIRST_MODEL, body=f"""
 SELECT brand, {r(SCORES[0], 4, 'rmse')}, {r(SCORES[1], 4, 'mape_pct')} FROM fitted WHERE kind = 'test' GROUP BY brand"""),
 
+    "decomp_regressor_forecast": sql_recursive(*PREPARED, FEATURES, REGRESSOR_MODEL, body=f"""
+SELECT sale_date, r.brand, {r('predicted', 2, 'predicted_sales')}, {r('predicted - half', 2, 'yhat_lower')}, {r('predicted + half', 2, 'yhat_upper')}
+FROM regressed r JOIN bands b ON r.brand = b.brand WHERE kind <> 'test'"""),
+
+    "sequence_forecast": sql_recursive(*PREPARED, FEATURES, SEQUENCE_MODEL, body=f"""
+SELECT CAST(last_day + CAST(step AS INT) AS DATE) AS sale_date, brand, {r(UNSCALED.format('latest[7][1]'), 2, 'predicted_sales')}
+FROM ahead WHERE step > 0"""),
+
+    "sequence_metrics": sql_recursive(*PREPARED, FEATURES, SEQUENCE_MODEL, f"""unscaled AS (
+SELECT brand, {UNSCALED.format('actual')} AS actual, {UNSCALED.format('predicted')} AS predicted FROM sequence_test),
+a AS (SELECT brand, {', '.join(f"CAST(printf('%.6e', {e}) AS DOUBLE) AS {c}" for e, c in zip(SCORES, ('rmse', 'mape_pct')))} FROM sequence_test GROUP BY brand),
+b AS (SELECT brand, {', '.join(f"CAST(printf('%.6e', {e}) AS DOUBLE) AS {c}" for e, c in zip(SCORES, ('rmse_sales', 'mape_pct_sales')))}
+      FROM unscaled GROUP BY brand)""", body="SELECT * FROM a JOIN b USING (brand)"),
+
+    "sequence_skips": sql(SALES, BROKEN, body="""
+SELECT brand, reason, CASE WHEN reason IS NULL THEN n - 7 - ((n - 7) * 4) // 5 ELSE 0 END AS test_rows,
+  CAST(CASE WHEN reason IS NULL THEN 30 ELSE 0 END AS BIGINT) AS future_rows
+FROM (SELECT *, CASE WHEN n < 8 THEN 'insufficient rows' WHEN n < 27 THEN 'not enough samples'
+  WHEN brand = 'Brand#3' THEN 'missing values: weather_score' WHEN brand = 'Brand#4' THEN 'missing values: stock_level' END AS reason FROM broken)"""),
+
+    "regressor_skips": sql(SALES, BROKEN, body="""
+SELECT brand, reason, CASE WHEN reason IS NULL THEN n - (n * 4) // 5 ELSE 0 END AS test_rows,
+  CAST(CASE WHEN reason IS NULL THEN 30 ELSE 0 END AS BIGINT) AS future_rows
+FROM (SELECT *, CASE WHEN n < 3 THEN 'insufficient data'
+  WHEN brand IN ('Brand#3', 'Brand#4') THEN 'not enough valid train data' END AS reason FROM broken)"""),
+
     "model_comparison": sql(*MODELS, f"""
 a AS (SELECT brand, {r(SCORES[0], 4, 'rmse_decomposable')}, {r(SCORES[1], 4, 'mape_pct_decomposable')}
       FROM fitted WHERE kind = 'test' GROUP BY brand),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from salescast import schema as S
 from salescast.functions import calendar, numeric
-from salescast.models import decomposable, regression, sequence
+from salescast.models import decomposable, linear, outcome, regression, sequence
 from salescast.operators import columns, daily, evaluate, history, series, slices, trends
 from salescast.plans import full_run, marts
 from salescast.sources import star
@@ -406,17 +406,14 @@ def decomp_metrics(spark, sf):
 
 @query
 def decomp_regressor_forecast(spark, sf):
-    return decomposable.forecast_rows(
-        regression.score_series_with_regressors(_processed_series(spark, sf)))
-
-
-def _window_mean(windows, targets):
-    """A closed form in the place of a fitted model: the mean of the window's sales."""
-    return lambda w: w[:, :, 0].mean(axis=1)
+    base = materialize(_processed_series(spark, sf), "series")
+    forecast = decomposable.forecast_rows(regression.score_series_with_regressors(base))
+    return rounded(forecast, 2, "predicted_sales", "yhat_lower", "yhat_upper")
 
 
 def _window_mean_scores(base: DataFrame) -> DataFrame:
-    return sequence.score_series(base, regressors=(), fit=_window_mean)
+    """A closed form in the place of a fitted model: the mean of the window's sales."""
+    return sequence.score_series(base, regressors=(), fit=linear.WINDOW_MEAN)
 
 
 @query
@@ -470,12 +467,47 @@ def overlay_one_brand(spark, sf):
 
 @query
 def sequence_forecast(spark, sf):
-    return sequence.forecast_rows(sequence.score_series(_processed_series(spark, sf)))
+    base = materialize(_processed_series(spark, sf), "series")
+    return rounded(sequence.forecast_rows(sequence.score_series(base)), 2, "predicted_sales")
 
 
 @query
 def sequence_metrics(spark, sf):
-    return full_run.sequence_metrics(sequence.score_series(_processed_series(spark, sf)))
+    base = materialize(_processed_series(spark, sf), "series")
+    scores = full_run.sequence_metrics(sequence.score_series(base))
+    # Seven digits: a day at the lowest sales has a scaled value of zero, and so a percentage error beyond any scale.
+    return columns.replace_columns(scores, {c: f"double(format_string('%.6e', {c}))" for c in scores.columns if c != "brand"})
+
+
+def _broken_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily series in which one brand lacks a feature, one lacks a value on its first day, and four are cut short."""
+    rows = star.sales(spark, sf, ("brand", "sale_date", "total_sales", "promotion", "quantity_sold"))
+    base = series.brand_series(rows.withColumnsRenamed({"promotion": "stock_level", "quantity_sold": "weather_score"}),
+                               ("stock_level", "weather_score"))
+    first = F.col("sale_date") == F.min("sale_date").over(series.by_brand())
+    base = base.withColumns({
+        "weather_score": F.when(F.col("brand") != "Brand#3", F.col("weather_score")),
+        "stock_level": F.when((F.col("brand") == "Brand#4") & first, float("nan")).otherwise(F.col("stock_level"))})
+    kept = F.expr("CASE brand WHEN 'Brand#5' THEN 2 WHEN 'Brand#6' THEN 7 WHEN 'Brand#7' THEN 8 WHEN 'Brand#8' THEN 26 ELSE 1000000 END")
+    return materialize(series.split_rows(base).where(F.col("row_no") <= kept).drop("row_no", "row_total", "is_train"), "broken-series")
+
+
+def _outcomes(attempted: DataFrame) -> DataFrame:
+    return attempted.groupBy("brand").agg(
+        F.max("reason").alias("reason"), F.count_if(F.col("kind") == "test").alias("test_rows"),
+        F.count_if(F.col("kind") == "future").alias("future_rows"))
+
+
+@query
+def sequence_skips(spark, sf):
+    """Every brand with the rows that the sequence model gives it or the reason why there are none."""
+    return _outcomes(sequence.attempt(_broken_series(spark, sf), ("stock_level", "weather_score")))
+
+
+@query
+def regressor_skips(spark, sf):
+    """The same of the decomposable model with regressors."""
+    return _outcomes(regression.attempt(_broken_series(spark, sf), ("stock_level", "weather_score")))
 
 
 # --- reports --------------------------------------------------------------------------

@@ -6,20 +6,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from salescast import schema as S
-from salescast.models import decomposable, regression, sequence
+from salescast.models import decomposable, linear, outcome, regression, sequence
 from salescast.operators.evaluate import holdout_metrics
 from salescast.plans.full_run import sequence_metrics
 
 D = dt.date(2024, 1, 1)
 
 
-def linear(spark, n=60):
+def linear_series(spark, n=60):
     return spark.createDataFrame([("a", D + dt.timedelta(days=i), 100.0 + 3 * i) for i in range(n)],
                                  "brand string, sale_date date, total_sales double")
 
 
 def test_line_is_forecast_exactly(spark):
-    scored = decomposable.score_series(linear(spark)).collect()
+    scored = decomposable.score_series(linear_series(spark)).collect()
     assert len(scored) == 60 + 30
     for r in scored:
         day = (r.sale_date - D).days
@@ -28,17 +28,17 @@ def test_line_is_forecast_exactly(spark):
 
 
 def test_horizon_follows_train_end(spark):
-    rows = decomposable.forecast_rows(decomposable.score_series(linear(spark, 90)))
+    rows = decomposable.forecast_rows(decomposable.score_series(linear_series(spark, 90)))
     assert rows.count() == 72 + 30
     assert rows.agg(F.max("sale_date")).first()[0] == D + dt.timedelta(days=101)
-    late = decomposable.score_series(linear(spark, 90), anchor="data_end").where("kind = 'future'")
+    late = decomposable.score_series(linear_series(spark, 90), anchor="data_end").where("kind = 'future'")
     assert late.agg(F.min("sale_date")).first()[0] == D + dt.timedelta(days=90)
 
 
 def test_skipped_brands_have_no_rows(spark):
-    df = linear(spark, 10).unionByName(linear(spark, 2).withColumn("brand", F.lit("short")))
+    df = linear_series(spark, 10).unionByName(linear_series(spark, 2).withColumn("brand", F.lit("short")))
     assert {r.brand for r in decomposable.score_series(df).select("brand").distinct().collect()} == {"a"}
-    assert sequence.score_series(linear(spark, 26)).count() == 0
+    assert sequence.score_series(linear_series(spark, 26)).count() == 0
 
 
 def test_regressor_model_against_dense_algebra(spark):
@@ -121,7 +121,7 @@ def test_any_model_function_can_be_used(spark):
     def repeat_last(windows, targets):
         return lambda w: w[:, -1, 0]
 
-    scored = sequence.score_series(linear(spark, 40), fit=repeat_last)
+    scored = sequence.score_series(linear_series(spark, 40), fit=repeat_last)
     future = [r.predicted for r in scored.where("kind = 'future'").collect()]
     assert future == pytest.approx([100 + 3 * 39] * 30)
     metrics = sequence_metrics(scored).first()
@@ -129,7 +129,7 @@ def test_any_model_function_can_be_used(spark):
 
 
 def test_scaling_bounds_from_train_only(spark):
-    scored = sequence.score_series(linear(spark, 40), fit_on="train").where("kind = 'test'")
+    scored = sequence.score_series(linear_series(spark, 40), fit_on="train").where("kind = 'test'")
     assert scored.agg(F.max("actual_scaled")).first()[0] > 1
     assert scored.where("abs(actual - round(actual)) > 1e-6").count() == 0
 
@@ -140,3 +140,94 @@ def test_zero_target_makes_the_percentage_error_explode(spark):
     m = holdout_metrics(df).first()
     assert m.rmse == 1.0
     assert m.mape_pct == pytest.approx((1 / 2.220446049250313e-16 + 0.5) / 2 * 100)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 40])
+def test_systems_are_solved_by_array_expressions(spark, n):
+    rng = np.random.default_rng(n)
+    rows, want = [], {}
+    for brand in ("a", "b", "c"):
+        x = rng.normal(size=(3 * n + 2, n)) * rng.uniform(0.1, 100, n)
+        y = rng.normal(size=len(x))
+        want[brand] = np.linalg.solve(x.T @ x + np.eye(n), x.T @ y)
+        rows += [(brand, [*map(float, r), float(t)]) for r, t in zip(x, y, strict=True)]
+    sums = linear.gram(spark.createDataFrame(rows, "brand string, v array<double>").repartition(3), "v")
+    lower = {r.brand: r.a for r in sums.collect()}
+    assert [len(line) for line in lower["a"]] == list(range(1, n + 2))
+    got = linear.solve(sums, linear.block("a", 0, f"{n}", "1D"), f"slice(a[{n}], 1, {n})", "beta").collect()
+    for r in got:
+        assert np.allclose(r.beta, want[r.brand], rtol=1e-8, atol=1e-12)
+
+
+def test_systems_without_a_solution_give_no_error(spark):
+    flat = spark.createDataFrame([("a", [1.0, 1.0, 2.0]), ("b", [0.0, 0.0, 1.0])], "brand string, v array<double>")
+    got = linear.solve(linear.gram(flat, "v"), linear.block("a", 0, "2", "0D"), "slice(a[2], 1, 2)", "beta").collect()
+    assert all(any(x is None or math.isnan(x) for x in r.beta) for r in got)
+
+
+def by_key(df):
+    return {(r.brand, r.sale_date, r.kind): r.predicted for r in df.collect()}
+
+
+def test_default_model_equals_its_function(processed_series):
+    """The fit and the recursion in the JVM against the same model as a function in a grouped map."""
+    got, want = by_key(sequence.score_series(processed_series)), by_key(
+        sequence.score_series(processed_series, fit=sequence.ridge_autoregression))
+    assert got.keys() == want.keys()
+    assert np.allclose([got[k] for k in got], [want[k] for k in got], rtol=1e-8)
+    got, want = by_key(sequence.score_series(processed_series, fit=linear.WINDOW_MEAN)), by_key(
+        sequence.score_series(processed_series, fit=lambda windows, targets: lambda w: w[:, :, 0].mean(axis=1)))
+    assert got.keys() == want.keys() and np.allclose([got[k] for k in got], [want[k] for k in got], rtol=1e-9)
+
+
+def test_no_python_in_either_default_model(processed_series):
+    for df in (sequence.attempt(processed_series), regression.attempt(processed_series)):
+        assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def with_gaps(spark):
+    """Four brands of sixty days: one complete, one without a feature, one with a NaN, one with an infinite target; and a short one."""
+    rows = []
+    for brand in ("a", "b", "c", "d", "e"):
+        for i in range(60 if brand != "e" else 9):
+            feature = {"b": None, "c": float("nan") if i == 30 else 1.0 * i}.get(brand, float(i % 7))
+            rows.append((brand, D + dt.timedelta(days=i), float("inf") if brand == "d" and i == 5 else 100.0 + i % 5, feature))
+    return spark.createDataFrame(rows, "brand string, sale_date date, total_sales double, stock_level double")
+
+
+def test_every_brand_has_scores_or_a_reason(spark):
+    tried = sequence.attempt(with_gaps(spark), ("stock_level",))
+    assert {tuple(r) for r in outcome.skipped(tried).collect()} == {
+        ("b", "missing values: stock_level"), ("c", "missing values: stock_level"), ("d", "missing values: total_sales"),
+        ("e", "not enough samples")}
+    scored = outcome.scores(tried)
+    assert {r.brand for r in scored.collect()} == {"a"} and "reason" not in scored.columns
+    assert scored.where("predicted IS NULL OR isnan(predicted)").count() == 0
+    tried = regression.attempt(with_gaps(spark), ("stock_level",))
+    assert {tuple(r) for r in outcome.skipped(tried).collect()} == {
+        ("b", "not enough valid train data"), ("c", "not enough valid train data")}
+    assert {r.brand for r in outcome.scores(tried).select("brand").distinct().collect()} == {"a", "d", "e"}
+    tried = decomposable.attempt(linear_and_short(spark))
+    assert [tuple(r) for r in outcome.skipped(tried).collect()] == [("short", "insufficient data")]
+
+
+def linear_and_short(spark):
+    return linear_series(spark, 10).unionByName(linear_series(spark, 2).withColumn("brand", F.lit("short")))
+
+
+def test_a_failing_fit_is_the_reason_of_its_brand_alone(spark):
+    df = linear_series(spark, 40).unionByName(linear_series(spark, 40).withColumns({
+        "brand": F.lit("z"), "total_sales": F.lit(5.0)})).unionByName(linear_series(spark, 41).withColumn("brand", F.lit("n")))
+
+    def fit(windows, targets):
+        if not targets.any():
+            raise RuntimeError("flat")
+        if len(targets) == 27:
+            return lambda w: np.full(len(w), np.nan)
+        return lambda w: w[:, -1, 0]
+
+    tried = sequence.attempt(df, fit=fit)
+    assert {tuple(r) for r in outcome.skipped(tried).collect()} == {("z", "fit failed: RuntimeError: flat"), ("n", outcome.NOT_FINITE)}
+    assert outcome.scores(tried).count() == 7 + 30
+    again = sequence.attempt(df.where("brand = 'z'"), fit=fit)
+    assert [tuple(r)[:3] for r in again.select("brand", "kind", "reason").collect()] == [("z", "skip", "fit failed: RuntimeError: flat")]

@@ -27,8 +27,6 @@ def test_checked_queries_stay_out_of_python(spark, monkeypatch):
     for name in oracle_sql():
         if name in ("forecast_summary", "active_regressors", "daily_brand_summary", "daily_summary_hot_days"):
             continue  # covered below: they share one expensive preparation
-        if name in ("sequence_recursion", "two_model_report"):
-            continue  # they run the grouped map of the sequence model: a group is one series
         if name.startswith("op") or name == "pipeline":
             continue  # their own tests say which of them run Python
         text = plan(queries()[name](spark, SF))

@@ -159,6 +159,8 @@ def test_run_with_too_little_data_publishes_no_forecast(spark, tmp_path):
         tables.read_published(spark, f"{tmp_path}/out/decomposable_forecast")
     assert result["kpi_overview"].first().fastest_brand == "N/A"
     assert result["decomposable_forecast"].isEmpty()
+    assert {tuple(r) for r in result["skipped_brands"].select("model", "brand", "reason").collect()} == {
+        ("decomposable", "a", "insufficient data"), ("sequence", "a", "insufficient rows")}
 
 
 TEXT = """Date,Category,Brand,Region,Total_Sales,Quantity_Sold,Online_Popularity,Stock_Level,Is_Holiday,sale_id,shop
