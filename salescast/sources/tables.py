@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -14,8 +13,13 @@ from pyspark.sql import types as T
 
 from salescast import schema as S
 from salescast.functions.calendar import lenient_date
+from salescast.sources.versions import publish, read_published
+
+__all__ = [
+    "append_batch", "csv_by_header", "publish", "read_optional", "read_published", "read_required", "rows_to_table", "with_headers",
+    "write_table", "write_text_report",
+]
 
-VERSIONS = "_versions"
 # Texts that a table in text form writes for a missing value.
 NULL_TEXTS = ("", "#N/A", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
@@ -162,28 +166,6 @@ def append_batch(existing: DataFrame, batch: DataFrame) -> DataFrame:
     return existing.unionByName(batch, allowMissingColumns=True)
 
 
-def publish(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write a new version under ``root`` and log it, so a table can be read and replaced at once.
-
-    Readers follow the version log, which is only ever appended to: a job that still
-    reads the previous version is not disturbed, and a failed write leaves no trace in the log.
-    """
-    path = f"{root}/v-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
-    spark = df.sparkSession
-    (spark.range(1)
-     .select(F.lit(path).alias("path"), F.current_timestamp().alias("published_at"))
-     .write.mode("append").parquet(f"{root}/{VERSIONS}"))
-    return path
-
-
-def read_published(spark: SparkSession, root: str) -> DataFrame:
-    log = _exists_or_none(spark, f"{root}/{VERSIONS}", "parquet")
-    if log is None:
-        raise FileNotFoundError(root)
-    return spark.read.parquet(log.agg(F.max_by("path", "published_at")).first()[0])
-
-
 def write_text_report(report: DataFrame, path: str, column: str = "summary") -> None:
     """Write a one-row report as a text document."""
     report.select(column).coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
