@@ -603,6 +603,7 @@ FROM asked a LEFT JOIN (SELECT * FROM leaders WHERE rank <= 3) l ON a.category =
 SELECT brand, {GROWTH_COLUMNS}, trend FROM (SELECT * FROM growth ORDER BY growth DESC NULLS LAST, brand LIMIT 10)"""),
 }
 
-# The same rows whatever the ranges.
+# The same rows whatever the ranges and batches.
 ORACLE["sales_lag_hot_days"] = ORACLE["sales_lag_fill"]
 ORACLE["daily_summary_hot_days"] = ORACLE["daily_brand_summary"]
+ORACLE["daily_summary_incremental"] = ORACLE["daily_brand_summary"]
