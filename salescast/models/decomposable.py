@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescast import schema as S
 from salescast.models import outcome
 from salescast.operators.series import (
-    by_brand,
     clean_series,
     decomposable_eligible,
     decomposable_gate,
@@ -29,21 +30,26 @@ def score_series(series: DataFrame, target: str = "total_sales",
     Every fit is a window over the brand, so one exchange by brand serves all of them.
     """
     clean = clean_series(series.select("brand", "sale_date", F.col(target).alias("actual")), "actual")
-    frame = with_horizon(decomposable_eligible(split_rows(clean)), horizon, anchor)
+    return fit_frame(with_horizon(decomposable_eligible(split_rows(clean)), horizon, anchor))
+
+
+def fit_frame(frame: DataFrame, keys: Sequence[str] = ("brand",)) -> DataFrame:
+    """Fit the model to the train rows of each series of a frame (``keys``, sale_date, kind, actual) and predict all its rows."""
+    own = Window.partitionBy(*keys)
 
     def train_only(c: str):
         return F.when(F.col("kind") == "train", F.col(c))
 
     frame = frame.withColumns({
-        "_t": F.datediff("sale_date", F.min("sale_date").over(by_brand())),
+        "_t": F.datediff("sale_date", F.min("sale_date").over(own)),
         "_dow": F.dayofweek("sale_date"),
         "_month": F.month("sale_date"),
         "_y": train_only("actual"),
     })
-    by_dow = Window.partitionBy("brand", "_dow")
-    by_month = Window.partitionBy("brand", "_month")
+    by_dow = Window.partitionBy(*keys, "_dow")
+    by_month = Window.partitionBy(*keys, "_month")
     slope, intercept = F.regr_slope("_y", "_t"), F.regr_intercept("_y", "_t")
-    frame = frame.withColumn("_trend", intercept.over(by_brand()) + slope.over(by_brand()) * F.col("_t"))
+    frame = frame.withColumn("_trend", intercept.over(own) + slope.over(own) * F.col("_t"))
     frame = frame.withColumn("_ratio", F.try_divide("_y", "_trend"))
     frame = frame.withColumn("_week", F.avg("_ratio").over(by_dow))
     frame = frame.withColumn("_rest", F.try_divide("_ratio", "_week"))
@@ -51,10 +57,10 @@ def score_series(series: DataFrame, target: str = "total_sales",
     frame = frame.withColumn(
         "predicted",
         F.col("_trend") * F.coalesce("_week", F.lit(1.0)) * F.coalesce("_season", F.lit(1.0)))
-    sigma = F.stddev_samp(F.col("_y") - F.col("predicted")).over(by_brand())
+    sigma = F.stddev_samp(F.col("_y") - F.col("predicted")).over(own)
     half = F.lit(S.INTERVAL_Z) * sigma
     return frame.select(
-        "brand", "sale_date", "kind", "actual", "predicted",
+        *keys, "sale_date", "kind", "actual", "predicted",
         (F.col("predicted") - half).alias("yhat_lower"),
         (F.col("predicted") + half).alias("yhat_upper"))
 

@@ -16,7 +16,7 @@ from salescast.operators.series import brand_series
 from salescast.operators.trends import interest_scores, popularity_refresh
 from salescast.plans import marts
 from salescast.sources.tables import publish, read_published, write_text_report
-from salescast.staging import materialize
+from salescast.staging import clustered, materialize
 
 
 def sequence_metrics(scored: DataFrame) -> DataFrame:
@@ -48,7 +48,8 @@ def run_all(raw: DataFrame, events: DataFrame, tie_break: Sequence[str], out: st
     refreshed = materialize(popularity_refresh(raw, interest_scores(events)), "refreshed")
     daily = stored(daily_brand_summary(refreshed, tie_break), "processed_sales")
 
-    series = stored(brand_series(daily, S.DECOMPOSABLE_REGRESSORS), "brand_series")
+    # Both models work by brand, so the series they share lie in buckets of it.
+    series = clustered(stored(brand_series(daily, S.DECOMPOSABLE_REGRESSORS), "brand_series"), "series", "brand")
     if with_regressors:
         first_tried = stored(regression.attempt(series), "decomposable_scored")
     else:

@@ -16,8 +16,8 @@ from salescast.functions.calendar import lenient_date
 from salescast.sources.versions import publish, read_published
 
 __all__ = [
-    "append_batch", "csv_by_header", "publish", "read_optional", "read_published", "read_required", "rows_to_table", "with_headers",
-    "write_table", "write_text_report",
+    "append_batch", "csv_by_header", "publish", "read_optional", "read_published", "read_required", "rows_to_table", "typed",
+    "with_headers", "write_table", "write_text_report",
 ]
 
 # Texts that a table in text form writes for a missing value.
@@ -78,12 +78,12 @@ def _load(spark: SparkSession, path: str, fmt: str, fields: tuple[S.Field, ...],
     """The typed table, or None where there is none; text files with different headers are put together by column name."""
     if fmt != "csv":
         df = _exists_or_none(spark, path, fmt)
-        return None if df is None else _typed(df, fields, extra)
-    typed = [_typed(df, fields, extra) for df in csv_by_header(spark, path)]
-    return reduce(append_batch, typed) if typed else None
+        return None if df is None else typed(df, fields, extra)
+    batches = [typed(df, fields, extra) for df in csv_by_header(spark, path)]
+    return reduce(append_batch, batches) if batches else None
 
 
-def _typed(df: DataFrame, fields: tuple[S.Field, ...], extra: Mapping[str, str] | None = None) -> DataFrame:
+def typed(df: DataFrame, fields: tuple[S.Field, ...], extra: Mapping[str, str] | None = None) -> DataFrame:
     """Rename headers to canonical names and cast leniently; absent optional columns stay absent.
 
     Texts that stand for a missing value become null. Other columns keep their names, and the types in ``extra`` if given.

@@ -184,6 +184,25 @@ SELECT CAST(k1 AS VARCHAR) AS k1, k2, k3, k4, k5, k6, sale_date, CASE WHEN k1 %
 placed AS (
 SELECT *, row_number() OVER (PARTITION BY brand ORDER BY {ORDER}) AS rn, count(*) OVER (PARTITION BY brand) AS n FROM gaps),
 numbered AS (SELECT *, min(CASE WHEN v IS NOT NULL THEN rn END) OVER (PARTITION BY brand) AS first_at FROM placed)"""
+# The closed-form model from four origins, thirty days apart.
+FOLDS = """ends AS (SELECT brand, max(sale_date) AS last_day FROM series GROUP BY brand),
+cuts AS (
+SELECT s.brand, fold, origin, sale_date, total_sales AS y, sale_date <= origin AS fits,
+  date_diff('day', DATE '1990-01-01', sale_date) AS t, dayofweek(sale_date) AS d, month(sale_date) AS m
+FROM series s JOIN (SELECT brand, f AS fold, CAST(last_day - CAST(30 * (5 - f) AS INT) AS DATE) AS origin FROM ends, range(1, 5) t(f)) o
+  ON s.brand = o.brand AND sale_date <= origin + 30),
+fold_line AS (SELECT brand, fold, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM cuts WHERE fits GROUP BY 1, 2),
+fold_trend AS (SELECT c.*, a + b * t AS g FROM cuts c JOIN fold_line l ON c.brand = l.brand AND c.fold = l.fold),
+fold_week AS (SELECT brand, fold, d, avg(y / nullif(g, 0)) AS w FROM fold_trend WHERE fits GROUP BY 1, 2, 3),
+fold_month AS (
+SELECT t.brand, t.fold, m, avg(y / nullif(g, 0) / nullif(w, 0)) AS s FROM fold_trend t
+JOIN fold_week w ON t.brand = w.brand AND t.fold = w.fold AND t.d = w.d WHERE fits GROUP BY 1, 2, 3),
+fold_test AS (
+SELECT t.brand, t.fold, date_diff('day', origin, sale_date) AS step, y AS actual, g * coalesce(w, 1) * coalesce(s, 1) AS predicted
+FROM fold_trend t LEFT JOIN fold_week w ON t.brand = w.brand AND t.fold = w.fold AND t.d = w.d
+LEFT JOIN fold_month s ON t.brand = s.brand AND t.fold = s.fold AND t.m = s.m WHERE NOT fits)"""
+WINDOW_FORECAST = """second_forecast AS (
+SELECT CAST(last_day + CAST(step AS INT) AS DATE) AS sale_date, brand, latest[7] AS predicted_sales FROM ahead WHERE step > 0)"""
 BROKEN = """broken AS (
 SELECT brand, least(count(DISTINCT sale_date), CASE brand WHEN 'Brand#5' THEN 2 WHEN 'Brand#6' THEN 7 WHEN 'Brand#7' THEN 8
   WHEN 'Brand#8' THEN 26 ELSE 1000000 END) AS n FROM sales GROUP BY brand)"""
@@ -579,6 +598,64 @@ SELECT concat('Forecast Summary (whole history)', chr(10), chr(10),
   'Most Trending Brand Right Now (Social buzz): ',
   (SELECT brand FROM processed GROUP BY brand ORDER BY avg(online_popularity) DESC NULLS LAST, brand LIMIT 1)) AS summary"""),
 
+    "rolling_origin_metrics": sql(SALES, SERIES, FOLDS, body=f"""
+SELECT brand, CAST(fold AS INT) AS fold, count(*) AS test_rows, {r(SCORES[0], 4, 'rmse')}, {r(SCORES[1], 4, 'mape_pct')}
+FROM fold_test GROUP BY brand, fold"""),
+
+    "rolling_origin_bands": sql(SALES, SERIES, FOLDS, """steps AS (
+SELECT brand, step, sum((actual - predicted) * (actual - predicted)) AS q, count(*) AS n FROM fold_test GROUP BY 1, 2),
+widths AS (
+SELECT brand, step, 1.2815515655446004 * sqrt(sum(q) OVER near / sum(n) OVER near) AS half FROM steps
+WINDOW near AS (PARTITION BY brand ORDER BY step RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING))""", body=f"""
+SELECT brand, CAST(step AS INT) AS step, {r('max(half) OVER (PARTITION BY brand ORDER BY step)', 4, 'half')} FROM widths"""),
+
+    "rejected_rows": """
+SELECT o_orderkey, unnest(c) AS column_name, unnest(t) AS text, unnest(w) AS reason FROM (
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 < 3 THEN ['sale_date'] ELSE [] END || CASE WHEN o_orderkey % 5 IN (0, 2) THEN ['amount'] ELSE [] END AS c,
+  CASE WHEN o_orderkey % 7 < 3 THEN [CASE o_orderkey % 7 WHEN 0 THEN 'not a date' WHEN 1 THEN '' ELSE strftime(o_orderdate, '%Y/%m/%d') END] ELSE [] END
+    || CASE o_orderkey % 5 WHEN 0 THEN ['inf'] WHEN 2 THEN ['12,5'] ELSE [] END AS t,
+  CASE WHEN o_orderkey % 7 < 3 THEN [CASE o_orderkey % 7 WHEN 1 THEN 'missing' ELSE 'not a date' END] ELSE [] END
+    || CASE o_orderkey % 5 WHEN 0 THEN ['not finite'] WHEN 2 THEN ['not a number'] ELSE [] END AS w FROM orders)""",
+
+    "hand_made_scores": sql(SALES, """latest AS (SELECT DISTINCT brand FROM sales WHERE sale_date = (SELECT max(sale_date) FROM sales))""", body=f"""
+SELECT s.brand, count(*) AS sale_rows, {r("CASE WHEN any_value(l.brand) IS NOT NULL THEN CASE s.brand WHEN 'Brand#1' THEN 12.5 WHEN 'Brand#2' THEN 99.0 ELSE 55.0 END END", 6, 'online_popularity')}
+FROM sales s LEFT JOIN latest l ON s.brand = l.brand GROUP BY s.brand"""),
+
+    "top5_of_two_models": sql_recursive(SALES, SERIES, FIRST_MODEL, WINDOW_MEANS, WINDOW_FORECAST, """both_means AS (
+SELECT 'decomposable' AS model, brand, avg(predicted_sales) AS m FROM first_forecast GROUP BY brand
+UNION ALL SELECT 'sequence', brand, avg(predicted_sales) FROM second_forecast GROUP BY brand),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY m DESC, brand) AS rank FROM both_means)""",
+                                        body=f"SELECT model, CAST(rank AS INT) AS rank, brand, {r('m', 2, 'mean_forecast')} FROM ranked WHERE rank <= 5"),
+
+    "lines_of_two_models": sql_recursive(SALES, SERIES, FIRST_MODEL, WINDOW_MEANS, WINDOW_FORECAST, body=f"""
+SELECT brand, sale_date, 'decomposable' AS model, {r('predicted_sales', 2)} FROM first_forecast
+UNION ALL SELECT brand, sale_date, 'sequence', {r('predicted_sales', 2)} FROM second_forecast
+WHERE brand IN (SELECT brand FROM first_forecast)"""),
+
+    "ensemble_of_two_models": sql_recursive(SALES, SERIES, FIRST_MODEL, WINDOW_MEANS, WINDOW_FORECAST, COMBINED,
+                                            body=f"SELECT brand, {r('combined_score', 2)} FROM combined"),
+
+    "summary_of_two_models": sql_recursive(SALES, SERIES, FIRST_MODEL, WINDOW_MEANS, WINDOW_FORECAST, COMBINED, body="""
+SELECT concat('Forecast Summary (whole history)', chr(10), chr(10),
+  'Brand expected to perform best next month: ', (SELECT brand FROM combined ORDER BY combined_score DESC NULLS LAST, brand LIMIT 1), chr(10),
+  'Average Forecasted Sales Score: ', printf('%.2f', (SELECT max(combined_score) FROM combined)), chr(10), chr(10),
+  'Most Trending Brand Right Now (Social buzz): ',
+  (SELECT brand FROM sales GROUP BY brand ORDER BY avg(online_popularity) DESC NULLS LAST, brand LIMIT 1)) AS summary"""),
+
+    "reread_forecast": sql(SALES, SERIES, FIRST_MODEL, body=f"""
+SELECT brand, sale_date, 'decomposable' AS model, {r('predicted_sales', 2)} FROM first_forecast"""),
+
+    "summary_of_few_columns": sql(*PREPARED, body=f"""
+SELECT brand, sale_date, {', '.join(r(c, 4) for c in ('total_sales', 'quantity_sold', 'online_popularity', 'sales_lag_1', 'sales_ma_3'))},
+  category_encoded, brand_encoded, region_encoded, category FROM processed"""),
+
+    "whole_run": sql_recursive(SALES, SERIES, FIRST_MODEL, WINDOW_MEANS, f"""
+bounds AS (SELECT brand, min(total_sales) AS low, max(total_sales) AS high FROM parts GROUP BY 1),
+a AS (SELECT brand, {r(SCORES[0], 3, 'rmse_decomposable')}, {r(SCORES[1], 3, 'mape_pct_decomposable')}
+      FROM fitted WHERE kind = 'test' GROUP BY brand),
+b AS (SELECT w.brand, {r(f"{SCORES[0]} / any_value(CASE WHEN high = low THEN 1 ELSE high - low END)", 6, 'rmse_sequence')}
+      FROM window_test w JOIN bounds USING (brand) GROUP BY w.brand)""", body="SELECT * FROM a JOIN b USING (brand)"),
+
     "kpi_overview": sql(SALES, SERIES, FIRST_MODEL, DAILY, GROWTH, KPIS, body=f"""
 SELECT {r('this_month_revenue', 4)}, {r('projected_revenue', 2)}, fastest_brand, {r('fastest_growth', 2)},
   growing_brands FROM kpis"""),
@@ -607,3 +684,4 @@ SELECT brand, {GROWTH_COLUMNS}, trend FROM (SELECT * FROM growth ORDER BY growth
 ORACLE["sales_lag_hot_days"] = ORACLE["sales_lag_fill"]
 ORACLE["daily_summary_hot_days"] = ORACLE["daily_brand_summary"]
 ORACLE["daily_summary_incremental"] = ORACLE["daily_brand_summary"]
+ORACLE["trend_score_incremental"] = ORACLE["trend_score_7d"]

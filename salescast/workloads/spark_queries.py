@@ -7,14 +7,15 @@ from datetime import date as Date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salescast import schema as S
 from salescast.functions import calendar, numeric
 from salescast.models import decomposable, linear, outcome, regression, sequence
-from salescast.operators import columns, daily, evaluate, history, incremental, series, slices, trends
+from salescast.operators import columns, daily, evaluate, folds, history, incremental, series, slices, trends
 from salescast.plans import full_run, marts
-from salescast.sources import star
-from salescast.sources import tables
+from salescast.sources import star, tables
+from salescast.sources.rejects import checked
 from salescast.sources.tables import append_batch, publish, read_published
 from salescast.staging import materialize, scoped_folder
 from salescast.workloads.second_model import score_weekday_means, weekday_forecast
@@ -269,6 +270,17 @@ def date_coverage(spark, sf):
     return slices.date_coverage(star.sales(spark, sf, ("brand", "sale_date")))
 
 
+@query
+def rejected_rows(spark, sf):
+    """Dates and amounts of orders written in several ways, of which some cannot be read: each with its reason."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet").selectExpr(
+        "o_orderkey", """CASE o_orderkey % 7 WHEN 0 THEN 'not a date' WHEN 1 THEN '' WHEN 2 THEN date_format(o_orderdate, 'yyyy/MM/dd')
+                         ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS Date""",
+        """CASE o_orderkey % 5 WHEN 0 THEN 'inf' WHEN 1 THEN 'n/a' WHEN 2 THEN '12,5' ELSE CAST(o_totalprice AS STRING) END AS Amount""")
+    fields = (S.Field("sale_date", "Date", T.DateType()), S.Field("amount", "Amount", T.DoubleType(), False))
+    return checked(orders, fields, ["o_orderkey"]).rejects
+
+
 # --- slices and lookups ---------------------------------------------------------------
 
 
@@ -342,6 +354,28 @@ def trend_score_7d(spark, sf):
     return rounded(trends.scores_for(brands, scores), 6, "online_popularity")
 
 
+@query
+def trend_score_incremental(spark, sf):
+    """The scores from state that three batches of events were merged into."""
+    events = star.trend_events(spark, sf)
+    root = scoped_folder(spark, "events")
+    for batch in ("ts < TIMESTAMP '2024-01-10'", "ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'",
+                  "ts >= TIMESTAMP '2024-01-20' OR ts IS NULL"):
+        trends.keep_events(events.where(batch), root)
+    brands = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_brand").alias("brand"))
+    return rounded(trends.scores_for(brands, trends.kept_scores(spark, root)), 6, "online_popularity")
+
+
+@query
+def hand_made_scores(spark, sf):
+    """Scores given as a few rows instead of events, written to the sales of their brands."""
+    given = tables.rows_to_table(spark, [{"brand": "Brand#1", "score": 12.5}, {"brand": "Brand#2", "score": 99.0}, {"brand": "none"}],
+                                 (S.Field("brand", "Brand", T.StringType()), S.Field("score", "Score", T.DoubleType())))
+    rows = trends.popularity_refresh(star.sales(spark, sf, ("brand", "sale_date", "online_popularity")), given)
+    return rounded(rows.groupBy("brand").agg(F.count("*").alias("sale_rows"), F.avg("online_popularity").alias("online_popularity")),
+                   6, "online_popularity")
+
+
 @query
 def popularity_refresh(spark, sf):
     rows = star.sales(spark, sf, (*IDS, "brand", "sale_date", "online_popularity"))
@@ -477,6 +511,25 @@ def overlay_one_brand(spark, sf):
     return marts.forecast_overlay(rounded(sold, 4, "total_sales"), ahead, brand="Brand#7", models=["decomposable"])
 
 
+#: Cuts of each series, so many days apart as the horizon.
+FOLDS = 4
+
+
+def _folds(spark: SparkSession, sf: str) -> DataFrame:
+    frame = folds.fold_frame(_stored_series(spark, sf), FOLDS)
+    return materialize(decomposable.fit_frame(frame, ("brand", "fold", "origin")), "folds")
+
+
+@query
+def rolling_origin_metrics(spark, sf):
+    return rounded(folds.fold_metrics(_folds(spark, sf)), 4, "rmse", "mape_pct")
+
+
+@query
+def rolling_origin_bands(spark, sf):
+    return rounded(folds.step_bands(_folds(spark, sf)), 4, "half")
+
+
 @query
 def sequence_forecast(spark, sf):
     base = materialize(_processed_series(spark, sf), "series")
@@ -571,6 +624,64 @@ def forecast_summary(spark, sf):
     return marts.forecast_summary(choice, "whole history")
 
 
+def _two_models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The forecasts of both real scorers, the sequence one with the closed form."""
+    base = _stored_series(spark, sf)
+    return {"decomposable": _first_forecast(base),
+            "sequence": materialize(sequence.forecast_rows(_window_mean_scores(base)), "sequence-forecast")}
+
+
+@query
+def top5_of_two_models(spark, sf):
+    return rounded(marts.top_brands_by_model(_two_models(spark, sf)), 2, "mean_forecast")
+
+
+@query
+def lines_of_two_models(spark, sf):
+    return rounded(marts.forecast_comparison(_two_models(spark, sf)), 2, "predicted_sales")
+
+
+@query
+def ensemble_of_two_models(spark, sf):
+    return rounded(evaluate.ensemble_scores(*_two_models(spark, sf).values()), 2, "combined_score")
+
+
+@query
+def summary_of_two_models(spark, sf):
+    choice = marts.decision(star.sales(spark, sf, ("brand", "online_popularity")), *_two_models(spark, sf).values())
+    return marts.forecast_summary(choice, "whole history")
+
+
+@query
+def reread_forecast(spark, sf):
+    """The comparison from files: one forecast that has replaced another table, and one that was never written."""
+    folder = scoped_folder(spark, "forecast-files")
+    ahead = rounded(_first_forecast(_series(spark, sf)), 2, "predicted_sales")
+    tables.write_table(tables.with_headers(ahead.limit(3).drop("yhat_upper"), S.FORECAST), folder, "csv")
+    tables.write_table(tables.with_headers(ahead, S.FORECAST), folder, "csv")
+    return marts.forecast_comparison({
+        "decomposable": tables.read_required(spark, folder, S.FORECAST, "csv"),
+        "sequence": tables.read_optional(spark, f"{folder}-none", S.FORECAST, "csv")})
+
+
+@query
+def summary_of_few_columns(spark, sf):
+    """The daily summary of sales that have no optional column."""
+    rows = _stored_sales(spark, sf, (*IDS, *[f.name for f in S.RAW_SALES if f.required]))
+    df = daily.daily_brand_summary(rows, star.TIE_BREAK)
+    return rounded(df, 4, *[c for c, t in df.dtypes if t == "double"])
+
+
+@query
+def whole_run(spark, sf):
+    """All steps from sales and events to reports; both models in closed form, compared by their scores."""
+    result = full_run.run_all(star.sales(spark, sf), star.trend_events(spark, sf), star.TIE_BREAK, scoped_folder(spark, "run"),
+                              "whole history", fit=linear.WINDOW_MEAN, with_regressors=False)
+    # The sequence scores are those of the scaled values.
+    df = result["model_comparison"].select("brand", "rmse_decomposable", "mape_pct_decomposable", "rmse_sequence")
+    return rounded(rounded(df, 3, "rmse_decomposable", "mape_pct_decomposable"), 6, "rmse_sequence")
+
+
 @query
 def kpi_overview(spark, sf):
     df = marts.kpi_overview(*_sold_and_forecast(spark, sf))
