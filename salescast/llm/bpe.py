@@ -2,34 +2,76 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.common import batches_by_size, short_batches, text_of
+from salescast.llm.common import batches_by_size, short_batches, text_of, words_of
 from salescast.staging import materialize
 
 #: Characters of a part of a long text.
 PART = 32_768
-#: Words a worker remembers, in each of two generations, and the bytes of the longest one.
-REMEMBERED, LONGEST = 60_000, 64
+#: Words a worker remembers, in each of two generations, and the characters of the longest one.
+REMEMBERED, LONGEST = 120_000, 64
+#: Words of plain letters that are encoded as one text.
+TOGETHER = 200
 #: Tokens on each side of a join that are encoded again at first.
 WINDOW = 16
 #: Bytes of text in a batch.
 BATCH = 2 << 20
 
 
+# What the steps around the merges of a vocabulary may be, so that white space ends every word
+# and decoding joins the tokens with single spaces.
+NORMALIZERS = ("NFC", "Replace", "Lowercase")
+BLANKS = r"\s+"
+# Letters that stay single letters in every step, marks that are no part of a contraction, what a word
+# must end in before such marks, and what every added token holds.
+PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+MARKS = ".,;:!?"
+ENDS = re.compile("[a-zß-öø-ÿ0-9]$").search
+ADDED = "<|"
+
+
+def check_vocabulary(settings: dict) -> None:
+    """Refuse a vocabulary whose texts are not encoded word by word, or are decoded by other rules than joining tokens."""
+    def steps(step: dict | None, parts: str) -> list[dict]:
+        return [] if step is None else step[parts] if step["type"] == "Sequence" else [step]
+
+    for step in steps(settings["normalizer"], "normalizers"):
+        blank = step["type"] != "Replace" or (step["pattern"], step["content"]) == ({"Regex": BLANKS}, " ")
+        if step["type"] not in NORMALIZERS or not blank:
+            raise ValueError(f"normaliser {step['type']} may look across words")
+    splits = steps(settings["pre_tokenizer"], "pretokenizers")
+    drops = any(x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"] for x in splits)
+    spaced = [x["type"] for x in splits if x["type"] not in ("Split", "ByteLevel") or x.get("add_prefix_space")]
+    if not drops or spaced:
+        raise ValueError("the splitter keeps white space in words")
+    if settings["decoder"] is not None or settings["post_processor"] is not None:
+        raise ValueError("the vocabulary has a decoder or adds tokens")
+    if not any(step["type"] == "Lowercase" for step in steps(settings["normalizer"], "normalizers")):
+        raise ValueError("the normaliser keeps capitals")
+    if any(ADDED not in x["content"] or x["normalized"] or x["lstrip"] or x["rstrip"] or set(x["content"]) & set(" \t\n\v\f\r") for x in settings["added_tokens"]):
+        raise ValueError("an added token takes white space or looks like a word")
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
+    with open(path, encoding="utf-8") as f:
+        check_vocabulary(json.load(f))
     own = Tokenizer.from_file(path)
     own.no_truncation()
     own.no_padding()
@@ -37,34 +79,84 @@ def tokenizer(path: str):
 
 
 class Words:
-    """Ids of single words, remembered by their bytes.
+    """Ids of single words, remembered by worker.
 
     Neither the normaliser nor the splitter of the vocabulary looks across the six ASCII white space
-    characters, and no special token holds one, so a text's ids are those of its words in a row.
+    characters, and no special token holds one, so a text's ids are those of its words in a row, and its decoding is
+    that of its words with spaces between. Nor does the splitter keep punctuation with the letter or digit before
+    it, so a word's last marks have ids of their own.
     """
 
     def __init__(self, path: str) -> None:
         self.own = tokenizer(path)
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text."""
-        words, new, old = text.split(), self.new, self.old
-        out = [new.get(w) for w in words]
-        if None in out:
-            missing = {}
-            for w, got in zip(words, out):
-                if got is None and w not in missing:
-                    missing[w] = old.get(w)
-            unknown = [w for w, got in missing.items() if got is None]
-            for w, got in zip(unknown, self.own.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)):
-                missing[w] = np.array(got.ids, dtype="<u4").tobytes()
-            if len(new) + len(missing) > REMEMBERED:
-                self.old, self.new = new, {}
-            self.new.update((w, got) for w, got in missing.items() if len(w) <= LONGEST)
-            out = [missing[w] if got is None else got for w, got in zip(words, out)]
-        return b"".join(out)
+        self.tokens = pa.array(token_table(path), pa.large_string())
+        suffix = self.own.model.end_of_word_suffix or ""
+        # Where each word of letters ends, if the merges mark it.
+        self.ends = np.array([bool(suffix) and t.endswith(suffix) for t in token_table(path)])
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _together(self, plain: list[str]) -> list[bytes]:
+        """Ids of words of plain letters, each of which the splitter leaves whole, from texts of many of them."""
+        texts = [" ".join(plain[i:i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
+        ids = np.concatenate([np.array(x.ids, "<u4") for x in self.own.encode_batch_fast(texts, add_special_tokens=False)])
+        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
+    def _encode(self, unknown: list[str]) -> list[bytes]:
+        letters = [bool(PLAIN(w)) for w in unknown] if self.ends.any() else [False] * len(unknown)
+        plain, others = (list(compress(unknown, flags)) for flags in (letters, [not x for x in letters]))
+        found = iter(self._together(plain) if plain else ())
+        rest = iter([np.array(x.ids, "<u4").tobytes() for x in self.own.encode_batch_fast(others, add_special_tokens=False)] if others else ())
+        return [next(found if x else rest) for x in letters]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        bodies = [w.rstrip(MARKS) for w in words]
+        cut = [len(x) if x and len(x) < len(w) and ENDS(x) else len(w) for w, x in zip(words, bodies, strict=True)]
+        bodies = [w[:n] for w, n in zip(words, cut, strict=True)]
+        new, old = self.new, self.old
+        out = [new.get(w) for w in bodies]
+        marks = {w[n:] for w, n in zip(words, cut, strict=True) if n < len(w)}
+        missing = {w: old.get(w) for w, got in zip(bodies, out, strict=True) if got is None}
+        missing |= {w: new.get(w) or old.get(w) for w in marks}
+        unknown = [w for w, got in missing.items() if got is None]
+        missing.update(zip(unknown, self._encode(unknown), strict=True))
+        if len(new) + len(missing) > REMEMBERED:
+            self.old, self.new = new, {}
+        self.new.update((w, got) for w, got in missing.items() if len(w) <= LONGEST)
+        return [(missing[x] if got is None else got) + (missing[w[n:]] if n < len(w) else b"")
+                for w, x, n, got in zip(words, bodies, cut, out, strict=True)]
+
+    def encode(self, texts: pa.Array, decodes: bool) -> tuple[pa.Array, pa.Array | None]:
+        """The ids of each text as little-endian unsigned 32-bit integers, and its decoding if asked.
+
+        Each distinct word of the batch is looked up once; the rest is gathering of byte ranges by Arrow.
+        """
+        lists = words_of(texts, lower=False)
+        flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+        # The normaliser lowers all that is not an added token, and each of those holds the mark.
+        flat = pc.if_else(pc.match_substring(flat, ADDED), flat, pc.ascii_lower(flat))
+        coded = flat.dictionary_encode()
+        known = self._known(coded.dictionary.to_pylist())
+        codes = coded.indices
+
+        def joined(values: pa.Array, gap: bytes | str, codes: pa.Array, offsets: np.ndarray) -> pa.Array:
+            parts = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), values.take(codes))
+            return pc.binary_join(parts, pa.scalar(gap, values.type))
+
+        kept = pa.array(known, pa.large_binary())
+        ids = joined(kept, b"", codes, offsets)
+        if not decodes:
+            return ids, None
+        said = np.fromiter(map(bool, known), bool, len(known))[codes.to_numpy(zero_copy_only=False)]
+        if not said.all():  # a word without tokens leaves no gap
+            codes, offsets = codes.filter(pa.array(said)), np.concatenate(([0], np.cumsum(said)))[offsets]
+        return ids, joined(decode_all(kept, self.tokens), " ", codes, offsets)
+
+    def ids(self, text: str) -> bytes:
+        return self.encode(pa.array([text], pa.large_string()), False)[0][0].as_py()
 
 
 @lru_cache(maxsize=2)
@@ -73,15 +165,17 @@ def words(path: str) -> Words:
 
 
 @lru_cache(maxsize=2)
-def token_table(path: str) -> list[bytes]:
+def token_table(path: str) -> list[str]:
     own = tokenizer(path)
-    return [(own.id_to_token(i) or "").encode() for i in range(own.get_vocab_size(with_added_tokens=True))]
+    return [own.id_to_token(i) or "" for i in range(own.get_vocab_size(with_added_tokens=True))]
 
 
-def decode_ids(ids: bytes, path: str) -> str:
-    """The text of ids; the vocabulary has no decoder, so its tokens are joined with single spaces."""
-    table = token_table(path)
-    return b" ".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode()
+def decode_all(ids: pa.Array, tokens: pa.Array) -> pa.Array:
+    """The texts of ids; the vocabulary has no decoder, so its tokens are joined with single spaces."""
+    flat = pa.array(np.frombuffer(b"".join(ids.to_pylist()), dtype="<u4"))
+    lengths = pc.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int64())
+    return pc.binary_join(pa.LargeListArray.from_arrays(offsets, tokens.take(flat)), pa.scalar(" ", pa.large_string()))
 
 
 @dataclass
@@ -128,7 +222,7 @@ def encode_piece(text: str, path: str) -> Piece:
     if data.endswith(inner[-1]):
         tail = inner[-1]
     middle = data[len(head):len(data) - len(tail)]
-    return Piece(encode_run(head.decode(), path), words(path).ids(middle), encode_run(tail.decode(), path))
+    return Piece(encode_run(head.decode(), path), words(path).ids(middle.decode()), encode_run(tail.decode(), path))
 
 
 def weld(left: Run, right: Run, path: str, window: int = WINDOW) -> Run:
@@ -237,7 +331,8 @@ def _join_parts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Rec
 def encode(docs: DataFrame, path: str, part: int = PART) -> DataFrame:
     """(doc_id, ids): the ids of each whole text as little-endian unsigned 32-bit integers.
 
-    Ids are those of the tokenizers library without added special tokens. A null or empty text has no ids.
+    Ids are those of the tokenizers library without added special tokens, for a vocabulary that splits at white space; others
+    are refused. A null or empty text has no ids.
     Rows that repeat a doc_id each give a row; a null doc_id is kept; an empty table gives no rows; other
     columns are not read.
 
@@ -250,11 +345,10 @@ def encode(docs: DataFrame, path: str, part: int = PART) -> DataFrame:
 
 def _short(batches: Iterator[pa.RecordBatch], path: str, decodes: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches_by_size(batches, "text", BATCH):
-        own = words(path)
-        ids = [own.ids(t.as_py().encode()) for t in batch.column("text")]
-        columns = [batch.column("doc_id"), pa.array(ids, pa.binary())]
+        ids, said = words(path).encode(batch.column("text"), decodes)
+        columns = [batch.column("doc_id"), ids.cast(pa.binary())]
         if decodes:
-            columns.append(pa.array([decode_ids(x, path) for x in ids], pa.string()))
+            columns.append(said.cast(pa.string()))
         yield pa.record_batch(columns, names=["doc_id", "ids", "text"][:len(columns)])
 
 
@@ -279,18 +373,21 @@ def _encoded(docs: DataFrame, path: str, part: int, decodes: bool) -> tuple[Data
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, text): the library's decoding of the ids, special tokens included."""
+    """(doc_id, ids, text): the library's decoding of the ids, special tokens included.
+
+    No ids are the empty text. Rows that repeat a doc_id each give a row; a null doc_id is kept; an empty table gives no rows.
+    """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_by_size(batches, "ids", BATCH):
-            yield pa.record_batch([batch.column("doc_id"), batch.column("ids"), pa.array(
-                [decode_ids(b.as_py(), path) for b in batch.column("ids")], pa.string())], names=["doc_id", "ids", "text"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("ids"), decode_all(batch.column("ids"), words(path).tokens).cast(pa.string())],
+                                  names=["doc_id", "ids", "text"])
 
     short_batches(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(each, "doc_id long, ids binary, text string")
 
 
 def round_trip(docs: DataFrame, path: str, part: int = PART) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text; odd rows as in :func:`encode` and :func:`decode`."""
     near, far = _encoded(docs, path, part, True)
     return near.union(decode(far, path)).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),

@@ -64,3 +64,36 @@ def test_windows_grow_where_the_sides_disagree(library):
         got = bpe.weld(bpe.encode_run(text[:at], TOKENIZER), bpe.encode_run(text[at:], TOKENIZER), TOKENIZER, window=1)
         assert got.ids == library.encode(text, add_special_tokens=False).ids
         assert got.text == text and len(got.ids) == len(got.starts) == len(got.ends)
+
+
+def test_other_vocabularies_are_refused():
+    """Byte-level vocabularies keep white space in their words, so word by word would give other ids."""
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="splitter|normaliser|decoder"):
+        bpe.tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_decoding_of_ids(spark, library):
+    texts = ["one two", "", "\u0301", "don't <|endoftext|> 12", "x" * 300]
+    rows = [(i, np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.text for r in bpe.decode(spark.createDataFrame(rows, "doc_id long, ids binary"), TOKENIZER).collect()}
+    assert got == {i: library.decode(library.encode(t, add_special_tokens=False).ids, skip_special_tokens=False) for i, t in enumerate(texts)}
+
+
+def test_words_without_tokens_leave_no_gap(spark, library):
+    texts = ["a \x1c b", "\x1c", "\x1c\x1d \x85", "a\x1cb \x1c", " \u2028 x"]
+    got = bpe.round_trip(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), TOKENIZER).collect()
+    for r in got:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want(library, texts[r.doc_id])
+
+
+@pytest.mark.parametrize("alphabet", ["abÀß", "aB.,!", "x'St.?", "é1;Z:", "ÿ÷×.a", "İσΣς!", "<|A.|>", "e\u0301.é"])
+def test_words_in_batches_as_alone(spark, library, alphabet):
+    """Lowered, cut at their last marks, and encoded together with others."""
+    rng = random.Random(alphabet)
+    texts = [" ".join("".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 9))) for _ in range(60)) for _ in range(30)]
+    texts += ["<|ENDOFTEXT|> <|endoftext|>. A<|endoftext|>b", "It's WE'LL, don'T. '.' 's ...", "." * 9]
+    got = bpe.round_trip(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), TOKENIZER).collect()
+    for r in got:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want(library, texts[r.doc_id]), texts[r.doc_id]
