@@ -65,8 +65,16 @@ def keep_rows(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataF
     The narrow side becomes the hash table of a partition, so that the texts are shuffled at most once
     and never sorted.
     """
-    gone = dropped.select(F.col(key).alias("__gone")).distinct().hint("shuffle_hash")
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
+    name = "gone"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    gone = dropped.select(F.col(key).alias(name)).distinct().hint("shuffle_hash")
+    return docs.join(gone, F.col(key).eqNullSafe(F.col(name)), "left_anti")
+
+
+def one_row(rows: DataFrame, *keys: str) -> DataFrame:
+    """Of the rows with equal ``keys``, the whole ``row`` with the least hash, whatever order they come in."""
+    return rows.groupBy(*keys).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def words_of(texts: pa.Array, lower: bool = True) -> pa.ListArray:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salescast.llm.common import keep_rows, repeats, text_of
+from salescast.llm.common import keep_rows, one_row, repeats, text_of
 from salescast.staging import materialize
 
 #: A chunk ends after the first line or sentence end that follows its first 1,024 characters, and after
@@ -82,7 +82,8 @@ def exact_groups(docs: DataFrame, fingerprint: Callable[[Column], Column] = F.xx
 def drop_exact(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they are.
 
-    The row that stays is the one ``exact_groups`` keeps. Only the ids to drop meet the documents.
+    The row that stays is the one ``exact_groups`` keeps; of several with its id and text, the one with the least hash. Odd
+    rows as in :func:`exact_groups`. Only the ids to drop meet the documents.
     """
     groups = exact_groups(docs)
     if not repeats(docs, "doc_id"):
@@ -92,4 +93,4 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col("doc_id").alias("r_id"), F.sha2(text_of(), 256).alias("r_sha"))
     same = F.col("r_id").eqNullSafe(F.col("k_id")) & (F.col("r_sha") == F.col("k_sha"))
-    return rows.join(keys, same, "left_semi").dropDuplicates(["r_id", "r_sha"]).select("row.*")
+    return one_row(rows.join(keys, same, "left_semi"), "r_id", "r_sha")

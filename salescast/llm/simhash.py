@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.common import keep_rows, repeats, short_batches
+from salescast.llm.common import keep_rows, one_row, repeats, short_batches
 from salescast.llm.components import components, forest
 from salescast.llm.runs import home_pairs, split_homes, whole_keys
 from salescast.staging import materialize
@@ -218,7 +218,8 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
 def drop_near(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """``docs`` with one row of each group of near copies, that of the smallest doc_id, all columns as they are.
 
-    Where ids repeat (null ones too), rows are told apart by their texts, and one of the rows with the smallest doc_id stays.
+    Where ids repeat (null ones too), rows are told apart by their texts, and one of the rows with the smallest doc_id stays,
+    of equal texts the one whose whole row has the least hash.
     """
     groups = _grouped(docs, shingle, bits, None)
     if not repeats(docs, "doc_id"):
@@ -227,5 +228,4 @@ def drop_near(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Data
         F.min("head").alias("k_id"), F.min("text_hash").alias("k_hash"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col("doc_id").cast("long").alias("r_id"), F.xxhash64("text").alias("r_hash"))
-    return (rows.join(keys, F.col("r_id").eqNullSafe(F.col("k_id")) & (F.col("r_hash") == F.col("k_hash")))
-            .dropDuplicates(["component"]).select("row.*"))
+    return one_row(rows.join(keys, F.col("r_id").eqNullSafe(F.col("k_id")) & (F.col("r_hash") == F.col("k_hash"))), "component")

@@ -5,7 +5,7 @@ import pytest
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use themselves.
-CLASHING = ("id", "n", "q", "key", "uid", "size", "word", "gram", "fp", "part", "rank", "count", "copies", "row", "sha", "kept", "score")
+CLASHING = ("id", "n", "q", "key", "uid", "size", "word", "gram", "fp", "rank", "count", "copies", "row", "sha", "kept", "score", "gone", "nth", "h", "part")
 
 
 @pytest.fixture(scope="session")

@@ -92,7 +92,7 @@ def test_targets_reshare_until_none_is_above(spark):
 
 def test_draws_follow_the_inclusion_probabilities(spark):
     # Larger documents are taken more often, in proportion to their size, and the words come out right each time.
-    frame = spark.createDataFrame([(i, "s", 10 if i % 2 else 20) for i in range(2000)], "doc_id long, source string, size long")
+    frame = spark.createDataFrame([(i * i, "s", 10 if i % 2 else 20) for i in range(2000)], "key long, source string, size long")
     took = collections.Counter()
     for seed in range(3):
         plan = mixing.plan_mix(frame, share=0.3, seed=seed)
@@ -121,3 +121,47 @@ def test_a_hot_source_among_small_ones(spark):
     out["source"] = [rows[i][1] for i in out.doc_id]
     by = out.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
     assert (abs(by.target - by.taken) <= 45).all()
+
+
+def words_and_targets(frame, sources):
+    out = mixing.mix_counts(frame).toPandas()
+    assert len(out) == frame.count()
+    by = out.groupby("source_size").agg(target=("target", "first"), taken=("taken", "sum"))
+    assert len(by) == sources
+    return [(r.target, r.taken) for r in by.itertuples()]
+
+
+def test_rows_without_an_id_or_with_one_that_repeats_are_drawn_apart(spark):
+    """A third of the rows without an id, a third with one and the same, and a fifth equal throughout: the mark is met to half a document."""
+    def row(i):
+        if i % 3 == 0:
+            return None, "a", "w " * (1 + i % 50) + str(i)
+        if i % 3 == 1:
+            return 7, "a", "w " * (1 + i % 50) + str(i)
+        return (i, "a", "x " * (1 + i % 40)) if i % 5 else (8, "a", "same words here again " * 5)
+
+    rows = [row(i) for i in range(6000)] + [(i, f"s{i % 5}", "v " * (i % 60 + i % 5)) for i in range(10_000, 16_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for target, taken in words_and_targets(frame, 6):
+        assert abs(target - taken) <= 33, (target, taken)
+
+
+def test_many_equal_rows_are_numbered_in_chunks(spark, monkeypatch):
+    rows = [(1, "a", "one two three", i % 3) for i in range(2000)] + [(i, "b", "w " * (i % 30), 0) for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string, extra int")
+    want = sorted(map(tuple, mixing.mix_counts(frame).collect()))
+    total = sum(r[-1] for r in want)
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    assert sorted(map(tuple, mixing.mix_counts(frame.repartition(9)).collect())) == want
+    one, two = (sorted(map(tuple, mixing.mix(frame.repartition(n)).collect())) for n in (2, 7))
+    assert one == two and sum(len(r[2].split()) for r in one) == total
+
+
+def test_the_same_row_stays_however_rows_are_dealt(spark):
+    rows = [(1, "a b c d e", f"s{i}") for i in range(12)] + [(None, "a b c d e f", f"t{i}") for i in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    from salescast.llm import simhash
+
+    for drop in (exact.drop_exact, simhash.drop_near):
+        kept = {tuple(sorted(map(str, drop(frame.repartition(n)).collect()))) for n in (1, 3, 7)}
+        assert len(kept) == 1
