@@ -175,3 +175,31 @@ def test_thresholds_use_all_trusted_documents_kept_apart(spark, monkeypatch):
         apart = sorted(r.perplexity for r in got if r.lang == lang and hashes[r.doc_id] % quality.APART == 0)
         threshold = {r.threshold for r in got if r.lang == lang}
         assert apart and threshold == {apart[max(math.ceil(quality.QUANTILE * len(apart)), 1) - 1]}
+
+
+@pytest.mark.parametrize("bits, held", [(12, 1_000_000), (12, 40), (3, 1_000_000), (4, 25)])
+def test_counts_of_any_alphabet(monkeypatch, bits, held):
+    """Few bits a character and little room: counts are handed on often, and long texts of many characters are cut."""
+    from collections import Counter
+
+    monkeypatch.setattr(quality.Counts, "BITS", bits)
+    monkeypatch.setattr(quality, "HELD", held)
+    rng = np.random.default_rng(bits)
+    alphabet = "ab c\nd\U0001f600\u4e2d\u6587\u00e9xyzABC"[:None if bits > 3 else 6]
+    made, want, trusted = quality.Counts(), Counter(), Counter()
+    n, own = Counter(), Counter()
+    for _ in range(6):
+        texts = ["".join(rng.choice(list(alphabet), rng.integers(0, 60))) for _ in range(7)]
+        marks = rng.random(len(texts)) < 0.4
+        for t, m in zip(texts, marks, strict=True):
+            padded = quality.EDGE * (quality.ORDER - 1) + t
+            grams = [padded[i:i + quality.ORDER] for i in range(len(t))]
+            want.update(grams)
+            trusted.update(grams if m else [])
+        for grams, sums in made.add(*quality._points(texts), np.repeat(marks, [len(t) for t in texts])):
+            n.update(dict(zip(grams, sums[:, 0].tolist(), strict=True)))
+            own.update(dict(zip(grams, sums[:, 1].tolist(), strict=True)))
+    for grams, sums in made.take():
+        n.update(dict(zip(grams, sums[:, 0].tolist(), strict=True)))
+        own.update(dict(zip(grams, sums[:, 1].tolist(), strict=True)))
+    assert n == want and +own == trusted and not list(made.take())
