@@ -165,3 +165,9 @@ def test_the_same_row_stays_however_rows_are_dealt(spark):
     for drop in (exact.drop_exact, simhash.drop_near):
         kept = {tuple(sorted(map(str, drop(frame.repartition(n)).collect()))) for n in (1, 3, 7)}
         assert len(kept) == 1
+
+
+def test_exact_dedup_stays_in_the_jvm(documents):
+    for df in (exact.exact_groups(documents), exact.drop_exact(documents)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in text and "Arrow" not in text and "InPandas" not in text
