@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Folders that stand, by the scope they were written in; the last scope is the innermost.
 _SCOPES: list[list[tuple[SparkSession, str]]] = [[]]
+#: Whether the shuffle files of a finished execution are removed; Spark 4.1 has the setting, earlier versions ignore it.
+_SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,7 +40,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scoped_folder(spark, label)
-    df.write.parquet(path)
+    with _swept(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,10 +54,25 @@ def clustered(df: DataFrame, label: str, key: str, buckets: int | None = None) -
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scoped_folder(spark, label)
     name = f"{label}_{path.rsplit('-', 1)[1]}".replace("-", "_")
-    df.repartition(count, key).write.bucketBy(count, key).option("path", path).format("parquet").saveAsTable(name)
+    with _swept(spark):
+        df.repartition(count, key).write.bucketBy(count, key).option("path", path).format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
+@contextmanager
+def _swept(spark: SparkSession) -> Iterator[None]:
+    """Let the shuffle files of the writes inside go when these end, instead of when the driver collects its garbage.
+
+    Later reads are of the written table, so the disk holds one step's shuffles at a time.
+    """
+    before = spark.conf.get(_SWEEP, "false")
+    spark.conf.set(_SWEEP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_SWEEP, before)
+
+
 def scoped_folder(spark: SparkSession, label: str) -> str:
     """A folder of the shared one that goes with the innermost :func:`scope`."""
     path = f"{shared_dir(spark)}/salescast/{label}-{uuid.uuid4().hex}"

@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 
@@ -41,3 +42,21 @@ def test_a_failed_query_leaves_nothing(spark):
         materialize(spark.range(5), "kept")
         materialize(spark.range(5).selectExpr("raise_error('boom')"), "broken")
     assert stored(spark) == before
+
+
+def test_the_shuffle_of_a_stored_table_goes_with_its_write(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {name for name in map(str, disk.getAllBlocks().mkString("\n").split("\n")) if name.startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(key, "false")
+    kept = spark.range(100_000).selectExpr("id % 997 AS k").groupBy("k").count()
+    table = materialize(kept, "swept")
+    deadline = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < deadline:  # files are removed behind the driver's back
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(key, "false") == setting
+    assert table.count() == kept.count() == 997  # the frame itself can be run again
