@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +45,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Like :func:`materialize` for what ``make`` returns; the tables that ``make`` stores on the way are removed then."""
+    path = scoped_folder(spark, label)
+    with scope(), _swept(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def clustered(df: DataFrame, label: str, key: str, buckets: int | None = None) -> DataFrame:
     """Like :func:`materialize`, stored in buckets of ``key``: windows, groups and joins by it then need no exchange.
 

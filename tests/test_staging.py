@@ -4,7 +4,7 @@ import time
 import pytest
 
 from __spark_entry__ import queries
-from salescast.staging import materialize, scope, scoped_folder, shared_dir
+from salescast.staging import materialize, scope, scoped_folder, settled, shared_dir
 from tests.conftest import SF
 
 
@@ -36,6 +36,16 @@ def test_scopes_nest(spark):
     assert stored(spark) == before
 
 
+def test_tables_on_the_way_go_and_the_settled_one_stays(spark):
+    before = stored(spark)
+    with scope():
+        made = settled(spark, "end", lambda: materialize(spark.range(5).toDF("x"), "way").where("x > 1"))
+        assert sorted(r.x for r in made.collect()) == [2, 3, 4]
+        (left,) = stored(spark) - before
+        assert left.startswith("end-")
+    assert stored(spark) == before
+
+
 def test_a_failed_query_leaves_nothing(spark):
     before = stored(spark)
     with pytest.raises(Exception, match="boom"), scope():
