@@ -7,53 +7,69 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.staging import materialize
+from salescast.staging import bucketed, materialize
 
 
-def ordered_buckets(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """``df`` stored in ranges of ``order`` (ascending, nulls first), with the number of the range as ``_slice``.
+#: Rows of a range, as far as no number of ranges is asked for; and of the least range that is worth a task.
+RANGE_ROWS, LEAST_ROWS = 250_000, 10_000
+#: Rows of a table of range ends that goes to all tasks; a longer one is joined as Spark sees fit.
+SENT_ROWS = 200_000
+
+
+def ordered_buckets(
+    df: DataFrame, order: Sequence[str], buckets: int | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """``df`` stored in ranges of ``order`` (ascending, nulls first), with the number of the range as ``_slice`` and the
+    place of the row in the whole order as ``_position``, a long.
 
     Rows of a lower slice precede those of a higher one in the very order of the columns' own types, and
     equal rows share a slice. Spark cuts the ranges from a sample, so a slice holds about as many rows as any
     other, however many of them belong to one brand or day. The table is stored because another
-    evaluation could cut elsewhere. ``buckets`` sets how many ranges there are; by default it is the number
-    of shuffle partitions, less those that adaptive execution puts together. It decides the cost alone.
+    evaluation could cut elsewhere, in buckets of ``_slice``, so what is windowed or grouped by it moves no rows again.
+    ``buckets`` sets how many ranges there are; by default a range has about ``RANGE_ROWS`` rows, less where there are
+    fewer ranges than shuffle partitions. It decides the cost alone. ``columns`` are those that stay, by default all.
     """
+    if not buckets:
+        rows, partitions = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(1, -(-rows // RANGE_ROWS), min(partitions, -(-rows // LEAST_ROWS)))
     keys = [F.col(f"`{c}`") for c in order]
-    dealt = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
-    return materialize(dealt.withColumn("_slice", F.spark_partition_id()), "ordered")
+    placed = df.repartitionByRange(buckets, *keys).sortWithinPartitions(*keys).select(
+        *[F.col(f"`{c}`") for c in columns or df.columns], F.spark_partition_id().alias("_slice"),
+        F.monotonically_increasing_id().alias("_position"))
+    return bucketed(placed, "ordered", "_slice", buckets)
 
 
 class _Buckets:
     """Rows of a brand in slices, and for each slice what the rows before and after it bring along."""
 
-    def __init__(self, df: DataFrame, value: str, brand: str, date: str, tie_break: Sequence[str], buckets: int | None):
-        self.columns = df.columns
+    def __init__(self, df: DataFrame, value: str, brand: str, date: str, tie_break: Sequence[str], buckets: int | None,
+                 columns: Sequence[str] | None = None):
+        self.columns = list(columns or df.columns)
         # Rows without a date come last in their brand.
         dated = df.withColumn("_day", F.coalesce(F.col(date), F.lit("9999-12-31").cast("date")))
-        self.rows = ordered_buckets(dated, [brand, "_day", *tie_break], buckets)
+        self.rows = ordered_buckets(dated, [brand, "_day", *tie_break], buckets, self.columns)
         self.brand = brand
-        keys, ties = f"{brand}, _slice", ("_day", *tie_break)
-        self.ascending = f"PARTITION BY {keys} ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in ties)}"
-        descending = f"PARTITION BY {keys} ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in ties)}"
+        self.ascending = f"PARTITION BY {brand}, _slice ORDER BY _position"
+        # Looking ahead is looking back in the opposite order: a frame that ends with its partition costs its square.
+        self.descending = f"{self.ascending} DESC"
         along = f"PARTITION BY {brand} ORDER BY _slice"
         tails = (
             self.rows.where(f"{brand} IS NOT NULL")
-            .selectExpr(brand, "_slice", f"{value} AS _v", f"row_number() OVER ({self.ascending}) AS _rn",
-                        f"row_number() OVER ({descending}) AS _from_end")
+            .selectExpr(brand, "_slice", "_position", f"{value} AS _v", f"row_number() OVER ({self.ascending}) AS _rn",
+                        f"lag({value}) OVER ({self.ascending}) AS _before")
             .groupBy(brand, "_slice").agg(*map(F.expr, (
-                "max(CASE WHEN _from_end = 1 THEN _v END) AS _last",
-                "max(CASE WHEN _from_end = 2 THEN _v END) AS _second",
+                "max(struct(_position, _v, _before)) AS _end",
                 "count(*) AS _n",
                 "min(CASE WHEN _v IS NOT NULL THEN struct(_rn, _v) END) AS _first_known",
-                "max(CASE WHEN _v IS NOT NULL THEN struct(_rn, _v) END)._v AS _last_known"))))
+                "max(CASE WHEN _v IS NOT NULL THEN struct(_rn, _v) END)._v AS _last_known")))
+            .selectExpr("*", "_end._v AS _last", "_end._before AS _second"))
         placed = tails.selectExpr(
             "*", f"sum(_n) OVER ({along}) - _n AS _start",
             f"lag(_last) OVER ({along}) AS _carry_1",
             f"CASE WHEN lag(_n) OVER ({along}) >= 2 THEN lag(_second) OVER ({along})"
             f" ELSE lag(_last, 2) OVER ({along}) END AS _carry_2",
             f"last_value(_last_known, true) OVER ({along} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _known_before",
-            f"first_value(_first_known._v, true) OVER ({along} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS _known_after")
+            f"last_value(_first_known._v, true) OVER ({along} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _known_after")
         opening = f"min(CASE WHEN _first_known IS NOT NULL THEN struct(_start + _first_known._rn AS at, _first_known._v AS v) END) OVER (PARTITION BY {brand})"
         # One row a brand and slice it reaches into: about as many as there are slices and brands.
         self.carry = materialize(placed.selectExpr(
@@ -61,7 +77,8 @@ class _Buckets:
             f"{opening} AS _opening", f"sum(_n) OVER (PARTITION BY {brand}) AS _total"), "carried")
 
     def joined(self, *windows: str) -> DataFrame:
-        return self.rows.selectExpr("*", *windows).join(self.carry, [self.brand, "_slice"], "left")
+        carry = F.broadcast(self.carry) if self.carry.count() <= SENT_ROWS else self.carry
+        return self.rows.selectExpr("*", *windows).join(carry, [self.brand, "_slice"], "left")
 
 
 def add_sales_history(
@@ -73,6 +90,7 @@ def add_sales_history(
     date: str = "sale_date",
     buckets: int | None = None,
     keep_order: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``sales_lag_1`` and ``sales_ma_3`` in the order (brand, date, tie-break).
 
@@ -83,14 +101,15 @@ def add_sales_history(
     its columns may have any type that sorts.
 
     Rows are windowed inside (brand, slice) buckets of bounded size; what precedes a bucket comes from a small table
-    with the ends of every bucket. With ``keep_order`` the position of a row in its brand stays as ``_position``.
+    with the ends of every bucket. With ``keep_order`` the position of a row in the order stays as ``_position``.
+    ``columns`` are the columns of ``df`` that stay, brand and value among them; by default all do.
     """
-    own = _Buckets(df, value, brand, date, tie_break, buckets)
+    own = _Buckets(df, value, brand, date, tie_break, buckets, columns)
     over = own.ascending
     before = own.joined(
         f"row_number() OVER ({over}) AS _rn", f"lag({value}, 1) OVER ({over}) AS _prev_1", f"lag({value}, 2) OVER ({over}) AS _prev_2",
         f"last_value({value}, true) OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _known",
-    ).selectExpr(*own.columns, "_slice", "_rn", "_known", "_known_before", "_opening", "_total",
+    ).selectExpr(*own.columns, "_position", "_rn", "_known", "_known_before", "_opening", "_total",
                  "CASE WHEN _rn = 1 THEN _carry_1 ELSE _prev_1 END AS _p1",
                  "CASE _rn WHEN 1 THEN _carry_2 WHEN 2 THEN _carry_1 ELSE _prev_2 END AS _p2")
     known = " + ".join(f"int({x} IS NOT NULL)" for x in (value, "_p1", "_p2"))
@@ -101,7 +120,7 @@ def add_sales_history(
         f"CASE WHEN {brand} IS NOT NULL THEN coalesce(_known, _known_before,"
         f" CASE WHEN _opening.at < _total THEN _opening.v END) END AS sales_lag_1",
         f"CASE WHEN {brand} IS NULL THEN {value} ELSE try_divide({total}, {known}) END AS sales_ma_3",
-        *([f"bigint(_slice) * {1 << 40} + _rn AS _position"] if keep_order else []))
+        *(["_position"] if keep_order else []))
 
 
 def fill_forward_back(
@@ -115,6 +134,6 @@ def fill_forward_back(
     over = own.ascending
     filled = own.joined(
         f"last_value({value}, true) OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _known",
-        f"first_value({value}, true) OVER ({over} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _next")
+        f"last_value({value}, true) OVER ({own.descending} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _next")
     new = (f"CASE WHEN {brand} IS NULL THEN {value} ELSE coalesce(_known, _known_before, _next, _known_after) END AS {value}")
     return filled.selectExpr(*[new if c == value else f"`{c}`" for c in own.columns])

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from salescast.operators import history
 from salescast.operators.history import add_sales_history, fill_forward_back, ordered_buckets
 from tests import brute
 
@@ -104,3 +105,24 @@ def test_buckets_are_balanced_and_ordered(spark):
 @given(seed=st.integers(0, 10**6), buckets=st.sampled_from([2, 30, None]))
 def test_random_tables(spark, seed, buckets):
     check(spark, random_rows(80, 3, 6, seed, null_dates=True), buckets=buckets)
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_no_frame_reaches_to_the_end_of_its_partition(spark):
+    """Such a frame is read anew for every row: its cost is the square of a range."""
+    out = fill_forward_back(spark.createDataFrame(hot_rows(), SCHEMA), "total_sales", tie_break=("k1", "k2"), buckets=2)
+    assert "unboundedfollowing$()" not in plan(out)
+
+
+def test_ranges_grow_in_number_and_rows_move_once(spark, monkeypatch):
+    monkeypatch.setattr(history, "RANGE_ROWS", 20)
+    df = spark.createDataFrame(hot_rows(), SCHEMA)
+    stored = ordered_buckets(df, ["brand", "sale_date", "k1"])
+    assert stored.select("_slice").distinct().count() > 8
+    keys = sorted((r._position, r.brand, r.sale_date, r.k1, r._slice) for r in stored.collect())
+    assert [k[1:4] for k in keys] == sorted(k[1:4] for k in keys) and [k[4] for k in keys] == sorted(k[4] for k in keys)
+    assert "hashpartitioning" not in plan(add_sales_history(df, tie_break=("k1", "k2")))
+    check(spark, hot_rows())
