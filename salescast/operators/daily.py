@@ -40,7 +40,9 @@ def daily_brand_summary(
     region_codes = label_codes(raw, "region")
     medians = column_medians(raw, S.present(raw.columns, S.MEDIAN_FILLED + S.MEDIAN_FILLED_OPTIONAL))
     filled = constant_fill(median_fill(raw, list(medians), medians), {"is_holiday": 0})
-    rows = add_sales_history(filled, tie_break=tie_break, buckets=buckets, keep_order=True)
+    # What the order needs alone is not stored with it.
+    kept = S.present(filled.columns, tuple(dict.fromkeys((*KEYS, "region", "total_sales", *S.ZSCORED, *S.PLAIN_MEANS))))
+    rows = add_sales_history(filled, tie_break=tie_break, buckets=buckets, keep_order=True, columns=kept)
     rows = rows.join(region_codes, "region", "left")
 
     scored = S.present(rows.columns, S.ZSCORED)

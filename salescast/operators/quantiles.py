@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescast.staging import materialize
+
 #: Rows that the sketches see, of a table of any size: one task can merge them.
 SAMPLE_ROWS = 2_000_000
 _SKETCH_ACCURACY = 100_000
@@ -41,11 +43,12 @@ def exact_quantiles(
     cuts = _fences(values, columns, probs, sample)
     fences = {k: (x[0], x[-1]) for k, x in cuts.items()}
 
-    totals, entries, results, parts = [], [], [], []
+    totals, entries, held, results, parts = [], [], [], [], []
     for i, c in enumerate(columns):
         bounds = [tuple(f"double('{x!r}')" for x in fences[c, p]) for p in probs]
         inside_any = " OR ".join(f"`{c}` BETWEEN {low} AND {high}" for low, high in dict.fromkeys(bounds))
-        entries.append(f"CASE WHEN {inside_any} THEN `{c}` END")
+        entries.append(f"struct({i} AS slot, CASE WHEN {inside_any} THEN `{c}` END AS v)")
+        held.append(inside_any)
         totals.append(f"count(`{c}`) AS n{i}")
         for j, (p, (low, high)) in enumerate(zip(probs, bounds)):
             s = f"{i}_{j}"
@@ -63,13 +66,11 @@ def exact_quantiles(
         parts.append(f"max(n{i}) AS n{i}")
 
     counted = values.agg(*map(F.expr, totals))
-    inside = (
-        # Few rows have a value inside a fence; the others leave before they become a row a column.
-        values.selectExpr(f"filter(transform(array({', '.join(entries)}), (v, slot) -> struct(slot, v)), e -> e.v IS NOT NULL) AS e")
-        .where("size(e) > 0").selectExpr("inline(e)")
+    # Few rows have a value inside a fence; the others leave before they become a row a column. Stored, as it is read twice.
+    inside = materialize(
+        values.where(" OR ".join(held)).selectExpr(f"inline(array({', '.join(entries)}))").where("v IS NOT NULL")
         .groupBy("slot", "v").agg(F.expr("count(*) AS cnt"))
-        .selectExpr("*", f"{_bin_of(columns, probs, cuts)} AS bin")
-    )
+        .selectExpr("*", f"{_bin_of(columns, probs, cuts)} AS bin"), "fenced")
     # Ranks inside a bin need only the bin's values; a fence has a fixed number of bins.
     bins = inside.groupBy("slot", "bin").agg(F.expr("sum(cnt) AS bin_rows")).selectExpr(
         "slot", "bin", "sum(bin_rows) OVER (PARTITION BY slot ORDER BY bin) - bin_rows AS bin_before")

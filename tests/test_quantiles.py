@@ -57,3 +57,11 @@ def test_median_fill_keeps_rows_and_leaves_all_null_columns(spark):
     rows = median_fill(df).orderBy("id").collect()
     assert [r.total_sales for r in rows] == [10.0, 20.0, 30.0]
     assert [r.stock_level for r in rows] == [None, None, None]
+
+
+def test_values_inside_a_fence_are_found_once(spark):
+    """They are read for the bins and for the ranks: from a stored table, not by passing over all rows again."""
+    df = spark.range(500).selectExpr("double(id) AS x")
+    out = exact_quantiles(df, ["x"])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 500") <= 1
+    assert out.first()[0] == 249.5
