@@ -108,7 +108,7 @@ def add(raw: DataFrame, root: str, settings: dict | None = None) -> None:
     over = placed.ascending
     before = placed.joined(
         f"row_number() OVER ({over}) AS _rn", f"lag(_sale, 1) OVER ({over}) AS _prev_1", f"lag(_sale, 2) OVER ({over}) AS _prev_2",
-    ).selectExpr(*placed.columns, f"bigint(_slice) * {1 << 40} + _rn AS _position",
+    ).selectExpr(*placed.columns, "_position",
                  "CASE WHEN _rn = 1 THEN _carry_1 ELSE _prev_1 END AS _p1",
                  "CASE _rn WHEN 1 THEN _carry_2 WHEN 2 THEN _carry_1 ELSE _prev_2 END AS _p2").where("NOT _old")
     # Lag and mean as a + b * (median - reference); rows without a brand have no row before them.
@@ -132,14 +132,14 @@ def add(raw: DataFrame, root: str, settings: dict | None = None) -> None:
                                        f"count_if({c} < {literal(fences[c][0])}) AS below_{c}")],
         *[e for c in LINEAR for e in (f"count(a_{c}) AS n_{c}", f"sum(a_{c}) AS a_{c}", f"sum(b_{c}) AS b_{c}", f"sum(a_{c} * a_{c}) AS aa_{c}",
                                       f"sum(a_{c} * b_{c}) AS ab_{c}", f"sum(b_{c} * b_{c}) AS bb_{c}")]))), "cells")
+    kept = " OR ".join(f"{c} BETWEEN {literal(f[0])} AND {literal(f[2])}" for c, f in fences.items())
     inside = ", ".join(f"struct('{c}' AS slot, CASE WHEN {c} BETWEEN {literal(f[0])} AND {literal(f[2])} THEN {c} END AS v)" for c, f in fences.items())
-    write(batch.selectExpr(f"inline(filter(array({inside}), _e -> _e.v IS NOT NULL))").groupBy("slot", "v").agg(
+    write(batch.where(kept or "false").selectExpr(f"inline(array({inside}))").where("v IS NOT NULL").groupBy("slot", "v").agg(
         F.count(F.lit(1)).alias("cnt")), "inside")
     write(batch.select("region").where("region IS NOT NULL").distinct(), "regions")
-    descending = ", ".join(f"{c} DESC NULLS LAST" for c in keys[1:])
-    ends = placed.rows.where("brand IS NOT NULL").selectExpr(*keys, "_sale.v AS v", "_slice").selectExpr(
-        "*", f"row_number() OVER (PARTITION BY brand, _slice ORDER BY {descending}) AS _at").where("_at <= 2")
-    write(ends.selectExpr(*keys, "v", f"row_number() OVER (PARTITION BY brand ORDER BY {descending}) AS back").where("back <= 2"), "tails")
+    ends = placed.rows.where("brand IS NOT NULL").selectExpr(*keys, "_sale.v AS v", "_slice", "_position").selectExpr(
+        "*", f"row_number() OVER ({placed.descending}) AS _at").where("_at <= 2")
+    write(ends.selectExpr(*keys, "v", "row_number() OVER (PARTITION BY brand ORDER BY _position DESC) AS back").where("back <= 2"), "tails")
 
     entry = spark.createDataFrame([(version + 1, folder, json.dumps(settings))], "batch long, folder string, settings string")
     log = entry if first else read_published(spark, f"{root}/{_LOG}", version).unionByName(entry)
