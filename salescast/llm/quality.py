@@ -17,9 +17,11 @@ from salescast.staging import materialize
 
 #: Characters of an n-gram; what stands before the first character of a text.
 ORDER, EDGE = 5, "\n"
-#: Trusted documents the model is trained on at most (those with the least hash of the id), and the share kept apart
-#: for the thresholds: one in so many.
-TRUSTED, APART = 50_000, 3
+#: Trusted documents the model is trained on at most (those with the least hash of the id), None for all; and the share
+#: kept apart for the thresholds: one in so many.
+TRUSTED, APART = None, 3
+#: Ids that go to all tasks; more are joined by shuffle.
+SENT = 2_000_000
 #: Most frequent n-grams of the corpus whose probabilities go to all tasks. Those of the others are joined.
 COMMON = 1 << 19
 #: A text is kept up to this quantile of the perplexity of trusted texts in its language.
@@ -294,8 +296,8 @@ def _score(batches: Iterator[pa.RecordBatch], held: Broadcast) -> Iterator[pa.Re
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """One row a document: doc_id, lang, perplexity, threshold, kept.
 
-    Documents labelled as good are trusted; a fixed share of them is kept apart, and the model learns from a bounded sample
-    of the others (at most ``TRUSTED``). Perplexity
+    Documents labelled as good are trusted; a fixed share of them is kept apart, and the model learns from all
+    others (unless ``TRUSTED`` bounds them). Perplexity
     is that of a character given the four before it, over the whole text; every n-gram of every text is scored, frequent ones from
     a table that goes to all tasks, the others by a join. A language's threshold is the given quantile of the perplexity of its
     trusted documents kept apart, however many they are, and that of all languages where it has none.
@@ -310,12 +312,15 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
         labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("l_id"))
         .agg(F.min("quality").alias("quality")).where("quality = 1").withColumn("h", F.xxhash64("l_id"))
         .select("l_id", "h", (F.pmod("h", F.lit(APART)) == 0).alias("apart")), "trusted-ids")
-    picked = trusted.where("not apart").orderBy("h", "l_id").limit(TRUSTED).select(F.col("l_id").alias("p_id"))
-    given = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", text_of().alias("text"))
-        .join(F.broadcast(picked), F.col("doc_id") == F.col("p_id"), "left")  # bounded by TRUSTED
-        .select("doc_id", "lang", "text", F.col("p_id").isNotNull().alias("trains")))
-    counts = materialize(corpus_counts(given), "corpus-grams")
+    picked = trusted.where("not apart")
+    if TRUSTED is not None:
+        picked = picked.orderBy("h", "l_id").limit(TRUSTED)
+    picked = picked.select(F.col("l_id").alias("p_id"))
+    if picked.count() <= SENT:
+        picked = F.broadcast(picked)
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", text_of().alias("text"))
+    marked = given.join(picked, F.col("doc_id") == F.col("p_id"), "left").select("text", F.col("p_id").isNotNull().alias("trains"))
+    counts = materialize(corpus_counts(marked), "corpus-grams")
     model = kneser_ney(materialize(counts.where("trusted > 0").select("gram", F.col("trusted").alias("c")), "trusted-grams"))
     scored = materialize(log_probabilities(counts.select("gram", "n"), model), "gram-scores")
     top = frequent(scored, "n", COMMON).select("gram", "log_p").toArrow()

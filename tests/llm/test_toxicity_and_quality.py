@@ -177,6 +177,20 @@ def test_thresholds_use_all_trusted_documents_kept_apart(spark, monkeypatch):
         assert apart and threshold == {apart[max(math.ceil(quality.QUANTILE * len(apart)), 1) - 1]}
 
 
+def test_all_trusted_documents_train(spark, monkeypatch):
+    """More than 50,000 trusted documents: n-grams of each count, and ids joined by shuffle change nothing."""
+    seen = []
+    real = quality.kneser_ney
+    monkeypatch.setattr(quality, "kneser_ney", lambda grams: seen.append(grams.agg(F.sum("c")).first()[0]) or real(grams))
+    docs = spark.range(90_000).selectExpr("id AS doc_id", "'ab' AS text", "'en' AS lang")
+    marks = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    apart = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(quality.APART)) == 0).count()
+    for sent in (quality.SENT, 10):
+        monkeypatch.setattr(quality, "SENT", sent)
+        assert quality.quality(docs, marks).where("kept").count() == 90_000
+    assert seen == [2 * (90_000 - apart)] * 2
+
+
 @pytest.mark.parametrize("bits, held", [(12, 1_000_000), (12, 40), (3, 1_000_000), (4, 25)])
 def test_counts_of_any_alphabet(monkeypatch, bits, held):
     """Few bits a character and little room: counts are handed on often, and long texts of many characters are cut."""
