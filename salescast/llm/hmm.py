@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,8 +19,9 @@ from salescast.staging import materialize
 STATES, OWN, CLASSES, ENDING = 8, 8192, 2048, 4
 #: Most frequent words whose counts go to all tasks. Counts of the others are joined by word.
 COMMON = 1 << 18
-#: Documents the start values come from at most (those with the least hash of the id), and rounds over them.
-SAMPLE, WARM_ROUNDS = 2_000, 3
+#: Random directions; on which side of each a document lies gives the groups that the start values are found from. Rounds in which
+#: all training documents then go to the state they fit best.
+SIDES, WARM_ROUNDS = 6, 3
 #: Baum-Welch rounds over all training documents, and tokens that one forward-backward run spans there.
 ROUNDS, STRETCH = 2, 512
 #: What a word, known or not, has beside its count; the same for a symbol in a state.
@@ -249,34 +250,90 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(b.as_buffer(), dtype="<u2") for b in column]
 
 
-def start_model(sequences: list[np.ndarray], symbols: int, states: int = STATES, seed: int = 5) -> Hmm:
-    """Start values: states are groups of texts with like symbols, found by k-means on damped frequencies."""
+def start_model(texts: np.ndarray, states: int = STATES, seed: int = 5) -> Hmm:
+    """Start values from numbers of symbols, a row a group of texts: states are groups with like symbols, found by k-means on damped frequencies."""
+    symbols = texts.shape[1]
     rng = np.random.default_rng(seed)
-    stay = np.full((states, states), 0.02 / max(states - 1, 1))
-    np.fill_diagonal(stay, 0.98)
-    even = np.full(states, 1 / states)
     counts = np.full((symbols, states), 1.0) + rng.random((symbols, states))
-    if sequences:
-        texts = np.stack([np.bincount(s, minlength=symbols) for s in sequences]).astype(np.float32)
+    if len(texts):
+        size = texts.sum(axis=1)
         points = np.sqrt(texts)
         points /= np.linalg.norm(points, axis=1, keepdims=True)
-        # Spread seeds: each next one is a text far from those before.
+        # Spread seeds: each next one is a group far from those before.
         centers = [points[rng.integers(len(points))]]
         while len(centers) < states:
             far = 1 - np.max(points @ np.stack(centers).T, axis=1)
-            far = np.maximum(far, 1e-9) ** 2
+            far = np.maximum(far, 1e-9) ** 2 * size
             centers.append(points[rng.choice(len(points), p=far / far.sum())])
         centers = np.stack(centers)
         for _ in range(12):
             group = np.argmax(points @ centers.T, axis=1)
             for s in range(states):
                 if (group == s).any():
-                    centers[s] = points[group == s].sum(0)
+                    centers[s] = (points[group == s] * size[group == s, None]).sum(0)
                     centers[s] /= np.linalg.norm(centers[s])
-        whole = texts.sum(0) + ADD
-        for s in range(states):
-            counts[:, s] = texts[group == s].sum(0) + 50 * whole / whole.sum() + ADD * rng.random(symbols)
-    return Hmm(even, even, stay, counts / counts.sum(0))
+        counts = np.stack([texts[group == s].sum(0) for s in range(states)], axis=1)
+    return _sticky(counts, rng)
+
+
+def _sticky(counts: np.ndarray, rng: np.random.Generator) -> Hmm:
+    """A model that emits as counted (symbol by state) and mostly stays in its state; a state without texts is the whole with some noise."""
+    symbols, states = counts.shape
+    stay = np.full((states, states), 0.02 / max(states - 1, 1))
+    np.fill_diagonal(stay, 0.98)
+    even = np.full(states, 1 / states)
+    whole = counts.sum(axis=1) + ADD
+    emit = counts + 50 * (whole / whole.sum())[:, None] + ADD * rng.random((symbols, states))
+    return Hmm(even, even, stay, emit / emit.sum(0))
+
+
+def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The symbols of some sequences, and where each of them begins; none is empty."""
+    for batch in batches_by_size(batches, "symbols", 2 << 20):
+        sequences = _sequences(batch.column("symbols"))
+        if sequences:
+            lengths = np.array([len(s) for s in sequences])
+            yield np.concatenate(sequences).astype(np.int64), np.cumsum(lengths) - lengths
+
+
+def grouped_counts(encoded: DataFrame, symbols: int, groups: int, group_of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """How often each group of texts has each symbol, over all rows; what comes back is bounded by groups and symbols."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(groups * symbols, dtype=np.int64)
+        for flat, starts in _flat(batches):
+            group = np.repeat(group_of(flat, starts), np.diff(np.append(starts, len(flat))))
+            total += np.bincount(group * symbols + flat, minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(used), pa.array(total[used])], names=["cell", "n"])
+
+    got = encoded.select("symbols").mapInArrow(each, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(groups * symbols)
+    out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    return out.reshape(groups, symbols)
+
+
+def first_model(encoded: DataFrame, symbols: int, states: int = STATES, seed: int = 5) -> Hmm:
+    """Start values from all rows. Texts on the same sides of random directions make groups, whose sums of symbols k-means
+    puts into states; then each text goes to the state it fits best, and the states are counted anew, some times."""
+    context = encoded.sparkSession.sparkContext
+    rng = np.random.default_rng(seed)
+    share = grouped_counts(encoded, symbols, 1, lambda flat, starts: np.zeros(len(starts), dtype=np.int64))[0]
+    share /= max(share.sum(), 1)
+    direction = (rng.choice([-1.0, 1.0], (symbols, SIDES)) / np.sqrt(share + 1e-4)[:, None])
+    held = context.broadcast(((direction - share @ direction).astype(np.float32)))
+
+    def side(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        return (np.add.reduceat(held.value[flat], starts) > 0) @ (1 << np.arange(SIDES))
+
+    texts = grouped_counts(encoded, symbols, 1 << SIDES, side)
+    model = start_model(texts[texts.any(axis=1)], states, seed)
+    held.unpersist()
+    for _ in range(WARM_ROUNDS):
+        log_emit = context.broadcast(np.log(model.emit).astype(np.float32))
+        counts = grouped_counts(encoded, symbols, states, lambda flat, starts: np.argmax(np.add.reduceat(log_emit.value[flat], starts), axis=1))
+        log_emit.unpersist()
+        model = _sticky(counts.T, rng)
+    return model
 
 
 def _stretches(symbols: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -327,14 +384,8 @@ def baum_welch_round(encoded: DataFrame, model: Hmm) -> Hmm:
 
 
 def train(encoded: DataFrame, symbols: int, rounds: int = ROUNDS) -> Hmm:
-    """Start values from a bounded sample of documents, then Baum-Welch over all of them."""
-    # The ids are chosen first, so that no more than the chosen sequences move.
-    chosen = encoded.select(F.xxhash64("doc_id").alias("h"), "uid").orderBy("h", "uid").limit(SAMPLE).select("uid")
-    sample = encoded.select("uid", "symbols").join(F.broadcast(chosen), "uid").select("symbols").persist()
-    model = start_model(_sequences(pa.array(sample.toArrow().column("symbols").to_pylist(), pa.binary())), symbols)
-    for _ in range(WARM_ROUNDS):
-        model = baum_welch_round(sample, model)
-    sample.unpersist()
+    """Start values from all documents, then Baum-Welch over all of them."""
+    model = first_model(encoded, symbols)
     for _ in range(rounds):
         model = baum_welch_round(encoded, model)
     return model

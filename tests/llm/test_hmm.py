@@ -116,3 +116,16 @@ def test_odd_rows(odd, odd_rows, none):
     assert hmm.score(none).count() == 0
     alone = hmm.score(odd.where(F.col("doc_id") == 1), rounds=1).collect()
     assert len(alone) == 1 and alone[0].n_tokens == 1
+
+
+def test_start_values_come_from_all_training_documents(spark, monkeypatch):
+    """More documents than any sample: the start counts each symbol of each, and tells the two kinds apart."""
+    docs = spark.range(6000).selectExpr("id AS doc_id", "if(id % 2 = 0, 'aa ab ac aa ad ae', 'ba bb bc ba bd be') AS text")
+    learns = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 10]
+    seen = []
+    real = hmm.grouped_counts
+    monkeypatch.setattr(hmm, "grouped_counts", lambda *a: seen.append(real(*a)) or seen[-1].copy())
+    got = {r.doc_id % 2: r.score for r in hmm.score(docs, rounds=1).collect()}
+    assert {x.sum() for x in seen} == {7 * len(learns)} and len(seen) == 2 + hmm.WARM_ROUNDS
+    assert {np.count_nonzero(row) for row in seen[-1]} <= {0, 6}  # five words of one kind and the end
+    assert got[0] > -8 and got[1] > -8
