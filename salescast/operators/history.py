@@ -36,7 +36,8 @@ def ordered_buckets(
     placed = df.repartitionByRange(buckets, *keys).sortWithinPartitions(*keys).select(
         *[F.col(f"`{c}`") for c in columns or df.columns], F.spark_partition_id().alias("_slice"),
         F.monotonically_increasing_id().alias("_position"))
-    return bucketed(placed, "ordered", "_slice", buckets)
+    # A single bucket would be a single task; the brands of one range are dealt out instead.
+    return bucketed(placed, "ordered", "_slice", buckets) if buckets > 1 else materialize(placed, "ordered")
 
 
 class _Buckets:
