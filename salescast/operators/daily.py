@@ -22,6 +22,7 @@ from salescast.operators.history import add_sales_history
 from salescast.staging import materialize
 
 KEYS = ("category", "brand", "sale_date")
+HISTORY = ("sales_lag_1", "sales_ma_3")
 
 
 def daily_brand_summary(
@@ -34,19 +35,22 @@ def daily_brand_summary(
 
     A z-score is linear in its input, so the daily sums and means are standardised after
     the aggregation. The global moments come from daily counts, sums and sums of squares, taken as
-    distances from the median to stay exact for columns far from zero. The sale rows are
-    thus read once after filling instead of twice.
+    distances from the median to stay exact for columns far from zero.
+
+    Only what lag and trailing mean need is put in the order of the sale rows. All other columns are summed where they
+    lie; both kinds of rows meet in one aggregation.
     """
     region_codes = label_codes(raw, "region")
     medians = column_medians(raw, S.present(raw.columns, S.MEDIAN_FILLED + S.MEDIAN_FILLED_OPTIONAL))
     filled = constant_fill(median_fill(raw, list(medians), medians), {"is_holiday": 0})
-    # What the order needs alone is not stored with it.
-    kept = S.present(filled.columns, tuple(dict.fromkeys((*KEYS, "region", "total_sales", *S.ZSCORED, *S.PLAIN_MEANS))))
-    rows = add_sales_history(filled, tie_break=tie_break, buckets=buckets, keep_order=True, columns=kept)
-    rows = rows.join(region_codes, "region", "left")
-
-    scored = S.present(rows.columns, S.ZSCORED)
-    plain = S.present(rows.columns, S.PLAIN_MEANS)
+    scored = S.present([*filled.columns, *HISTORY], S.ZSCORED)
+    plain = S.present(filled.columns, S.PLAIN_MEANS)
+    kept = (*KEYS, "region", "total_sales")
+    ordered = add_sales_history(filled.select(*dict.fromkeys((*kept, *tie_break))), tie_break=tie_break, buckets=buckets,
+                                keep_order=True, columns=kept)
+    ordered = ordered.join(region_codes, "region", "left").select(*KEYS, "region_encoded", "_position", *HISTORY)
+    summed = filled.select(*KEYS, "total_sales", *[c for c in (*scored, *plain) if c not in HISTORY])
+    rows = summed.unionByName(ordered, allowMissingColumns=True)
 
     def distance(c: str) -> str:
         return f"({c} - {literal(medians.get(c, medians['total_sales']))})"

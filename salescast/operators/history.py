@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast.staging import bucketed, materialize
@@ -17,9 +17,9 @@ SENT_ROWS = 200_000
 
 
 def ordered_buckets(
-    df: DataFrame, order: Sequence[str], buckets: int | None = None, columns: Sequence[str] | None = None
+    df: DataFrame, order: Sequence[str | Column], buckets: int | None = None, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """``df`` stored in ranges of ``order`` (ascending, nulls first), with the number of the range as ``_slice`` and the
+    """``df`` stored in ranges of ``order`` (names ascending, nulls first; or sort expressions), with the number of the range as ``_slice`` and the
     place of the row in the whole order as ``_position``, a long.
 
     Rows of a lower slice precede those of a higher one in the very order of the columns' own types, and
@@ -32,7 +32,7 @@ def ordered_buckets(
     if not buckets:
         rows, partitions = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(1, -(-rows // RANGE_ROWS), min(partitions, -(-rows // LEAST_ROWS)))
-    keys = [F.col(f"`{c}`") for c in order]
+    keys = [F.col(f"`{c}`") if isinstance(c, str) else c for c in order]
     placed = df.repartitionByRange(buckets, *keys).sortWithinPartitions(*keys).select(
         *[F.col(f"`{c}`") for c in columns or df.columns], F.spark_partition_id().alias("_slice"),
         F.monotonically_increasing_id().alias("_position"))
@@ -47,23 +47,24 @@ class _Buckets:
                  columns: Sequence[str] | None = None):
         self.columns = list(columns or df.columns)
         # Rows without a date come last in their brand.
-        dated = df.withColumn("_day", F.coalesce(F.col(date), F.lit("9999-12-31").cast("date")))
-        self.rows = ordered_buckets(dated, [brand, "_day", *tie_break], buckets, self.columns)
+        self.rows = ordered_buckets(df, [brand, F.col(f"`{date}`").asc_nulls_last(), *tie_break], buckets, self.columns)
         self.brand = brand
         self.ascending = f"PARTITION BY {brand}, _slice ORDER BY _position"
         # Looking ahead is looking back in the opposite order: a frame that ends with its partition costs its square.
         self.descending = f"{self.ascending} DESC"
         along = f"PARTITION BY {brand} ORDER BY _slice"
+        # A brand's rows of a slice have consecutive positions, so of its last two one is even and one odd: plain aggregates find both.
+        even, odd, known = (f"CASE WHEN {x} THEN _position END" for x in ("_position % 2 = 0", "_position % 2 <> 0", f"{value} IS NOT NULL"))
         tails = (
             self.rows.where(f"{brand} IS NOT NULL")
-            .selectExpr(brand, "_slice", "_position", f"{value} AS _v", f"row_number() OVER ({self.ascending}) AS _rn",
-                        f"lag({value}) OVER ({self.ascending}) AS _before")
             .groupBy(brand, "_slice").agg(*map(F.expr, (
-                "max(struct(_position, _v, _before)) AS _end",
-                "count(*) AS _n",
-                "min(CASE WHEN _v IS NOT NULL THEN struct(_rn, _v) END) AS _first_known",
-                "max(CASE WHEN _v IS NOT NULL THEN struct(_rn, _v) END)._v AS _last_known")))
-            .selectExpr("*", "_end._v AS _last", "_end._before AS _second"))
+                "count(*) AS _n", "min(_position) AS _begin",
+                f"max({even}) AS _even_at", f"max_by({value}, {even}) AS _even",
+                f"max({odd}) AS _odd_at", f"max_by({value}, {odd}) AS _odd",
+                f"min({known}) AS _known_at", f"min_by({value}, {known}) AS _first_known", f"max_by({value}, {known}) AS _last_known")))
+            .selectExpr(brand, "_slice", "_n", "_last_known", "coalesce(_even_at, -1) > coalesce(_odd_at, -1) AS _ends_even", "_even", "_odd",
+                        "CASE WHEN _known_at IS NOT NULL THEN struct(_known_at - _begin + 1 AS _rn, _first_known AS _v) END AS _first_known")
+            .selectExpr("*", "CASE WHEN _ends_even THEN _even ELSE _odd END AS _last", "CASE WHEN _ends_even THEN _odd ELSE _even END AS _second"))
         placed = tails.selectExpr(
             "*", f"sum(_n) OVER ({along}) - _n AS _start",
             f"lag(_last) OVER ({along}) AS _carry_1",

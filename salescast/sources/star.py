@@ -25,8 +25,7 @@ _EXPRESSIONS = {
     "stock_level": "CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE s_acctbal END",
     "weather_score": "CASE WHEN l_orderkey % 23 = 0 THEN NULL ELSE c_acctbal END",
     "supply_delay_days": "CAST(l_linenumber % 4 AS INT)",
-    "is_holiday": "CASE WHEN date_format(o_orderdate, 'MM-dd') IN ('01-26', '08-15', '10-02', '12-25')"
-                  " THEN 1 ELSE 0 END",
+    "is_holiday": "CASE WHEN month(o_orderdate) * 100 + day(o_orderdate) IN (126, 815, 1002, 1225) THEN 1 ELSE 0 END",
     "k1": "l_orderkey",
     "k2": "l_linenumber",
     "k3": "l_partkey",

@@ -42,7 +42,7 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 def _stored_sales(spark: SparkSession, sf: str, names: tuple[str, ...] = star.COLUMNS) -> DataFrame:
     """The raw table as a stored one, for operators that pass over it several times."""
-    return materialize(star.sales(spark, sf, names), "raw-sales")
+    return materialize(star.sales(spark, sf, names), "raw-sales", "zstd")
 
 
 def _daily_sales(spark: SparkSession, sf: str) -> DataFrame:

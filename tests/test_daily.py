@@ -84,3 +84,24 @@ def test_result_does_not_depend_on_partitioning(raw_sales, processed):
         for c, v in r.asDict().items():
             mine = a[r.category, r.brand, r.sale_date][c]
             assert mine == (pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v)
+
+
+def test_only_what_lag_and_mean_need_is_put_in_order(raw_sales, monkeypatch):
+    """The other columns are summed where they lie: the widest exchange of the summary does not move them."""
+    from salescast.operators import history
+
+    moved, before = [], history.ordered_buckets
+    monkeypatch.setattr(history, "ordered_buckets", lambda df, *a: moved.append(set(df.columns)) or before(df, *a))
+    daily_brand_summary(raw_sales, star.TIE_BREAK)
+    assert moved == [{"category", "brand", "sale_date", "region", "total_sales", *star.TIE_BREAK}]
+
+
+def test_holidays_of_all_days(spark):
+    """Month and day as numbers mark the days that their text does; a missing date is no holiday."""
+    days = spark.sql("SELECT explode(concat(sequence(TIMESTAMP '1995-12-20 23:59:59', TIMESTAMP '1997-01-05 00:00:00', INTERVAL 1 DAY),"
+                     " array(TIMESTAMP(null)))) AS o_orderdate")
+    rule = star._EXPRESSIONS["is_holiday"]
+    assert "date_format" not in rule
+    text = "CASE WHEN date_format(o_orderdate, 'MM-dd') IN ('01-26', '08-15', '10-02', '12-25') THEN 1 ELSE 0 END"
+    rows = days.selectExpr(f"{rule} AS got", f"{text} AS want").collect()
+    assert [r.got for r in rows] == [r.want for r in rows] and sum(r.got for r in rows) == 5

@@ -126,3 +126,13 @@ def test_ranges_grow_in_number_and_rows_move_once(spark, monkeypatch):
     assert [k[1:4] for k in keys] == sorted(k[1:4] for k in keys) and [k[4] for k in keys] == sorted(k[4] for k in keys)
     assert "hashpartitioning" not in plan(add_sales_history(df, tie_break=("k1", "k2")))
     check(spark, hot_rows())
+
+
+def test_range_ends_are_plain_aggregates(spark, monkeypatch):
+    """The ends of the ranges take one hashed pass over the stored rows, without a sort."""
+    plans, before = [], history.materialize
+    monkeypatch.setattr(history, "materialize", lambda df, label: plans.append(plan(df)) or before(df, label))
+    monkeypatch.setattr(history, "RANGE_ROWS", 20)
+    add_sales_history(spark.createDataFrame(hot_rows(), SCHEMA), tie_break=("k1", "k2"))
+    assert len(plans) == 1 and "row_number" not in plans[0] and "SortAggregate" not in plans[0].split("== Physical Plan ==")[1]
+    check(spark, hot_rows())
