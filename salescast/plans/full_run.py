@@ -13,6 +13,7 @@ from salescast.models.linear import LinearFit
 from salescast.operators.daily import daily_brand_summary
 from salescast.operators.evaluate import compare_metrics, holdout_metrics
 from salescast.operators.series import brand_series
+from salescast.operators.slices import drop_if_present
 from salescast.operators.trends import interest_scores, popularity_refresh
 from salescast.plans import marts
 from salescast.sources.tables import publish, read_published, write_text_report
@@ -44,8 +45,9 @@ def run_all(raw: DataFrame, events: DataFrame, tie_break: Sequence[str], out: st
         """If every brand is skipped there is nothing to publish; an earlier version stays in place."""
         return df if df.isEmpty() else stored(df, name)
 
-    # Stored once: the summary passes over the refreshed rows several times.
-    refreshed = materialize(popularity_refresh(raw, interest_scores(events)), "refreshed")
+    # Stored once, as the refresh and the summary pass over the rows several times; a row a brand joins them in each pass.
+    rows = materialize(drop_if_present(raw, "online_popularity"), "raw-sales", "zstd")
+    refreshed = popularity_refresh(rows, interest_scores(events))
     daily = stored(daily_brand_summary(refreshed, tie_break), "processed_sales")
 
     # Both models work by brand, so the series they share lie in buckets of it.

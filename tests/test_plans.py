@@ -84,3 +84,19 @@ def test_top_n_within_limits_before_the_exchange(spark, raw_sales, no_aqe):
 def test_interest_filter_runs_before_grouping(spark, no_aqe):
     text = plan(trends.interest_scores(star.trend_events(spark, SF)))
     assert "Subquery" in text.split("HashAggregate")[-1] or "subquery" in text
+
+
+def test_full_run_joins_the_raw_rows_once(spark, monkeypatch):
+    """The popularity refresh and the summary pass over stored rows, not over the joins that make them."""
+    from salescast.plans import full_run
+
+    class Seen(Exception):
+        pass
+
+    def seen(sales, scores):
+        raise Seen(plan(sales))
+
+    monkeypatch.setattr(full_run, "popularity_refresh", seen)
+    with pytest.raises(Seen) as stop:
+        full_run.run_all(star.sales(spark, SF), star.trend_events(spark, SF), star.TIE_BREAK, "unused", "now")
+    assert "Join" not in str(stop.value)
