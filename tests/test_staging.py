@@ -70,3 +70,15 @@ def test_the_shuffle_of_a_stored_table_goes_with_its_write(spark):
     assert not shuffles() - before
     assert spark.conf.get(key, "false") == setting
     assert table.count() == kept.count() == 997  # the frame itself can be run again
+
+
+def test_a_stored_table_can_go_before_its_scope_ends(spark):
+    from salescast.staging import removed
+
+    before = stored(spark)
+    with scope():
+        first, second = (materialize(spark.range(5), "early") for _ in range(2))
+        assert len(stored(spark) - before) == 2
+        removed(first)
+        assert len(stored(spark) - before) == 1 and second.count() == 5
+    assert stored(spark) == before
